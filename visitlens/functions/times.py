@@ -1,10 +1,7 @@
-"""Time expressions. Clock times are those of the session time zone."""
+"""Time expressions, in SQL. Clock times are those of the session time zone."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The formats times and dates are written in.
 DATE = "yyyy-MM-dd"
 TIME = "yyyy-MM-dd HH:mm:ss"
@@ -13,47 +10,55 @@ MINUTE_KEY = "yyyyMMddHHmm"
 DATE_HOUR = "yyyy-MM-dd_HH"
 
 
-def parse_time(text: Column) -> Column:
+def parse_time(text: str) -> str:
     """Text to timestamp. The hour may have one digit ("2019-04-22 5:08:33").
 
     A cast reads that and costs about half of a pattern parse per row. Bad text
     raises under ANSI mode.
     """
-    return text.cast("timestamp")
+    return f"cast({text} as timestamp)"
+
+
+def before(time: str, other: str) -> str:
+    return f"({parse_time(time)} < {parse_time(other)})"
+
+
+def after(time: str, other: str) -> str:
+    return f"({parse_time(time)} > {parse_time(other)})"
 
 
-def seconds_between(earlier: Column, later: Column) -> Column:
+def seconds_between(earlier: str, later: str) -> str:
     """Whole seconds from one timestamp to another."""
-    return F.unix_timestamp(later) - F.unix_timestamp(earlier)
+    return f"(unix_timestamp({later}) - unix_timestamp({earlier}))"
 
 
-def format_time(ts: Column) -> Column:
-    return F.date_format(ts, TIME)
+def format_time(ts: str) -> str:
+    return f"date_format({ts}, '{TIME}')"
 
 
-def format_date(ts: Column) -> Column:
-    return F.date_format(ts, DATE)
+def format_date(ts: str) -> str:
+    return f"date_format({ts}, '{DATE}')"
 
 
-def date_key(ts: Column) -> Column:
-    return F.date_format(ts, DATE_KEY)
+def date_key(ts: str) -> str:
+    return f"date_format({ts}, '{DATE_KEY}')"
 
 
-def minute_key(ts: Column) -> Column:
-    return F.date_format(ts, MINUTE_KEY)
+def minute_key(ts: str) -> str:
+    return f"date_format({ts}, '{MINUTE_KEY}')"
 
 
-def date_hour(ts: Column) -> Column:
-    return F.date_format(ts, DATE_HOUR)
+def date_hour(ts: str) -> str:
+    return f"date_format({ts}, '{DATE_HOUR}')"
 
 
-def parse_date_key(text: Column) -> Column:
-    return F.to_date(text, DATE_KEY)
+def parse_date_key(text: str) -> str:
+    return f"to_date({text}, '{DATE_KEY}')"
 
 
-def today() -> Column:
-    return F.date_format(F.current_date(), DATE)
+def today() -> str:
+    return format_date("current_date()")
 
 
-def yesterday() -> Column:
-    return F.date_format(F.date_sub(F.current_date(), 1), DATE)
+def yesterday() -> str:
+    return format_date("date_sub(current_date(), 1)")

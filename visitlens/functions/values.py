@@ -1,34 +1,31 @@
-"""Text and number expressions."""
+"""Text and number expressions, in SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def is_empty(text: str) -> str:
+    return f"({text} is null or {text} = '')"
 
-def is_empty(text: Column) -> Column:
-    return text.isNull() | (text == "")
 
+def is_not_empty(text: str) -> str:
+    return f"({text} is not null and {text} <> '')"
 
-def is_not_empty(text: Column) -> Column:
-    return text.isNotNull() & (text != "")
 
-
-def trim_comma(text: Column) -> Column:
+def trim_comma(text: str) -> str:
     """One comma taken off each end."""
-    return F.regexp_replace(text, "^,|,$", "")
+    return f"regexp_replace({text}, '^,|,$', '')"
 
 
-def two_digits(text: Column) -> Column:
+def two_digits(text: str) -> str:
     """A zero in front unless the text already has two characters."""
-    return F.when(F.length(text) == 2, text).otherwise(F.concat(F.lit("0"), text))
+    return f"if(length({text}) = 2, {text}, concat('0', {text}))"
 
 
-def half_up(number: Column, places: int) -> Column:
+def half_up(number: str, places: int) -> str:
     """Round half up on the decimal form, which is what Spark's ``round`` does."""
-    return F.round(number, places)
+    return f"round({number}, {places})"
 
 
-def ratio(part: Column, whole: Column) -> Column:
+def ratio(part: str, whole: str) -> str:
     """``part / whole`` to two places; 0 when there is nothing to divide by."""
-    return half_up(part / F.greatest(whole, F.lit(1)), 2)
+    return half_up(f"{part} / greatest({whole}, 1)", 2)

@@ -7,23 +7,24 @@ from __future__ import annotations
 
 from itertools import pairwise
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import parse_time
 from visitlens.functions.values import ratio
 
 
-def _slot(pages: list[int]) -> Column:
-    """Position of ``page_id`` among the sorted flow pages: odd on a page, even between two.
+def _slot(pages: list[int]) -> str:
+    """Place of ``page_id`` among the sorted flow pages: odd on a page, even between two.
 
     Pages outside the flow that lie between the same two flow pages share a slot. They
-    cannot take part in a conversion, and sharing keeps the order against flow pages.
+    cannot take part in a conversion, and sharing keeps their order against flow pages.
     """
-    below = F.lit(0)
-    for page in pages:
-        below = below + F.when(F.col("page_id") > page, 2).when(F.col("page_id") == page, 1).otherwise(0)
-    return below
+    cases = " ".join(
+        f"when page_id < {page} then {2 * i} when page_id = {page} then {2 * i + 1}"
+        for i, page in enumerate(pages)
+    )
+    return f"case {cases} else {2 * len(pages)} end"
 
 
 def page_convert_rate(actions: DataFrame, flow: tuple[int, ...], task_id: str) -> DataFrame:
@@ -38,39 +39,37 @@ def page_convert_rate(actions: DataFrame, flow: tuple[int, ...], task_id: str) -
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
     pages = sorted(set(flow))
-    slot_of = {page: 2 * i + 1 for i, page in enumerate(pages)}
     visits = actions.groupBy(
         "session_id",
-        parse_time(F.col("action_time")).alias("second"),
-        _slot(pages).alias("slot"),
-    ).agg(F.count(F.lit(1)).alias("n"))
-    in_order = Window.partitionBy("session_id").orderBy("second", "slot")
+        F.expr(f"{parse_time('action_time')} as second"),
+        F.expr(f"{_slot(pages)} as slot"),
+    ).agg(F.expr("count(*) as n"))
     moves = (
-        visits.select("slot", "n", F.lead("slot").over(in_order).alias("next_slot"))
+        visits.selectExpr(
+            "slot",
+            "n",
+            "lead(slot) over (partition by session_id order by second, slot) as next_slot",
+        )
         .groupBy("slot", "next_slot")
-        .agg(F.count(F.lit(1)).alias("moves"), F.sum("n").alias("visits"))
+        .agg(F.expr("count(*) as moves"), F.expr("sum(n) as visits"))
     )
-    rates = [
-        F.struct(
-            F.lit(f"{a}_{b}").alias("page_split"),
-            _rate(slot_of[a], slot_of[b]).alias("convert_rate"),
-        )
+    slot_of = {page: 2 * i + 1 for i, page in enumerate(pages)}
+    rates = ", ".join(
+        f"struct('{a}_{b}' as page_split, {_rate(slot_of[a], slot_of[b])} as convert_rate)"
         for a, b in pairwise(flow)
-    ]
+    )
     return (
-        moves.agg(F.array(*rates).alias("rates"))
-        .select(F.inline("rates"))
-        .select(F.lit(task_id).alias("taskid"), "page_split", "convert_rate")
+        moves.selectExpr(f"array({rates}) as rates")
+        .selectExpr("inline(rates)")
+        .withColumn("taskid", F.lit(task_id))
+        .select("taskid", "page_split", "convert_rate")
     )
 
 
-def _rate(a: int, b: int) -> Column:
-    from_a = F.col("slot") == a
-    total = F.coalesce(F.sum(F.when(from_a, F.col("visits"))), F.lit(0))
-    moved = F.sum(F.when(from_a & (F.col("next_slot") == b), F.col("moves")))
+def _rate(a: int, b: int) -> str:
+    visits = f"coalesce(sum(if(slot = {a}, visits, 0)), 0)"
+    moves = f"if(slot = {a} and next_slot = {b}, moves, 0)"
     if a == b:
         # Repeats of a page within one second were folded into a single row.
-        moved = F.sum(
-            F.when(from_a, F.col("visits") - F.col("moves"))
-        ) + F.coalesce(moved, F.lit(0))
-    return ratio(F.coalesce(moved, F.lit(0)), total)
+        moves += f" + if(slot = {a}, visits - moves, 0)"
+    return ratio(f"coalesce(sum({moves}), 0)", visits)

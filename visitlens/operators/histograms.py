@@ -2,30 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.values import ratio
 from visitlens.schemas import RATIOS, STEP_BUCKETS, VISIT_BUCKETS
 
 
-def _in_bucket(column: str, low: int, high: int | None) -> Column:
-    value = F.col(column)
-    return value >= low if high is None else value.between(low, high)
-
-
-def _bucket_name(column: str, buckets: list[tuple[str, int, int | None]]) -> Column:
-    return F.coalesce(
-        *[F.when(_in_bucket(column, low, high), F.lit(label)) for label, low, high in buckets]
-    )
+def _in_bucket(column: str, low: int, high: int | None) -> str:
+    return f"{column} >= {low}" if high is None else f"{column} between {low} and {high}"
 
 
 def _histogram(sessions: DataFrame, column: str, buckets) -> DataFrame:
+    cases = " ".join(
+        f"when {_in_bucket(column, low, high)} then '{name}'" for name, low, high in buckets
+    )
     return (
-        sessions.select(_bucket_name(column, buckets).alias("bucket"))
-        .where(F.col("bucket").isNotNull())
+        sessions.selectExpr(f"case {cases} end as bucket")
+        .where("bucket is not null")
         .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("sessions"))
+        .agg(F.expr("count(*) as sessions"))
     )
 
 
@@ -44,11 +40,10 @@ def session_stat_ratio(sessions: DataFrame, task_id: str) -> DataFrame:
 
     All counts come from one global aggregate, so each task sends a single row.
     """
-    n = F.count(F.lit(1))
     shares = [
-        ratio(F.count_if(_in_bucket(column, low, high)), n).alias(f"{column}_{label}_ratio")
+        ratio(f"count_if({_in_bucket(column, low, high)})", "count(*)") + f" as {column}_{name}_ratio"
         for column, buckets in (("visit_length", VISIT_BUCKETS), ("step_length", STEP_BUCKETS))
-        for label, low, high in buckets
+        for name, low, high in buckets
     ]
-    stats = sessions.agg(F.lit(task_id).alias("taskid"), n.alias("session_count"), *shares)
-    return stats.select(RATIOS.names)
+    stats = sessions.selectExpr("count(*) as session_count", *shares)
+    return stats.withColumn("taskid", F.lit(task_id)).select(RATIOS.names)

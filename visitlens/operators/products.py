@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def product_status(products: DataFrame) -> DataFrame:
-    return products.select(
+    return products.selectExpr(
         "product_id",
         "product_name",
-        F.get_json_object("extend_info", "$.product_status").cast("int").alias("product_status"),
+        "cast(get_json_object(extend_info, '$.product_status') as int) as product_status",
     )

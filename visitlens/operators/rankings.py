@@ -5,7 +5,7 @@ The inputs declare these outputs without a computation; the definitions are ours
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.schemas import NO_CLICK, TOP10_CATEGORY, TOP10_SESSION
@@ -21,22 +21,22 @@ def session_category_counts(actions: DataFrame, sessions: DataFrame) -> DataFram
     join with one row per category. Text in an id set that is no whole number is no
     category id and is not counted.
     """
-    by_kind = actions.select(
+    by_kind = actions.selectExpr(
         "session_id",
-        F.when(F.col("click_category_id") != NO_CLICK, F.col("click_category_id").cast("string")).alias("click"),
-        F.col("order_category_ids").alias("order"),
-        F.col("pay_category_ids").alias("pay"),
+        f"cast(nullif(click_category_id, {NO_CLICK}) as string) as click",
+        "order_category_ids as order",
+        "pay_category_ids as pay",
     ).unpivot("session_id", ["click", "order", "pay"], "kind", "ids")
     counts = (
-        by_kind.where(F.col("ids").isNotNull())
-        .select("session_id", "kind", F.explode(F.split("ids", ",")).alias("id"))
-        .select("session_id", "kind", F.col("id").try_cast("bigint").alias("category_id"))
-        .where(F.col("category_id").isNotNull())
+        by_kind.where("ids is not null")
+        .selectExpr("session_id", "kind", "explode(split(ids, ',')) as id")
+        .selectExpr("session_id", "kind", "try_cast(id as bigint) as category_id")
+        .where("category_id is not null")
         .groupBy("session_id", "category_id")
         .agg(
-            F.count_if(F.col("kind") == "click").alias("clicks"),
-            F.count_if(F.col("kind") == "order").alias("orders"),
-            F.count_if(F.col("kind") == "pay").alias("pays"),
+            F.expr("count_if(kind = 'click') as clicks"),
+            F.expr("count_if(kind = 'order') as orders"),
+            F.expr("count_if(kind = 'pay') as pays"),
         )
     )
     return counts.join(sessions.select("session_id"), "session_id", "left_semi")
@@ -47,23 +47,23 @@ def top_categories(counts: DataFrame) -> DataFrame:
     return (
         counts.groupBy("category_id")
         .agg(
-            F.sum("clicks").alias("clicks"),
-            F.sum("orders").alias("orders"),
-            F.sum("pays").alias("pays"),
+            F.expr("sum(clicks) as clicks"),
+            F.expr("sum(orders) as orders"),
+            F.expr("sum(pays) as pays"),
         )
-        .orderBy(F.desc("clicks"), F.desc("orders"), F.desc("pays"), "category_id")
+        .orderBy("clicks", "orders", "pays", "category_id", ascending=[False, False, False, True])
         .limit(TOP)
     )
 
 
 def top10_category(counts: DataFrame, task_id: str) -> DataFrame:
-    return top_categories(counts).select(
-        F.lit(task_id).alias("taskid"),
-        F.col("category_id").alias("categoryid"),
-        F.col("clicks").alias("clickCount"),
-        F.col("orders").alias("orderCount"),
-        F.col("pays").alias("payCount"),
-    ).select(TOP10_CATEGORY.names)
+    top = top_categories(counts).selectExpr(
+        "category_id as categoryid",
+        "clicks as clickCount",
+        "orders as orderCount",
+        "pays as payCount",
+    )
+    return top.withColumn("taskid", F.lit(task_id)).select(TOP10_CATEGORY.names)
 
 
 def top10_session(counts: DataFrame, task_id: str) -> DataFrame:
@@ -74,17 +74,16 @@ def top10_session(counts: DataFrame, task_id: str) -> DataFrame:
     shuffle, so a category with a third of all sessions is never sorted in one task.
     """
     best = F.broadcast(top_categories(counts).select("category_id"))
-    order = Window.partitionBy("category_id").orderBy(F.desc("clicks"), "session_id")
-    return (
-        counts.where(F.col("clicks") > 0)
+    top = (
+        counts.where("clicks > 0")
         .join(best, "category_id", "left_semi")
-        .select("category_id", "session_id", "clicks", F.row_number().over(order).alias("rank"))
-        .where(F.col("rank") <= TOP)
-        .select(
-            F.lit(task_id).alias("taskid"),
-            F.col("category_id").alias("categoryid"),
-            F.col("session_id").alias("sessionid"),
-            F.col("clicks").alias("clickCount"),
+        .selectExpr(
+            "category_id as categoryid",
+            "session_id as sessionid",
+            "clicks as clickCount",
+            """row_number() over (partition by category_id
+                                 order by clicks desc, session_id) as rank""",
         )
-        .select(TOP10_SESSION.names)
+        .where(f"rank <= {TOP}")
     )
+    return top.withColumn("taskid", F.lit(task_id)).select(TOP10_SESSION.names)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time
-from visitlens.operators.sessions import clicked_category, searched_keyword
+from visitlens.operators.sessions import CATEGORY, KEYWORD
 from visitlens.schemas import RANDOM_EXTRACT, SESSION_DETAIL
 
 # Fixed value: sessions drawn per task.
@@ -14,11 +14,8 @@ SAMPLE_SIZE = 100
 
 
 def _by_hour(sessions: DataFrame) -> DataFrame:
-    return sessions.select(
-        "session_id",
-        "start_ts",
-        F.to_date("start_ts").alias("date"),
-        F.hour("start_ts").alias("hour"),
+    return sessions.selectExpr(
+        "session_id", "start_ts", "to_date(start_ts) as date", "hour(start_ts) as hour"
     )
 
 
@@ -28,16 +25,14 @@ def hourly_counts(sessions: DataFrame) -> DataFrame:
     The windows run over the hourly counts, at most 24 rows per calendar day however
     many sessions there are.
     """
-    all_dates = Window.partitionBy(F.lit(0))
     return (
         _by_hour(sessions)
         .groupBy("date", "hour")
-        .agg(F.count(F.lit(1)).alias("hour_count"))
-        .withColumns(
-            {
-                "date_count": F.sum("hour_count").over(Window.partitionBy("date")),
-                "n_dates": F.size(F.collect_set("date").over(all_dates)),
-            }
+        .agg(F.expr("count(*) as hour_count"))
+        .selectExpr(
+            "*",
+            "sum(hour_count) over (partition by date) as date_count",
+            "size(collect_set(date) over (partition by 0)) as n_dates",
         )
     )
 
@@ -49,10 +44,8 @@ def sample_quota(sessions: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
     never more than it has. Quotas therefore add up to ``size`` at most, and to 0
     when there are more dates than ``size``.
     """
-    share = F.col("hour_count") / F.col("date_count") * F.expr(f"{int(size)} div n_dates")
-    return hourly_counts(sessions).withColumn(
-        "quota", F.least(F.floor(share), F.col("hour_count"))
-    )
+    share = f"floor(hour_count / date_count * ({int(size)} div n_dates))"
+    return hourly_counts(sessions).selectExpr("*", f"least({share}, hour_count) as quota")
 
 
 def draw_sessions(sessions: DataFrame, seed: str, size: int = SAMPLE_SIZE) -> DataFrame:
@@ -95,50 +88,38 @@ def random_extract(actions: DataFrame, drawn: DataFrame, task_id: str) -> DataFr
     """
     values = (
         actions_of(actions, drawn)
-        .select(
-            "session_id",
-            searched_keyword().alias("keyword"),
-            clicked_category().alias("category_id"),
-        )
+        .selectExpr("session_id", f"{KEYWORD} as keyword", f"{CATEGORY} as category_id")
         .distinct()
     )
     lists = values.groupBy("session_id").agg(
-        F.array_join(F.sort_array(F.collect_set("keyword")), ",").alias("searchKeywords"),
-        F.array_join(
-            F.sort_array(F.collect_set("category_id")).cast("array<string>"), ","
-        ).alias("clickCategoryIds"),
+        F.expr("array_join(sort_array(collect_set(keyword)), ',') as searchKeywords"),
+        F.expr(
+            "array_join(cast(sort_array(collect_set(category_id)) as array<string>), ',')"
+            " as clickCategoryIds"
+        ),
     )
-    return (
-        F.broadcast(drawn)
-        .join(lists, "session_id")
-        .select(
-            F.lit(task_id).alias("taskid"),
-            F.col("session_id").alias("sessionid"),
-            format_time(F.col("start_ts")).alias("startTime"),
-            "searchKeywords",
-            "clickCategoryIds",
-        )
-        .select(RANDOM_EXTRACT.names)
+    extract = F.broadcast(drawn).join(lists, "session_id").selectExpr(
+        "session_id as sessionid",
+        f"{format_time('start_ts')} as startTime",
+        "searchKeywords",
+        "clickCategoryIds",
     )
+    return extract.withColumn("taskid", F.lit(task_id)).select(RANDOM_EXTRACT.names)
 
 
 def session_detail(actions: DataFrame, drawn: DataFrame, task_id: str) -> DataFrame:
     """Every action of the drawn sessions."""
-    return (
-        actions_of(actions, drawn)
-        .select(
-            F.lit(task_id).alias("taskid"),
-            F.col("user_id").alias("userid"),
-            F.col("session_id").alias("sessionid"),
-            F.col("page_id").alias("pageid"),
-            F.col("action_time").alias("actionTime"),
-            F.col("search_keyword").alias("searchKeyword"),
-            F.col("click_category_id").alias("clickCategoryId"),
-            F.col("click_product_id").alias("clickProductId"),
-            F.col("order_category_ids").alias("orderCategoryIds"),
-            F.col("order_product_ids").alias("orderProductIds"),
-            F.col("pay_category_ids").alias("payCategoryIds"),
-            F.col("pay_product_ids").alias("payProductIds"),
-        )
-        .select(SESSION_DETAIL.names)
+    detail = actions_of(actions, drawn).selectExpr(
+        "user_id as userid",
+        "session_id as sessionid",
+        "page_id as pageid",
+        "action_time as actionTime",
+        "search_keyword as searchKeyword",
+        "click_category_id as clickCategoryId",
+        "click_product_id as clickProductId",
+        "order_category_ids as orderCategoryIds",
+        "order_product_ids as orderProductIds",
+        "pay_category_ids as payCategoryIds",
+        "pay_product_ids as payProductIds",
     )
+    return detail.withColumn("taskid", F.lit(task_id)).select(SESSION_DETAIL.names)

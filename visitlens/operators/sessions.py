@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time, parse_time, seconds_between
-from visitlens.functions.values import is_not_empty
 from visitlens.operators.filters import behaviour_flags, in_date_range, session_predicate
 from visitlens.params import TaskParams
 from visitlens.schemas import NO_CLICK, NO_USER
@@ -14,25 +13,27 @@ from visitlens.schemas import NO_CLICK, NO_USER
 PROFILE = ["age", "professional", "sex", "city"]
 
 
-def searched_keyword() -> Column:
-    """The keyword of a search; null for any other action."""
-    return F.when(is_not_empty(F.col("search_keyword")), F.col("search_keyword"))
+# What an action says about its session; null where it says nothing.
+KEYWORD = "nullif(search_keyword, '')"
+CATEGORY = f"nullif(click_category_id, {NO_CLICK})"
+USER = f"nullif(user_id, {NO_USER})"
+WHEN = parse_time("action_time")
 
 
-def clicked_category() -> Column:
-    """The category of a click; null for any other action."""
-    return F.when(F.col("click_category_id") != NO_CLICK, F.col("click_category_id"))
+def _measures(user: str, start: str, end: str, steps: str) -> list[Column]:
+    return [
+        F.expr(f"min({user}) as user_id"),
+        F.expr(f"min({start}) as start_ts"),
+        F.expr(f"max({end}) as end_ts"),
+        F.expr(f"{steps} as step_length"),
+    ]
 
 
-def _known_user() -> Column:
-    return F.when(F.col("user_id") != NO_USER, F.col("user_id"))
-
-
-def _with_lengths(sessions: DataFrame) -> DataFrame:
+def _with_visit_length(sessions: DataFrame) -> DataFrame:
     return sessions.withColumns(
         {
-            "user_id": F.coalesce("user_id", F.lit(NO_USER)),
-            "visit_length": seconds_between(F.col("start_ts"), F.col("end_ts")),
+            "user_id": F.expr(f"coalesce(user_id, {NO_USER})"),
+            "visit_length": F.expr(seconds_between("start_ts", "end_ts")),
         }
     ).drop("end_ts")
 
@@ -45,15 +46,11 @@ def session_totals(actions: DataFrame, params: TaskParams) -> DataFrame:
     final task as one row per map task. Keyword and category filters are decided
     here by flags; no set of values is built to test them.
     """
-    when = parse_time(F.col("action_time"))
     sessions = actions.groupBy("session_id").agg(
-        F.min(_known_user()).alias("user_id"),
-        F.min(when).alias("start_ts"),
-        F.max(when).alias("end_ts"),
-        F.count(F.lit(1)).alias("step_length"),
-        *behaviour_flags(params, searched_keyword(), clicked_category()),
+        *_measures(USER, WHEN, WHEN, "count(*)"),
+        *behaviour_flags(params, F.expr(KEYWORD), F.expr(CATEGORY)),
     )
-    return _with_lengths(sessions)
+    return _with_visit_length(sessions)
 
 
 def session_records(actions: DataFrame, params: TaskParams) -> DataFrame:
@@ -63,27 +60,18 @@ def session_records(actions: DataFrame, params: TaskParams) -> DataFrame:
     is spread over tasks and only its distinct values meet in the second one, which
     writes them into the session's one record.
     """
-    when = parse_time(F.col("action_time"))
     values = actions.groupBy(
         "session_id",
-        searched_keyword().alias("keyword"),
-        clicked_category().alias("category_id"),
-    ).agg(
-        F.min(_known_user()).alias("user_id"),
-        F.min(when).alias("start_ts"),
-        F.max(when).alias("end_ts"),
-        F.count(F.lit(1)).alias("step_length"),
-    )
+        F.expr(f"{KEYWORD} as keyword"),
+        F.expr(f"{CATEGORY} as category_id"),
+    ).agg(*_measures(USER, WHEN, WHEN, "count(*)"))
     sessions = values.groupBy("session_id").agg(
-        F.min("user_id").alias("user_id"),
-        F.min("start_ts").alias("start_ts"),
-        F.max("end_ts").alias("end_ts"),
-        F.sum("step_length").alias("step_length"),
-        F.sort_array(F.collect_set("keyword")).alias("search_keywords"),
-        F.sort_array(F.collect_set("category_id")).alias("click_category_ids"),
+        *_measures("user_id", "start_ts", "end_ts", "sum(step_length)"),
+        F.expr("sort_array(collect_set(keyword)) as search_keywords"),
+        F.expr("sort_array(collect_set(category_id)) as click_category_ids"),
         *behaviour_flags(params, F.col("keyword"), F.col("category_id")),
     )
-    return _with_lengths(sessions)
+    return _with_visit_length(sessions)
 
 
 def with_profiles(sessions: DataFrame, users: DataFrame) -> DataFrame:
@@ -109,12 +97,12 @@ def filtered_records(actions: DataFrame, users: DataFrame, params: TaskParams) -
 
 def as_session_record(records: DataFrame) -> DataFrame:
     """The outward form of a session record."""
-    return records.select(
-        F.col("session_id").alias("sessionid"),
-        F.array_join("search_keywords", ",").alias("searchKeywords"),
-        F.array_join(F.col("click_category_ids").cast("array<string>"), ",").alias("clickCategoryIds"),
-        F.col("visit_length").alias("visitLength"),
-        F.col("step_length").alias("stepLength"),
-        format_time(F.col("start_ts")).alias("startTime"),
+    return records.selectExpr(
+        "session_id as sessionid",
+        "array_join(search_keywords, ',') as searchKeywords",
+        "array_join(cast(click_category_ids as array<string>), ',') as clickCategoryIds",
+        "visit_length as visitLength",
+        "step_length as stepLength",
+        f"{format_time('start_ts')} as startTime",
         *PROFILE,
     )

@@ -20,7 +20,7 @@ from visitlens.operators import (
 from visitlens.operators.filters import in_date_range
 from visitlens.params import TaskParams
 from visitlens.sinks.shared import shared_folder
-from visitlens.sources.driver_tables import ad_lines_from_events, from_driver_tables
+from visitlens.sources import driver_tables as tables
 from visitlens.streaming import ad_clicks
 
 TASK_ID = "task-1"
@@ -53,34 +53,43 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return in_date_range(from_driver_tables(spark, sf_dir).actions, TASK)
+    return in_date_range(tables.actions(spark, sf_dir), TASK)
+
+
+def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.filtered_sessions(
+        tables.actions(spark, sf_dir), tables.users(spark, sf_dir), TASK
+    )
 
 
 def _records(params: TaskParams) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = from_driver_tables(spark, sf_dir)
-        return sessions.as_session_record(
-            sessions.filtered_records(tables.actions, tables.users, params)
+        records = sessions.filtered_records(
+            tables.actions(spark, sf_dir), tables.users(spark, sf_dir), params
         )
+        return sessions.as_session_record(records)
 
     return query
 
 
-def _over_sessions(operator: Callable[[DataFrame], DataFrame]) -> Query:
+def _over_sessions(operator: Callable[..., DataFrame], *args) -> Query:
+    return lambda spark, sf_dir: operator(_sessions(spark, sf_dir), *args)
+
+
+def _over_sample(operator: Callable[..., DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = from_driver_tables(spark, sf_dir)
-        return operator(sessions.filtered_sessions(tables.actions, tables.users, TASK))
+        drawn = sampling.draw_sessions(_sessions(spark, sf_dir), SEED)
+        return operator(_actions(spark, sf_dir), drawn, TASK_ID)
 
     return query
 
 
-def _over_actions_and_sessions(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+def _over_categories(operator: Callable[..., DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = from_driver_tables(spark, sf_dir)
-        return operator(
-            in_date_range(tables.actions, TASK),
-            sessions.filtered_sessions(tables.actions, tables.users, TASK),
+        counts = rankings.session_category_counts(
+            _actions(spark, sf_dir), _sessions(spark, sf_dir)
         )
+        return operator(counts, TASK_ID)
 
     return query
 
@@ -90,51 +99,53 @@ def _sessions_per_hour(found: DataFrame) -> DataFrame:
 
 
 def _sample_quota(found: DataFrame) -> DataFrame:
-    return sampling.sample_quota(found).select(
-        F.col("date").cast("string").alias("date"), "hour", "hour_count", "quota"
+    return sampling.sample_quota(found).selectExpr(
+        "cast(date as string) as date", "hour", "hour_count", "quota"
     )
 
 
 def _time_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ts = times.parse_time(F.col("action_time"))
-    day = times.parse_time(F.col("date"))
-    return _actions(spark, sf_dir).select(
-        "session_id",
-        "action_time",
-        (ts < day + F.expr("interval 10 hours")).alias("before_ten"),
-        (ts > day + F.expr("interval 10 hours")).alias("after_ten"),
-        times.seconds_between(day, ts).alias("second_of_day"),
-        times.date_hour(ts).alias("date_hour"),
-        times.format_date(ts).alias("day"),
-        times.date_key(ts).alias("date_key"),
-        times.minute_key(ts).alias("minute_key"),
-        times.format_time(ts).alias("time"),
-        times.format_date(times.parse_date_key(times.date_key(ts))).alias("day_of_key"),
-        values.is_empty(F.col("search_keyword")).alias("no_keyword"),
-        values.is_not_empty(F.col("search_keyword")).alias("has_keyword"),
-        values.half_up(F.col("page_id") / 8, 2).alias("page_eighths"),
-        values.trim_comma(F.concat(F.lit(","), "session_id", F.lit(","))).alias("trimmed"),
-        values.two_digits(F.col("page_id").cast("string")).alias("page_two_digits"),
+    ts, day = times.parse_time("action_time"), times.parse_time("date")
+    ten = "concat(date, ' 10:00:00')"
+    expressions = {
+        "session_id": "session_id",
+        "action_time": "action_time",
+        "before_ten": times.before("action_time", ten),
+        "after_ten": times.after("action_time", ten),
+        "second_of_day": times.seconds_between(day, ts),
+        "date_hour": times.date_hour(ts),
+        "day": times.format_date(ts),
+        "date_key": times.date_key(ts),
+        "minute_key": times.minute_key(ts),
+        "time": times.format_time(ts),
+        "day_of_key": times.format_date(times.parse_date_key(times.date_key(ts))),
+        "no_keyword": values.is_empty("search_keyword"),
+        "has_keyword": values.is_not_empty("search_keyword"),
+        "page_eighths": values.half_up("page_id / 8", 2),
+        "trimmed": values.trim_comma("concat(',', session_id, ',')"),
+        "page_two_digits": values.two_digits("cast(page_id as string)"),
+    }
+    return _actions(spark, sf_dir).selectExpr(
+        *[f"{expression} as {name}" for name, expression in expressions.items()]
     )
 
 
 def _click_columns(clicks: DataFrame) -> DataFrame:
-    return clicks.select(F.unix_millis("ts").alias("millis"), "province", "city", "user_id", "ad_id")
+    return clicks.selectExpr("unix_millis(ts) as millis", "province", "city", "user_id", "ad_id")
 
 
 def _ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = ad_lines_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    lines = tables.ad_lines(tables.events(spark, sf_dir))
     return _click_columns(ad_clicks.parse_ad_lines(lines))
 
 
 def _ad_click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same clicks through a streaming query and its Parquet sink."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    clicks = ad_clicks.parse_ad_lines(ad_lines_from_events(events))
+    lines = tables.ad_lines(tables.event_stream(spark, sf_dir))
+    clicks = ad_clicks.parse_ad_lines(lines)
     folder = shared_folder(spark)
     ad_clicks.append_to_folder(clicks, f"{folder}/clicks", f"{folder}/progress").awaitTermination()
-    return _click_columns(spark.read.parquet(f"{folder}/clicks"))
+    return _click_columns(spark.read.schema(clicks.schema).parquet(f"{folder}/clicks"))
 
 
 def all_queries() -> dict[str, Query]:
@@ -144,36 +155,18 @@ def all_queries() -> dict[str, Query]:
         **{name: _records(params) for name, params in FILTERS.items()},
         "visit_length_histogram": _over_sessions(histograms.visit_length_histogram),
         "step_length_histogram": _over_sessions(histograms.step_length_histogram),
-        "session_stat_ratio": _over_sessions(
-            lambda found: histograms.session_stat_ratio(found, TASK_ID)
-        ),
+        "session_stat_ratio": _over_sessions(histograms.session_stat_ratio, TASK_ID),
         "sessions_per_hour": _over_sessions(_sessions_per_hour),
         "sample_quota": _over_sessions(_sample_quota),
-        "session_random_extract": _over_actions_and_sessions(
-            lambda actions, found: sampling.random_extract(
-                actions, sampling.draw_sessions(found, SEED), TASK_ID
-            )
-        ),
-        "session_detail": _over_actions_and_sessions(
-            lambda actions, found: sampling.session_detail(
-                actions, sampling.draw_sessions(found, SEED), TASK_ID
-            )
-        ),
-        "top10_category": _over_actions_and_sessions(
-            lambda actions, found: rankings.top10_category(
-                rankings.session_category_counts(actions, found), TASK_ID
-            )
-        ),
-        "top10_session": _over_actions_and_sessions(
-            lambda actions, found: rankings.top10_session(
-                rankings.session_category_counts(actions, found), TASK_ID
-            )
-        ),
+        "session_random_extract": _over_sample(sampling.random_extract),
+        "session_detail": _over_sample(sampling.session_detail),
+        "top10_category": _over_categories(rankings.top10_category),
+        "top10_session": _over_categories(rankings.top10_session),
         "page_convert_rate": lambda spark, sf_dir: conversion.page_convert_rate(
             _actions(spark, sf_dir), TASK.target_page_flow, TASK_ID
         ),
         "product_status": lambda spark, sf_dir: products.product_status(
-            from_driver_tables(spark, sf_dir).products
+            tables.products(spark, sf_dir)
         ),
         "time_keys": _time_keys,
         "ad_clicks": _ad_clicks,

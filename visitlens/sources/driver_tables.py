@@ -7,132 +7,107 @@ Everything is integer and text arithmetic, so any SQL engine derives the same ro
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.schemas import ACTIONS, PRODUCTS, USERS, checked
-from visitlens.sources.tables import Tables
+EVENTS = "event_id bigint, user_id bigint, event_type string, props string"
+CUSTOMERS = "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string"
+NATIONS = "n_nationkey int, n_name string"
+PARTS = "p_partkey bigint, p_name string"
 
-# First position of each session in a block, and the seconds between
-# actions by block number modulo 3.
-SESSION_STARTS = [0, 1, 3, 7, 15, 31, 63]
-STEP_SECONDS = [1, 5, 30]
 
+def _read(spark: SparkSession, sf_dir: str, table: str, columns: str) -> DataFrame:
+    return spark.read.schema(columns).parquet(f"{sf_dir}/{table}.parquet")
 
-def from_driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    def read(name):
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    return Tables(
-        actions_from_events(read("events")),
-        users_from_customers(read("customer"), read("nation")),
-        products_from_parts(read("part")),
-    )
-
-
-def _text(value: Column) -> Column:
-    return value.cast("string")
-
-
-def _two(value: Column) -> Column:
-    return F.lpad(_text(value), 2, "0")
-
-
-def actions_from_events(events: DataFrame) -> DataFrame:
-    pos = F.col("pos")
-    later = [F.when(pos >= start, 1).otherwise(0) for start in SESSION_STARTS[1:]]
-    session_in_block = sum(later[1:], later[0])
-    started = F.coalesce(*[F.when(pos >= start, F.lit(start)) for start in reversed(SESSION_STARTS)])
-    gap = F.element_at(F.array(*map(F.lit, STEP_SECONDS)), (F.col("blk") % 3 + 1).cast("int"))
+def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user_visit_action`` from the events."""
     placed = (
-        events.select(
+        _read(spark, sf_dir, "events", EVENTS)
+        .selectExpr(
             "event_id",
             "event_type",
-            F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-            F.expr("event_id div 127").alias("blk"),
-            (F.col("event_id") % 127).alias("pos"),
+            "cast(get_json_object(props, '$.k') as bigint) as k",
+            "event_id div 127 as blk",
+            "event_id % 127 as pos",
         )
-        .withColumns(
-            {
-                "sub": session_in_block,
-                "sec": (pos - started) * gap,
-                "date": F.concat(F.lit("2024-01-0"), _text(1 + F.col("blk") % 5)),
-                "product": F.col("event_id") % 100,
-            }
+        .selectExpr(
+            "*",
+            # Session in the block, its first position, and the seconds between its actions.
+            """case when pos < 1 then 0 when pos < 3 then 1 when pos < 7 then 2
+                    when pos < 15 then 3 when pos < 31 then 4 when pos < 63 then 5
+                    else 6 end as sub""",
+            """case when pos < 1 then 0 when pos < 3 then 1 when pos < 7 then 3
+                    when pos < 15 then 7 when pos < 31 then 15 when pos < 63 then 31
+                    else 63 end as sub0""",
+            "case blk % 3 when 0 then 1 when 1 then 5 else 30 end as gap",
         )
+        .selectExpr(
+            "*",
+            "(pos - sub0) * gap as sec",
+            "concat('2024-01-0', 1 + blk % 5) as date",
+            "cast(event_id % 100 as string) as product",
+        )
+    )
+    return placed.selectExpr(
+        "date",
+        "(blk * 7 + sub) % 160 as user_id",
+        "concat('s', blk, '_', sub) as session_id",
+        "(event_id + k) % 10 as page_id",
+        """concat(date, ' ',
+                  lpad(cast(8 + (blk div 5) % 4 + sec div 3600 as string), 2, '0'), ':',
+                  lpad(cast(sec % 3600 div 60 as string), 2, '0'), ':',
+                  lpad(cast(sec % 60 as string), 2, '0')) as action_time""",
+        "case when event_type = 'view' then concat('kw', k % 20) end as search_keyword",
+        "case when event_type = 'click' then k else -1 end as click_category_id",
+        "case when event_type = 'click' then event_id % 100 else -1 end as click_product_id",
+        """case when event_type = 'signup' then
+             case when k % 4 = 0 then concat(k, ',', (k + 1) % 100) else cast(k as string) end
+           end as order_category_ids""",
+        "case when event_type = 'signup' then product end as order_product_ids",
+        "case when event_type = 'purchase' then cast(k as string) end as pay_category_ids",
+        "case when event_type = 'purchase' then product end as pay_product_ids",
+        "(blk * 7 + sub) % 10 as city_id",
     )
 
-    def only(kind: str, value: Column) -> Column:
-        return F.when(F.col("event_type") == kind, value)
 
-    k, sec = F.col("k"), F.col("sec")
-    ordered = F.concat(
-        _text(k), F.when(k % 4 == 0, F.concat(F.lit(","), _text((k + 1) % 100))).otherwise("")
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user_info`` from nine customers of ten; some sessions are left without a profile."""
+    customers = _read(spark, sf_dir, "customer", CUSTOMERS).where("c_custkey % 10 <> 9")
+    nations = _read(spark, sf_dir, "nation", NATIONS).withColumnRenamed("n_nationkey", "c_nationkey")
+    return customers.join(nations, "c_nationkey").selectExpr(
+        "c_custkey as user_id",
+        "c_name as username",
+        "c_name as name",
+        "cast(c_custkey * 7 % 60 as int) as age",
+        "c_mktsegment as professional",
+        "n_name as city",
+        "if(c_custkey % 2 = 0, 'male', 'female') as sex",
     )
-    actions = placed.select(
-        "date",
-        ((F.col("blk") * 7 + F.col("sub")) % 160).alias("user_id"),
-        F.concat(F.lit("s"), _text(F.col("blk")), F.lit("_"), _text(F.col("sub"))).alias("session_id"),
-        ((F.col("event_id") + k) % 10).alias("page_id"),
-        F.concat(
-            "date",
-            F.lit(" "),
-            _two(F.expr("8 + (blk div 5) % 4 + sec div 3600")),
-            F.lit(":"),
-            _two(F.expr("(sec % 3600) div 60")),
-            F.lit(":"),
-            _two(sec % 60),
-        ).alias("action_time"),
-        only("view", F.concat(F.lit("kw"), _text(k % 20))).alias("search_keyword"),
-        F.coalesce(only("click", k), F.lit(-1)).alias("click_category_id"),
-        F.coalesce(only("click", F.col("product")), F.lit(-1)).alias("click_product_id"),
-        only("signup", ordered).alias("order_category_ids"),
-        only("signup", _text(F.col("product"))).alias("order_product_ids"),
-        only("purchase", _text(k)).alias("pay_category_ids"),
-        only("purchase", _text(F.col("product"))).alias("pay_product_ids"),
-        ((F.col("blk") * 7 + F.col("sub")) % 10).alias("city_id"),
+
+
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``product_info`` from the parts."""
+    return _read(spark, sf_dir, "part", PARTS).selectExpr(
+        "p_partkey as product_id",
+        "p_name as product_name",
+        """concat('{"product_status": ', p_partkey % 2, '}') as extend_info""",
     )
-    return checked(actions, ACTIONS, "derived actions")
-
-
-def users_from_customers(customers: DataFrame, nations: DataFrame) -> DataFrame:
-    """Nine customers of ten; the missing tenth leaves sessions without a profile."""
-    key = F.col("c_custkey")
-    users = (
-        customers.where(key % 10 != 9)
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            key.alias("user_id"),
-            F.col("c_name").alias("username"),
-            F.col("c_name").alias("name"),
-            (key * 7 % 60).cast("int").alias("age"),
-            F.col("c_mktsegment").alias("professional"),
-            F.col("n_name").alias("city"),
-            F.when(key % 2 == 0, "male").otherwise("female").alias("sex"),
-        )
+
+
+def ad_lines(events: DataFrame) -> DataFrame:
+    """One ad line per event, streaming or not; error events give a line that is cut short."""
+    return events.selectExpr(
+        """concat_ws(' ', 1704067200000 + event_id * 1000, event_id % 10, event_id % 10,
+                     user_id % 100,
+                     case when event_type <> 'error' then event_id % 20 end) as value"""
     )
-    return checked(users, USERS, "derived users")
 
 
-def products_from_parts(parts: DataFrame) -> DataFrame:
-    key = F.col("p_partkey")
-    status = F.concat(F.lit('{"product_status": '), _text(key % 2), F.lit("}"))
-    products = parts.select(
-        key.alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        status.alias("extend_info"),
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "events", EVENTS)
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
-    return checked(products, PRODUCTS, "derived products")
-
-
-def ad_lines_from_events(events: DataFrame) -> DataFrame:
-    """One ad line per event; error events give a line that is cut short."""
-    event = F.col("event_id")
-    parts = [
-        _text(F.lit(1704067200000) + event * 1000),
-        _text(event % 10),
-        _text(event % 10),
-        _text(F.col("user_id") % 100),
-    ]
-    ad = F.when(F.col("event_type") != "error", _text(event % 20))
-    return events.select(F.concat_ws(" ", *parts, ad).alias("value"))

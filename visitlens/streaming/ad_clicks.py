@@ -35,14 +35,13 @@ def parse_ad_lines(lines: DataFrame) -> DataFrame:
 
     Row by row and stateless: no shuffle, no state store.
     """
-    token = F.split("value", " ")
-    typed = lines.select(token.alias("token")).where(F.size("token") == 5)
     names = ["millis", "province", "city", "user_id", "ad_id"]
-    whole = [F.get("token", F.lit(i)).try_cast("bigint").alias(n) for i, n in enumerate(names)]
     return (
-        typed.select(*whole)
+        lines.selectExpr("split(value, ' ') as token")
+        .where("size(token) = 5")
+        .selectExpr(*[f"try_cast(token[{i}] as bigint) as {name}" for i, name in enumerate(names)])
         .dropna()
-        .select(F.timestamp_millis("millis").alias("ts"), "province", "city", "user_id", "ad_id")
+        .selectExpr("timestamp_millis(millis) as ts", "province", "city", "user_id", "ad_id")
     )
 
 
