@@ -42,10 +42,11 @@ def session_category_counts(actions: DataFrame, sessions: DataFrame) -> DataFram
     return counts.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
-def top_categories(counts: DataFrame) -> DataFrame:
+def top_categories(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """The leading categories by clicks, then orders, then payments, then id."""
     return (
-        counts.groupBy("category_id")
+        session_category_counts(actions, sessions)
+        .groupBy("category_id")
         .agg(
             F.expr("sum(clicks) as clicks"),
             F.expr("sum(orders) as orders"),
@@ -56,34 +57,43 @@ def top_categories(counts: DataFrame) -> DataFrame:
     )
 
 
-def top10_category(counts: DataFrame, task_id: str) -> DataFrame:
-    top = top_categories(counts).selectExpr(
-        "category_id as categoryid",
-        "clicks as clickCount",
-        "orders as orderCount",
-        "pays as payCount",
-    )
-    return top.withColumn("taskid", F.lit(task_id)).select(TOP10_CATEGORY.names)
+def top10_category(best: DataFrame, task_id: str) -> DataFrame:
+    """The outward form of ``top_categories``."""
+    return best.select(
+        F.lit(task_id).alias("taskid"),
+        F.expr("category_id as categoryid"),
+        F.expr("clicks as clickCount"),
+        F.expr("orders as orderCount"),
+        F.expr("pays as payCount"),
+    ).select(TOP10_CATEGORY.names)
 
 
-def top10_session(counts: DataFrame, task_id: str) -> DataFrame:
-    """Per top category, the sessions that clicked it most.
+def top10_session(
+    actions: DataFrame, sessions: DataFrame, best: DataFrame, task_id: str
+) -> DataFrame:
+    """Per category of ``best``, the sessions that clicked it most.
 
-    The categories number at most ``TOP``, a bound that makes the broadcast safe. The
-    constant bound on the rank lets each task keep only its own best before the
-    shuffle, so a category with a third of all sessions is never sorted in one task.
+    ``best`` holds at most ``TOP`` rows, which makes the broadcast safe; only clicks on
+    those categories leave the scan. The constant bound on the rank lets each task keep
+    only its own best rows before the shuffle, so a category clicked by a third of all
+    sessions is never sorted in one task.
     """
-    best = F.broadcast(top_categories(counts).select("category_id"))
-    top = (
-        counts.where("clicks > 0")
-        .join(best, "category_id", "left_semi")
-        .selectExpr(
-            "category_id as categoryid",
-            "session_id as sessionid",
-            "clicks as clickCount",
-            """row_number() over (partition by category_id
-                                 order by clicks desc, session_id) as rank""",
-        )
+    clicks = (
+        actions.selectExpr("session_id", f"nullif(click_category_id, {NO_CLICK}) as category_id")
+        .join(F.broadcast(best.select("category_id")), "category_id", "left_semi")
+        .groupBy("session_id", "category_id")
+        .agg(F.expr("count(*) as clicks"))
+        .join(sessions.select("session_id"), "session_id", "left_semi")
+    )
+    rank = "row_number() over (partition by category_id order by clicks desc, session_id)"
+    return (
+        clicks.selectExpr("*", f"{rank} as rank")
         .where(f"rank <= {TOP}")
+        .select(
+            F.lit(task_id).alias("taskid"),
+            F.expr("category_id as categoryid"),
+            F.expr("session_id as sessionid"),
+            F.expr("clicks as clickCount"),
+        )
+        .select(TOP10_SESSION.names)
     )
-    return top.withColumn("taskid", F.lit(task_id)).select(TOP10_SESSION.names)

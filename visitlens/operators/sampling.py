@@ -67,7 +67,7 @@ def draw_sessions(sessions: DataFrame, seed: str, size: int = SAMPLE_SIZE) -> Da
     return (
         candidates.join(quota, ["date", "hour"])
         .where(F.col("rank") <= F.col("quota"))
-        .select("session_id", "start_ts")
+        .select("session_id", "start_ts", "rank")
     )
 
 
@@ -84,27 +84,29 @@ def random_extract(actions: DataFrame, drawn: DataFrame, task_id: str) -> DataFr
     """The drawn sessions with their keywords and clicked categories.
 
     Value lists are built for the drawn sessions only, from distinct values, so a hot
-    session's actions are never gathered in one place.
+    session's actions are never gathered in one place. The rank keeps apart the rows of
+    a session that two profiles brought into the draw twice.
     """
+    one = ["session_id", "start_ts", "rank"]
     values = (
-        actions_of(actions, drawn)
-        .selectExpr("session_id", f"{KEYWORD} as keyword", f"{CATEGORY} as category_id")
+        actions.join(F.broadcast(drawn), "session_id")
+        .selectExpr(*one, f"{KEYWORD} as keyword", f"{CATEGORY} as category_id")
         .distinct()
     )
-    lists = values.groupBy("session_id").agg(
+    extract = values.groupBy(one).agg(
         F.expr("array_join(sort_array(collect_set(keyword)), ',') as searchKeywords"),
         F.expr(
             "array_join(cast(sort_array(collect_set(category_id)) as array<string>), ',')"
             " as clickCategoryIds"
         ),
     )
-    extract = F.broadcast(drawn).join(lists, "session_id").selectExpr(
-        "session_id as sessionid",
-        f"{format_time('start_ts')} as startTime",
+    return extract.select(
+        F.lit(task_id).alias("taskid"),
+        F.col("session_id").alias("sessionid"),
+        F.expr(f"{format_time('start_ts')} as startTime"),
         "searchKeywords",
         "clickCategoryIds",
-    )
-    return extract.withColumn("taskid", F.lit(task_id)).select(RANDOM_EXTRACT.names)
+    ).select(RANDOM_EXTRACT.names)
 
 
 def session_detail(actions: DataFrame, drawn: DataFrame, task_id: str) -> DataFrame:

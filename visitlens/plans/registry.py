@@ -84,14 +84,15 @@ def _over_sample(operator: Callable[..., DataFrame]) -> Query:
     return query
 
 
-def _over_categories(operator: Callable[..., DataFrame]) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        counts = rankings.session_category_counts(
-            _actions(spark, sf_dir), _sessions(spark, sf_dir)
-        )
-        return operator(counts, TASK_ID)
+def _top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = rankings.top_categories(_actions(spark, sf_dir), _sessions(spark, sf_dir))
+    return rankings.top10_category(best, TASK_ID)
 
-    return query
+
+def _top10_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    actions, found = _actions(spark, sf_dir), _sessions(spark, sf_dir)
+    best = rankings.top_categories(actions, found)
+    return rankings.top10_session(actions, found, best, TASK_ID)
 
 
 def _sessions_per_hour(found: DataFrame) -> DataFrame:
@@ -160,8 +161,8 @@ def all_queries() -> dict[str, Query]:
         "sample_quota": _over_sessions(_sample_quota),
         "session_random_extract": _over_sample(sampling.random_extract),
         "session_detail": _over_sample(sampling.session_detail),
-        "top10_category": _over_categories(rankings.top10_category),
-        "top10_session": _over_categories(rankings.top10_session),
+        "top10_category": _top10_category,
+        "top10_session": _top10_session,
         "page_convert_rate": lambda spark, sf_dir: conversion.page_convert_rate(
             _actions(spark, sf_dir), TASK.target_page_flow, TASK_ID
         ),

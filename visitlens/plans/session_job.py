@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from visitlens.operators.conversion import page_convert_rate
 from visitlens.operators.filters import in_date_range
 from visitlens.operators.histograms import session_stat_ratio
-from visitlens.operators.rankings import session_category_counts, top10_category, top10_session
+from visitlens.operators.rankings import top10_category, top10_session, top_categories
 from visitlens.operators.sampling import draw_sessions, random_extract, session_detail
 from visitlens.operators.sessions import filtered_sessions
 from visitlens.params import TaskParams
@@ -40,9 +40,9 @@ def session_outputs(
 ) -> SessionOutputs:
     """All outputs of a task.
 
-    Three results feed several outputs each: the filtered sessions, the drawn sessions
-    and the counts per (session, category). They are written once to the shared folder;
-    without that every output would scan and shuffle the actions anew.
+    The filtered sessions, the drawn sessions and the top categories feed several outputs
+    each. They are written once to the shared folder; without that every output would
+    scan and shuffle the actions anew.
     """
     folder = shared_folder(spark)
     actions = in_date_range(tables.actions, params)
@@ -53,14 +53,14 @@ def session_outputs(
         f"{folder}/sessions",
     )
     drawn = written(draw_sessions(sessions, seed), f"{folder}/drawn")
-    counts = written(session_category_counts(actions, sessions), f"{folder}/counts")
+    best = written(top_categories(actions, sessions), f"{folder}/best")
     flow = params.target_page_flow
     return SessionOutputs(
         session_stat_ratio=session_stat_ratio(sessions, task_id),
         session_random_extract=random_extract(actions, drawn, task_id),
         session_detail=session_detail(actions, drawn, task_id),
-        top10_category=top10_category(counts, task_id),
-        top10_session=top10_session(counts, task_id),
+        top10_category=top10_category(best, task_id),
+        top10_session=top10_session(actions, sessions, best, task_id),
         page_convert_rate=page_convert_rate(actions, flow, task_id) if len(flow) > 1 else None,
     )
 
