@@ -30,28 +30,49 @@ def _slot(pages: list[int]) -> str:
 def page_convert_rate(actions: DataFrame, flow: tuple[int, ...], task_id: str) -> DataFrame:
     """Per neighbouring pair (a, b) of the flow: moves from a straight to b / visits of a.
 
-    A session's actions are ordered by time and, within a second, by page. Equal
-    (session, second, slot) rows are adjacent in that order, so they are counted
-    before the window: n of them make n - 1 moves from the page to itself and one
-    to whatever comes next. What the window sorts per session is then bounded by the
-    seconds it lasts and the length of the flow, not by its number of actions.
+    A session's actions are ordered by time and, within a second, by page; ``tick`` is
+    that order as one number. Equal ticks of a session are adjacent, so they are counted
+    before anything is sorted: n of them make n - 1 moves from the page to itself and one
+    to whatever comes next. The next tick is then looked up per session and day, and the
+    last tick of a day is tied to the first tick of the session's next day. A session
+    with a third of all actions is thus counted in many tasks and sorted in one piece
+    per day, each bounded by the seconds of a day and the length of the flow.
     """
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
     pages = sorted(set(flow))
-    visits = actions.groupBy(
-        "session_id",
-        F.expr(f"{parse_time('action_time')} as second"),
-        F.expr(f"{_slot(pages)} as slot"),
-    ).agg(F.expr("count(*) as n"))
+    slots = 2 * len(pages) + 1
+    tick = f"unix_seconds({parse_time('action_time')}) * {slots} + {_slot(pages)}"
+    visits = (
+        actions.groupBy("session_id", F.expr(f"{tick} as tick"))
+        .agg(F.expr("count(*) as n"))
+        .withColumn("day", F.expr(f"tick div {86400 * slots}"))
+    )
+    within_day = visits.selectExpr(
+        "tick",
+        "lead(tick) over (partition by session_id, day order by tick) as next_tick",
+        "n",
+        "n - 1 as repeats",
+    )
+    ends = visits.groupBy("session_id", "day").agg(
+        F.expr("min(tick) as first_tick"), F.expr("max(tick) as tick")
+    )
+    over_days = ends.selectExpr(
+        "tick",
+        "lead(first_tick) over (partition by session_id order by day) as next_tick",
+        "0L as n",
+        "0L as repeats",
+    ).where("next_tick is not null")
     moves = (
-        visits.selectExpr(
-            "slot",
-            "n",
-            "lead(slot) over (partition by session_id order by second, slot) as next_slot",
+        within_day.union(over_days)
+        .groupBy(
+            F.expr(f"pmod(tick, {slots}) as slot"), F.expr(f"pmod(next_tick, {slots}) as next_slot")
+        )
+        .agg(
+            F.expr("count(*) as moves"),
+            F.expr("sum(n) as visits"),
+            F.expr("sum(repeats) as repeats"),
         )
-        .groupBy("slot", "next_slot")
-        .agg(F.expr("count(*) as moves"), F.expr("sum(n) as visits"))
     )
     slot_of = {page: 2 * i + 1 for i, page in enumerate(pages)}
     rates = ", ".join(
@@ -70,6 +91,5 @@ def _rate(a: int, b: int) -> str:
     visits = f"coalesce(sum(if(slot = {a}, visits, 0)), 0)"
     moves = f"if(slot = {a} and next_slot = {b}, moves, 0)"
     if a == b:
-        # Repeats of a page within one second were folded into a single row.
-        moves += f" + if(slot = {a}, visits - moves, 0)"
+        moves += f" + if(slot = {a}, repeats, 0)"
     return ratio(f"coalesce(sum({moves}), 0)", visits)
