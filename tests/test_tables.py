@@ -1,10 +1,13 @@
 """Sources, sinks and the whole job."""
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from visitlens.plans.registry import SEED, TASK, TASK_ID
-from visitlens.plans.session_job import session_outputs
+from visitlens.plans.session_job import main, session_outputs
 from visitlens.schemas import ACTION_TABLE, PRODUCT_TABLE, USER_TABLE, USERS, checked
 from visitlens.sinks.shared import shared_folder, written
 from visitlens.sinks.tables import append_jdbc, replace_table
@@ -32,6 +35,27 @@ def test_job_gives_the_same_outputs_as_the_queries(spark, saved):
         assert rows(found) == rows(queries()[name](spark, SF_DIR)), name
 
 
+def test_job_from_the_command_line(spark, saved):
+    spark.sql("CREATE DATABASE results")
+    task = {"startDate": "2024-01-01", "endDate": "2024-01-04", "startAge": 20, "endAge": 50, "sex": ""}
+    common = ["--database", "default", "--output-database", "results", "--seed", SEED]
+    for task_id in ("a", TASK_ID):
+        main(["--task", json.dumps(task), "--task-id", task_id, *common])
+    names = {row.tableName for row in spark.sql("SHOW TABLES IN results").collect()}
+    assert names == {
+        "session_stat_ratio",
+        "session_random_extract",
+        "session_detail",
+        "top10_category",
+        "top10_session",
+    }
+    for name in names:
+        found = spark.table(f"results.{name}")
+        mine = found.where(F.col("taskid") == TASK_ID)
+        assert rows(mine) == rows(queries()[name](spark, SF_DIR)), name
+        assert found.count() == 2 * mine.count()
+
+
 def test_date_range_prunes_partitions(spark, saved):
     plan = saved.actions.where("date between '2024-01-02' and '2024-01-03'").select("session_id")
     text = plan._jdf.queryExecution().executedPlan().toString()

@@ -9,6 +9,7 @@ from __future__ import annotations
 import argparse
 import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,7 +66,7 @@ def session_outputs(
     )
 
 
-def main() -> None:
+def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Session statistics for one task")
     parser.add_argument("--task", required=True, help="task parameters as JSON")
     parser.add_argument("--database", help="database of the input tables")
@@ -75,7 +76,7 @@ def main() -> None:
     parser.add_argument("--jdbc-url", help="also append the ratios to this database")
     parser.add_argument("--jdbc-user", default="")
     parser.add_argument("--jdbc-password-file", help="file that holds the password")
-    args = parser.parse_args()
+    args = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("session").getOrCreate()
     params = TaskParams.from_mapping(json.loads(args.task))
