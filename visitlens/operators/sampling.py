@@ -48,12 +48,13 @@ def sample_quota(sessions: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
     return hourly_counts(sessions).selectExpr("*", f"least({share}, hour_count) as quota")
 
 
-def draw_sessions(sessions: DataFrame, seed: str, size: int = SAMPLE_SIZE) -> DataFrame:
+def draw_sessions(sessions: DataFrame, seed: str) -> DataFrame:
     """The first ``quota`` sessions of every hour, in the order of a seeded hash.
 
-    No quota exceeds ``size``, so the constant bound on the rank changes nothing in
-    the result, but it lets Spark cut each hour to ``size`` rows per task before the
-    shuffle. A crowded hour is never brought together whole.
+    No quota exceeds ``SAMPLE_SIZE``, so the constant bound on the rank changes nothing
+    in the result, but it lets Spark cut each hour to that many rows per task before
+    the shuffle. A crowded hour is never brought together whole. The hash makes the
+    draw repeatable, also when a lost executor's part of it is computed again.
     """
     shuffled = Window.partitionBy("date", "hour").orderBy(
         F.md5(F.concat_ws("|", F.col("session_id"), F.lit(seed))), "session_id"
@@ -61,9 +62,9 @@ def draw_sessions(sessions: DataFrame, seed: str, size: int = SAMPLE_SIZE) -> Da
     candidates = (
         _by_hour(sessions)
         .withColumn("rank", F.row_number().over(shuffled))
-        .where(F.col("rank") <= size)
+        .where(F.col("rank") <= SAMPLE_SIZE)
     )
-    quota = sample_quota(sessions, size).select("date", "hour", "quota")
+    quota = sample_quota(sessions).select("date", "hour", "quota")
     return (
         candidates.join(quota, ["date", "hour"])
         .where(F.col("rank") <= F.col("quota"))
@@ -74,8 +75,8 @@ def draw_sessions(sessions: DataFrame, seed: str, size: int = SAMPLE_SIZE) -> Da
 def actions_of(actions: DataFrame, drawn: DataFrame) -> DataFrame:
     """Actions of the drawn sessions.
 
-    ``drawn`` holds at most ``SAMPLE_SIZE`` rows by construction, so broadcasting it
-    is safe at any scale, and the actions are filtered where they are read.
+    The quotas add up to at most ``SAMPLE_SIZE``, so broadcasting ``drawn`` is safe at
+    any scale, and the actions are filtered where they are read.
     """
     return actions.join(F.broadcast(drawn.select("session_id")), "session_id", "left_semi")
 

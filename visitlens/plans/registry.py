@@ -56,10 +56,9 @@ def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_date_range(tables.actions(spark, sf_dir), TASK)
 
 
-def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.filtered_sessions(
-        tables.actions(spark, sf_dir), tables.users(spark, sf_dir), TASK
-    )
+def _actions_and_sessions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    actions = _actions(spark, sf_dir)
+    return actions, sessions.filtered_sessions(actions, tables.users(spark, sf_dir), TASK)
 
 
 def _records(params: TaskParams) -> Query:
@@ -73,24 +72,28 @@ def _records(params: TaskParams) -> Query:
 
 
 def _over_sessions(operator: Callable[..., DataFrame], *args) -> Query:
-    return lambda spark, sf_dir: operator(_sessions(spark, sf_dir), *args)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _, found = _actions_and_sessions(spark, sf_dir)
+        return operator(found, *args)
+
+    return query
 
 
 def _over_sample(operator: Callable[..., DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        drawn = sampling.draw_sessions(_sessions(spark, sf_dir), SEED)
-        return operator(_actions(spark, sf_dir), drawn, TASK_ID)
+        actions, found = _actions_and_sessions(spark, sf_dir)
+        return operator(actions, sampling.draw_sessions(found, SEED), TASK_ID)
 
     return query
 
 
 def _top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = rankings.top_categories(_actions(spark, sf_dir), _sessions(spark, sf_dir))
-    return rankings.top10_category(best, TASK_ID)
+    actions, found = _actions_and_sessions(spark, sf_dir)
+    return rankings.top10_category(rankings.top_categories(actions, found), TASK_ID)
 
 
 def _top10_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actions, found = _actions(spark, sf_dir), _sessions(spark, sf_dir)
+    actions, found = _actions_and_sessions(spark, sf_dir)
     best = rankings.top_categories(actions, found)
     return rankings.top10_session(actions, found, best, TASK_ID)
 
