@@ -30,57 +30,48 @@ def _slot(pages: list[int]) -> str:
 def page_convert_rate(actions: DataFrame, flow: tuple[int, ...], task_id: str) -> DataFrame:
     """Per neighbouring pair (a, b) of the flow: moves from a straight to b / visits of a.
 
-    A session's actions are ordered by time and, within a second, by page; ``tick`` is
-    that order as one number. Equal ticks of a session are adjacent, so they are counted
-    before anything is sorted: n of them make n - 1 moves from the page to itself and one
-    to whatever comes next. The next tick is then looked up per session and day, and the
-    last tick of a day is tied to the first tick of the session's next day. A session
-    with a third of all actions is thus counted in many tasks and sorted in one piece
-    per day, each bounded by the seconds of a day and the length of the flow.
+    A session's actions are ordered by time and, within a second, by page; a ``tick`` is
+    that order as one number. Equal ticks of a session are adjacent: n of them make n - 1
+    moves from the page to itself, and the distinct tick moves on to the next one. So the
+    distinct ticks are gathered per session and hour, combined within tasks before the
+    shuffle. That is at most 3600 seconds times the slots of the flow, however many
+    actions there are, and one short array for a usual session. The last tick of an hour
+    is tied to the first of the session's next hour by a window over the hours.
     """
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
     pages = sorted(set(flow))
     slots = 2 * len(pages) + 1
     tick = f"unix_seconds({parse_time('action_time')}) * {slots} + {_slot(pages)}"
-    visits = (
-        actions.groupBy("session_id", F.expr(f"{tick} as tick"))
-        .agg(F.expr("count(*) as n"))
-        .withColumn("day", F.expr(f"tick div {86400 * slots}"))
+    hours = (
+        actions.selectExpr("session_id", f"{tick} as tick")
+        .groupBy("session_id", F.expr(f"tick div {3600 * slots} as hour"))
+        .agg(F.expr("sort_array(collect_set(tick)) as ticks"))
     )
-    within_day = visits.selectExpr(
-        "tick",
-        "lead(tick) over (partition by session_id, day order by tick) as next_tick",
-        "n",
-        "n - 1 as repeats",
+    within_hour = hours.selectExpr(
+        "inline(arrays_zip(ticks, slice(ticks, 2, size(ticks)))) as (tick, next_tick)"
     )
-    ends = visits.groupBy("session_id", "day").agg(
-        F.expr("min(tick) as first_tick"), F.expr("max(tick) as tick")
-    )
-    over_days = ends.selectExpr(
-        "tick",
-        "lead(first_tick) over (partition by session_id order by day) as next_tick",
-        "0L as n",
-        "0L as repeats",
+    over_hours = hours.selectExpr(
+        "ticks[size(ticks) - 1] as tick",
+        "lead(ticks[0]) over (partition by session_id order by hour) as next_tick",
     ).where("next_tick is not null")
     moves = (
-        within_day.union(over_days)
+        within_hour.withColumn("distinct", F.lit(1))
+        .union(over_hours.withColumn("distinct", F.lit(0)))
         .groupBy(
             F.expr(f"pmod(tick, {slots}) as slot"), F.expr(f"pmod(next_tick, {slots}) as next_slot")
         )
-        .agg(
-            F.expr("count(*) as moves"),
-            F.expr("sum(n) as visits"),
-            F.expr("sum(repeats) as repeats"),
-        )
+        .agg(F.expr("count(*) as moves"), F.expr("sum(distinct) as distinct"))
     )
+    visits = actions.groupBy(F.expr(f"{_slot(pages)} as slot")).agg(F.expr("count(*) as visits"))
+    counts = moves.unionByName(visits, allowMissingColumns=True)
     slot_of = {page: 2 * i + 1 for i, page in enumerate(pages)}
     rates = ", ".join(
         f"struct('{a}_{b}' as page_split, {_rate(slot_of[a], slot_of[b])} as convert_rate)"
         for a, b in pairwise(flow)
     )
     return (
-        moves.selectExpr(f"array({rates}) as rates")
+        counts.selectExpr(f"array({rates}) as rates")
         .selectExpr("inline(rates)")
         .withColumn("taskid", F.lit(task_id))
         .select("taskid", "page_split", "convert_rate")
@@ -88,8 +79,8 @@ def page_convert_rate(actions: DataFrame, flow: tuple[int, ...], task_id: str) -
 
 
 def _rate(a: int, b: int) -> str:
-    visits = f"coalesce(sum(if(slot = {a}, visits, 0)), 0)"
-    moves = f"if(slot = {a} and next_slot = {b}, moves, 0)"
+    visits = f"coalesce(sum(visits) filter (where slot = {a}), 0)"
+    moved = f"coalesce(sum(moves) filter (where slot = {a} and next_slot = {b}), 0)"
     if a == b:
-        moves += f" + if(slot = {a}, repeats, 0)"
-    return ratio(f"coalesce(sum({moves}), 0)", visits)
+        moved += f" + {visits} - coalesce(sum(distinct) filter (where slot = {a}), 0)"
+    return ratio(f"({moved})", visits)

@@ -12,6 +12,8 @@ from visitlens.params import TaskParams
 
 KEYWORD_HIT = "keyword_hit"
 CATEGORY_HIT = "category_hit"
+NEVER_LISTED_HIT = "never_listed_hit"
+OTHER_KEYWORD = "other_keyword"
 
 # Fixed value: text that no list filter accepts as a value of its own.
 NEVER_LISTED = "-1"
@@ -41,22 +43,26 @@ def sex_filter(params: TaskParams) -> list[Column]:
 
 
 def behaviour_flags(params: TaskParams, keyword: Column, category: Column) -> list[Column]:
-    """One boolean aggregate per active behaviour filter, over a session's actions."""
-    flags = []
+    """One boolean aggregate per test of the behaviour filters, over a session's actions."""
+    tests = {}
     if params.keywords is not None:
-        listed = [value for value in params.keywords if value != NEVER_LISTED]
-        hit = _any(keyword.isin(listed))
+        tests[KEYWORD_HIT] = keyword.isin([v for v in params.keywords if v != NEVER_LISTED])
         if NEVER_LISTED in params.keywords:
-            # Accepted only next to another keyword, never as the session's sole one.
-            hit = hit | (_any(keyword == NEVER_LISTED) & _any(keyword != NEVER_LISTED))
-        flags.append(hit.alias(KEYWORD_HIT))
+            tests[NEVER_LISTED_HIT] = keyword == NEVER_LISTED
+            tests[OTHER_KEYWORD] = keyword != NEVER_LISTED
     if params.category_ids is not None:
-        flags.append(_any(category.isin(list(params.category_ids))).alias(CATEGORY_HIT))
-    return flags
+        tests[CATEGORY_HIT] = category.isin(list(params.category_ids))
+    return [F.coalesce(F.bool_or(test), F.lit(False)).alias(name) for name, test in tests.items()]
 
 
-def _any(condition: Column) -> Column:
-    return F.coalesce(F.bool_or(condition), F.lit(False))
+def merged_flags(params: TaskParams) -> list[Column]:
+    """The same aggregates over flags of parts of a session."""
+    names = [KEYWORD_HIT] if params.keywords is not None else []
+    if params.keywords is not None and NEVER_LISTED in params.keywords:
+        names += [NEVER_LISTED_HIT, OTHER_KEYWORD]
+    if params.category_ids is not None:
+        names.append(CATEGORY_HIT)
+    return [F.bool_or(name).alias(name) for name in names]
 
 
 def session_predicate(params: TaskParams) -> Column:
@@ -68,7 +74,11 @@ def session_predicate(params: TaskParams) -> Column:
         *sex_filter(params),
     ]
     if params.keywords is not None:
-        active.append(F.col(KEYWORD_HIT))
+        hit = F.col(KEYWORD_HIT)
+        if NEVER_LISTED in params.keywords:
+            # Accepted next to another keyword, never as the session's sole one.
+            hit = hit | (F.col(NEVER_LISTED_HIT) & F.col(OTHER_KEYWORD))
+        active.append(hit)
     if params.category_ids is not None:
         active.append(F.col(CATEGORY_HIT))
     return reduce(and_, active, F.lit(True))

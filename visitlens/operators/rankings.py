@@ -14,44 +14,40 @@ from visitlens.schemas import NO_CLICK, TOP10_CATEGORY, TOP10_SESSION
 TOP = 10
 
 
-def session_category_counts(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Clicks, orders and payments per (session, category), for the given sessions.
+def category_counts(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Clicks, orders and payments per category, over the actions of the given sessions.
 
-    Actions are counted before they meet the sessions, so a hot session enters the
-    join with one row per category. Text in an id set that is no whole number is no
-    category id and is not counted.
+    Only actions that name a category are joined, unexploded, and the counting after
+    the join combines within tasks. Neither the join nor the count needs a session in
+    one place, so Spark's skew join can split a hot session between tasks. Text in an
+    id set that is no whole number is no category id and is not counted.
     """
-    by_kind = actions.selectExpr(
+    named = actions.selectExpr(
         "session_id",
         f"cast(nullif(click_category_id, {NO_CLICK}) as string) as click",
         "order_category_ids as order",
         "pay_category_ids as pay",
-    ).unpivot("session_id", ["click", "order", "pay"], "kind", "ids")
-    counts = (
-        by_kind.where("ids is not null")
-        .selectExpr("session_id", "kind", "explode(split(ids, ',')) as id")
-        .selectExpr("session_id", "kind", "try_cast(id as bigint) as category_id")
+    ).where("coalesce(click, order, pay) is not null")
+    return (
+        named.join(sessions.select("session_id"), "session_id", "left_semi")
+        .unpivot([], ["click", "order", "pay"], "kind", "ids")
+        .where("ids is not null")
+        .selectExpr("kind", "explode(split(ids, ',')) as id")
+        .selectExpr("kind", "try_cast(id as bigint) as category_id")
         .where("category_id is not null")
-        .groupBy("session_id", "category_id")
+        .groupBy("category_id")
         .agg(
             F.expr("count_if(kind = 'click') as clicks"),
             F.expr("count_if(kind = 'order') as orders"),
             F.expr("count_if(kind = 'pay') as pays"),
         )
     )
-    return counts.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
 def top_categories(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """The leading categories by clicks, then orders, then payments, then id."""
     return (
-        session_category_counts(actions, sessions)
-        .groupBy("category_id")
-        .agg(
-            F.expr("sum(clicks) as clicks"),
-            F.expr("sum(orders) as orders"),
-            F.expr("sum(pays) as pays"),
-        )
+        category_counts(actions, sessions)
         .orderBy("clicks", "orders", "pays", "category_id", ascending=[False, False, False, True])
         .limit(TOP)
     )

@@ -6,12 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time, parse_time, seconds_between
-from visitlens.operators.filters import behaviour_flags, in_date_range, session_predicate
+from visitlens.operators.filters import (
+    behaviour_flags,
+    in_date_range,
+    merged_flags,
+    session_predicate,
+)
 from visitlens.params import TaskParams
 from visitlens.schemas import NO_CLICK, NO_USER
 
 PROFILE = ["age", "professional", "sex", "city"]
 
+# Tasks that share the first merge of one session's value sets.
+MERGE_GROUPS = 256
+
 
 # What an action says about its session; null where it says nothing.
 KEYWORD = "nullif(search_keyword, '')"
@@ -56,20 +64,32 @@ def session_totals(actions: DataFrame, params: TaskParams) -> DataFrame:
 def session_records(actions: DataFrame, params: TaskParams) -> DataFrame:
     """``session_totals`` plus the session's distinct keywords and clicked categories.
 
-    The first aggregation is keyed by (session, keyword, category), so a hot session
-    is spread over tasks and only its distinct values meet in the second one, which
-    writes them into the session's one record.
+    The sets are merged twice, first per session and group of input partitions. A usual
+    session lies in a partition or two, so it passes as a row or two; a session that is
+    everywhere is merged by ``MERGE_GROUPS`` tasks, and only its distinct values go on to
+    its one record. The groups decide where the merging happens, not what comes out:
+    sets, minima and sums are the same for any grouping.
     """
-    values = actions.groupBy(
-        "session_id",
-        F.expr(f"{KEYWORD} as keyword"),
-        F.expr(f"{CATEGORY} as category_id"),
-    ).agg(*_measures(USER, WHEN, WHEN, "count(*)"))
+    parts = actions.groupBy(
+        "session_id", F.expr(f"spark_partition_id() % {MERGE_GROUPS} as part")
+    ).agg(
+        *_measures(USER, WHEN, WHEN, "count(*)"),
+        F.expr(f"collect_set({KEYWORD}) as keywords"),
+        F.expr(f"collect_set({CATEGORY}) as category_ids"),
+        *behaviour_flags(params, F.expr(KEYWORD), F.expr(CATEGORY)),
+    )
+    values = parts.selectExpr(
+        "* except (part, keywords, category_ids)",
+        """posexplode_outer(concat(
+             transform(keywords, k -> struct(k as keyword, cast(null as bigint) as category_id)),
+             transform(category_ids, c -> struct(cast(null as string) as keyword, c as category_id))
+           )) as (place, value)""",
+    )
     sessions = values.groupBy("session_id").agg(
-        *_measures("user_id", "start_ts", "end_ts", "sum(step_length)"),
-        F.expr("sort_array(collect_set(keyword)) as search_keywords"),
-        F.expr("sort_array(collect_set(category_id)) as click_category_ids"),
-        *behaviour_flags(params, F.col("keyword"), F.col("category_id")),
+        *_measures("user_id", "start_ts", "end_ts", "sum(if(place > 0, 0, step_length))"),
+        F.expr("sort_array(collect_set(value.keyword)) as search_keywords"),
+        F.expr("sort_array(collect_set(value.category_id)) as click_category_ids"),
+        *merged_flags(params),
     )
     return _with_visit_length(sessions)
 
