@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time
-from visitlens.operators.sessions import CATEGORY, KEYWORD
+from visitlens.operators.sessions import JOINED_VALUES, with_values
 from visitlens.schemas import RANDOM_EXTRACT, SESSION_DETAIL
 
 # Fixed value: sessions drawn per task.
@@ -84,30 +84,15 @@ def actions_of(actions: DataFrame, drawn: DataFrame) -> DataFrame:
 def random_extract(actions: DataFrame, drawn: DataFrame, task_id: str) -> DataFrame:
     """The drawn sessions with their keywords and clicked categories.
 
-    Value lists are built for the drawn sessions only, from distinct values, so a hot
-    session's actions are never gathered in one place. The rank keeps apart the rows of
+    Value lists are built for the drawn sessions only. The rank keeps apart the rows of
     a session that two profiles brought into the draw twice.
     """
-    one = ["session_id", "start_ts", "rank"]
-    values = (
-        actions.join(F.broadcast(drawn), "session_id")
-        .selectExpr(*one, f"{KEYWORD} as keyword", f"{CATEGORY} as category_id")
-        .distinct()
+    extract = with_values(
+        actions.join(F.broadcast(drawn), "session_id"), ["session_id", "start_ts", "rank"]
+    ).selectExpr(
+        "session_id as sessionid", f"{format_time('start_ts')} as startTime", *JOINED_VALUES
     )
-    extract = values.groupBy(one).agg(
-        F.expr("array_join(sort_array(collect_set(keyword)), ',') as searchKeywords"),
-        F.expr(
-            "array_join(cast(sort_array(collect_set(category_id)) as array<string>), ',')"
-            " as clickCategoryIds"
-        ),
-    )
-    return extract.select(
-        F.lit(task_id).alias("taskid"),
-        F.col("session_id").alias("sessionid"),
-        F.expr(f"{format_time('start_ts')} as startTime"),
-        "searchKeywords",
-        "clickCategoryIds",
-    ).select(RANDOM_EXTRACT.names)
+    return extract.withColumn("taskid", F.lit(task_id)).select(RANDOM_EXTRACT.names)
 
 
 def session_detail(actions: DataFrame, drawn: DataFrame, task_id: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,12 @@ CATEGORY = f"nullif(click_category_id, {NO_CLICK})"
 USER = f"nullif(user_id, {NO_USER})"
 WHEN = parse_time("action_time")
 
+# The value lists as comma-separated text.
+JOINED_VALUES = [
+    "array_join(search_keywords, ',') as searchKeywords",
+    "array_join(cast(click_category_ids as array<string>), ',') as clickCategoryIds",
+]
+
 
 def _measures(user: str, start: str, end: str, steps: str) -> list[Column]:
     return [
@@ -61,22 +69,24 @@ def session_totals(actions: DataFrame, params: TaskParams) -> DataFrame:
     return _with_visit_length(sessions)
 
 
-def session_records(actions: DataFrame, params: TaskParams) -> DataFrame:
-    """``session_totals`` plus the session's distinct keywords and clicked categories.
+def with_values(
+    actions: DataFrame, keys: list[str], first: Sequence[Column] = (), merged: Sequence[Column] = ()
+) -> DataFrame:
+    """One row per key with its distinct keywords and clicked categories, sorted.
 
-    The sets are merged twice, first per session and group of input partitions. A usual
+    The sets are merged twice, first per key and group of input partitions. A usual
     session lies in a partition or two, so it passes as a row or two; a session that is
     everywhere is merged by ``MERGE_GROUPS`` tasks, and only its distinct values go on to
-    its one record. The groups decide where the merging happens, not what comes out:
-    sets, minima and sums are the same for any grouping.
+    its one record. The groups decide where the merging happens, not what comes out.
+    ``first`` aggregates alongside the first merge and ``merged`` its results in the
+    second, where ``place`` is 0 or null in just one row per merged part.
     """
     parts = actions.groupBy(
-        "session_id", F.expr(f"spark_partition_id() % {MERGE_GROUPS} as part")
+        *keys, F.expr(f"spark_partition_id() % {MERGE_GROUPS} as part")
     ).agg(
-        *_measures(USER, WHEN, WHEN, "count(*)"),
+        *first,
         F.expr(f"collect_set({KEYWORD}) as keywords"),
         F.expr(f"collect_set({CATEGORY}) as category_ids"),
-        *behaviour_flags(params, F.expr(KEYWORD), F.expr(CATEGORY)),
     )
     values = parts.selectExpr(
         "* except (part, keywords, category_ids)",
@@ -85,13 +95,24 @@ def session_records(actions: DataFrame, params: TaskParams) -> DataFrame:
              transform(category_ids, c -> struct(cast(null as string) as keyword, c as category_id))
            )) as (place, value)""",
     )
-    sessions = values.groupBy("session_id").agg(
-        *_measures("user_id", "start_ts", "end_ts", "sum(if(place > 0, 0, step_length))"),
+    return values.groupBy(*keys).agg(
+        *merged,
         F.expr("sort_array(collect_set(value.keyword)) as search_keywords"),
         F.expr("sort_array(collect_set(value.category_id)) as click_category_ids"),
-        *merged_flags(params),
     )
-    return _with_visit_length(sessions)
+
+
+def session_records(actions: DataFrame, params: TaskParams) -> DataFrame:
+    """``session_totals`` plus the session's distinct keywords and clicked categories."""
+    first = [
+        *_measures(USER, WHEN, WHEN, "count(*)"),
+        *behaviour_flags(params, F.expr(KEYWORD), F.expr(CATEGORY)),
+    ]
+    merged = [
+        *_measures("user_id", "start_ts", "end_ts", "sum(if(place > 0, 0, step_length))"),
+        *merged_flags(params),
+    ]
+    return _with_visit_length(with_values(actions, ["session_id"], first, merged))
 
 
 def with_profiles(sessions: DataFrame, users: DataFrame) -> DataFrame:
@@ -119,8 +140,7 @@ def as_session_record(records: DataFrame) -> DataFrame:
     """The outward form of a session record."""
     return records.selectExpr(
         "session_id as sessionid",
-        "array_join(search_keywords, ',') as searchKeywords",
-        "array_join(cast(click_category_ids as array<string>), ',') as clickCategoryIds",
+        *JOINED_VALUES,
         "visit_length as visitLength",
         "step_length as stepLength",
         f"{format_time('start_ts')} as startTime",
