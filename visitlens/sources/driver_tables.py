@@ -108,6 +108,5 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    """The events as a file stream; the glob takes a single file as well as a folder."""
+    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events[.]parquet")
