@@ -49,7 +49,8 @@ actions AS (
 
 USERS = """
 users AS (
-  SELECT c_custkey AS user_id, CAST((c_custkey * 7) % 60 AS INTEGER) AS age,
+  SELECT c_custkey AS user_id, c_name AS username, c_name AS name,
+         CAST((c_custkey * 7) % 60 AS INTEGER) AS age,
          c_mktsegment AS professional, n_name AS city,
          CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
   FROM customer JOIN nation ON c_nationkey = n_nationkey
@@ -220,6 +221,7 @@ FROM events WHERE event_type <> 'error'"""
 def all_sql() -> dict[str, str]:
     return {
         "actions_in_range": f"{_with(ACTIONS)} SELECT * EXCLUDE (ts) FROM actions",
+        "user_profiles": f"{_with(USERS)} SELECT * FROM users",
         "session_full_info": _records("TRUE"),
         **{name: _records(_condition(params)) for name, params in FILTERS.items()},
         "visit_length_histogram": _histogram("visit_length", VISIT_BUCKETS),

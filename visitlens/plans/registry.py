@@ -155,6 +155,7 @@ def _ad_click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "actions_in_range": _actions,
+        "user_profiles": tables.users,
         "session_full_info": _records(DATES),
         **{name: _records(params) for name, params in FILTERS.items()},
         "visit_length_histogram": _over_sessions(histograms.visit_length_histogram),

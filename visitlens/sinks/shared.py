@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``.
+    """A new folder name under ``spark.checkpoint.dir``, or the checkpoint folder set in code.
 
-    Only a local session may go without that setting; it gets a temporary folder.
+    Only a local session may go without either; it gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
