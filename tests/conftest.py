@@ -1,4 +1,5 @@
 import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import SparkSession
@@ -23,6 +24,22 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@contextmanager
+def settings(spark, values):
+    """The session with other settings for a while."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def action(session, time, user=1, page=1, keyword=None, click=-1, order=None, pay=None, date=None):
     """One row of ``user_visit_action``."""
     return (

@@ -1,8 +1,8 @@
 """Joins without a broadcast, where one user or one session has a third of the rows."""
 
 import re
-from contextlib import contextmanager
 
+from conftest import settings
 from visitlens.operators.rankings import category_counts
 from visitlens.operators.sessions import filtered_sessions
 from visitlens.params import TaskParams
@@ -20,21 +20,6 @@ TIGHT = {
 }
 
 
-@contextmanager
-def settings(spark, values):
-    before = {name: spark.conf.get(name, None) for name in values}
-    try:
-        for name, value in values.items():
-            spark.conf.set(name, value)
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def collected(df):
     rows = sorted((tuple(row) for row in df.collect()), key=repr)
     return rows, df._jdf.queryExecution().executedPlan().toString()

@@ -1,11 +1,13 @@
 """Sources, sinks and the whole job."""
 
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from conftest import settings
 from visitlens.plans.registry import SEED, TASK, TASK_ID
 from visitlens.plans.session_job import main, session_outputs
 from visitlens.schemas import ACTION_TABLE, PRODUCT_TABLE, USER_TABLE, USERS, checked
@@ -70,6 +72,21 @@ def test_replace_table_replaces(spark):
     assert spark.table("numbers").count() == 5
 
 
+def test_a_crowded_date_is_written_by_several_tasks(spark, crowded_actions):
+    days = crowded_actions.selectExpr(
+        "* except (date)", "if(session_id = 's1', '2024-01-09', '2024-01-01') as date"
+    )
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}
+    with settings(spark, small):
+        replace_table(days, "by_date", partition_by="date")
+    files = Counter(
+        row.file.split("/date=")[1].split("/")[0]
+        for row in spark.table("by_date").selectExpr("_metadata.file_path as file").distinct().collect()
+    )
+    assert files["2024-01-01"] > 1
+    assert spark.table("by_date").count() == days.count()
+
+
 def test_folder_source(spark, users, tmp_path):
     users.write.parquet(f"{tmp_path}/{USER_TABLE}")
     for table, frame in ((ACTION_TABLE, driver_tables.actions), (PRODUCT_TABLE, driver_tables.products)):
