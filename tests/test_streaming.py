@@ -18,3 +18,17 @@ def test_lines_arrive_once_over_two_runs(spark, tmp_path):
     assert run() == [(1555900000000, 3, 3, 17, 5)]
     (tmp_path / "two.txt").write_text("1555900000002 9 9 0 19\n")
     assert run() == [(1555900000000, 3, 3, 17, 5), (1555900000002, 9, 9, 0, 19)]
+
+
+def test_a_running_stream_takes_new_files(spark, tmp_path):
+    folder = shared_folder(spark)
+    (tmp_path / "one.txt").write_text("1 2 3 4 5\n")
+    clicks = parse_ad_lines(text_lines(spark, str(tmp_path)))
+    query = append_to_folder(clicks, f"{folder}/out", f"{folder}/progress", every="1 second")
+    try:
+        query.processAllAvailable()
+        (tmp_path / "two.txt").write_text("2 2 3 4 5\n")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{folder}/out").count() == 2

@@ -2,6 +2,7 @@
 
 import json
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,15 @@ def test_job_from_the_command_line(spark, saved):
         assert found.count() == 2 * mine.count()
 
 
+def test_job_over_dates_without_actions(spark, saved):
+    empty = replace(TASK, start_date="2030-01-01", end_date="2030-01-31")
+    outputs = session_outputs(spark, saved, empty, TASK_ID, SEED)
+    assert rows(outputs.session_stat_ratio) == [(TASK_ID, 0, *[0.0] * 15)]
+    assert {row.convert_rate for row in outputs.page_convert_rate.collect()} == {0.0}
+    for name in ("session_random_extract", "session_detail", "top10_category", "top10_session"):
+        assert rows(getattr(outputs, name)) == [], name
+
+
 def test_date_range_prunes_partitions(spark, saved):
     plan = saved.actions.where("date between '2024-01-02' and '2024-01-03'").select("session_id")
     text = plan._jdf.queryExecution().executedPlan().toString()

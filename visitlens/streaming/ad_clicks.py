@@ -45,16 +45,19 @@ def parse_ad_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def append_to_folder(clicks: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Write what has arrived to Parquet, exactly once, and stop.
-
-    Offsets and commits are kept under ``checkpoint``, so a run that loses its driver
-    or executors goes on where it stopped.
+def append_to_folder(
+    clicks: DataFrame, folder: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Append clicks to Parquet files, exactly once.
+
+    Runs a batch ``every`` interval ("10 seconds") until stopped, or without one takes
+    what has arrived and ends. Offsets and commits are kept under ``checkpoint``, so a
+    run that loses its driver or executors goes on where it stopped.
     """
-    return (
+    writer = (
         clicks.writeStream.format("parquet")
         .option("path", folder)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
