@@ -1,5 +1,7 @@
+import pytest
+
 from visitlens.sinks.shared import shared_folder
-from visitlens.streaming.ad_clicks import append_to_folder, parse_ad_lines, text_lines
+from visitlens.streaming.ad_clicks import append_to_folder, kafka_lines, parse_ad_lines, text_lines
 
 
 def test_lines_arrive_once_over_two_runs(spark, tmp_path):
@@ -23,7 +25,7 @@ def test_lines_arrive_once_over_two_runs(spark, tmp_path):
 def test_a_running_stream_takes_new_files(spark, tmp_path):
     folder = shared_folder(spark)
     (tmp_path / "one.txt").write_text("1 2 3 4 5\n")
-    clicks = parse_ad_lines(text_lines(spark, str(tmp_path)))
+    clicks = parse_ad_lines(text_lines(spark, str(tmp_path), maxFilesPerTrigger="1"))
     query = append_to_folder(clicks, f"{folder}/out", f"{folder}/progress", every="1 second")
     try:
         query.processAllAvailable()
@@ -32,3 +34,8 @@ def test_a_running_stream_takes_new_files(spark, tmp_path):
     finally:
         query.stop()
     assert spark.read.parquet(f"{folder}/out").count() == 2
+
+
+def test_kafka_needs_its_connector(spark):
+    with pytest.raises(Exception, match="kafka"):
+        kafka_lines(spark, "nowhere:9092", maxOffsetsPerTrigger="1000")

@@ -14,20 +14,24 @@ from pyspark.sql.streaming import StreamingQuery
 TOPIC = "AdRealTimeLog1"
 
 
-def kafka_lines(spark: SparkSession, brokers: str, topic: str = TOPIC) -> DataFrame:
-    """Lines from Kafka. Needs Spark's Kafka connector on the class path."""
+def kafka_lines(spark: SparkSession, brokers: str, topic: str = TOPIC, **options: str) -> DataFrame:
+    """Lines from Kafka. Needs Spark's Kafka connector on the class path.
+
+    ``options`` are the connector's own, such as ``maxOffsetsPerTrigger`` to bound a batch.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("subscribe", topic)
+        .options(**options)
         .load()
         .select(F.col("value").cast("string"))
     )
 
 
-def text_lines(spark: SparkSession, folder: str) -> DataFrame:
+def text_lines(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     """Lines from text files dropped into a folder."""
-    return spark.readStream.text(folder)
+    return spark.readStream.options(**options).text(folder)
 
 
 def parse_ad_lines(lines: DataFrame) -> DataFrame:
