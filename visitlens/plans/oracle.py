@@ -275,6 +275,8 @@ SELECT session_id, action_time,
        strftime(ts, '%Y%m%d%H%M') AS minute_key,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS time,
        strftime(ts, '%Y-%m-%d') AS day_of_key,
+       date < strftime(current_date, '%Y-%m-%d') AS before_today,
+       date < strftime(current_date - INTERVAL 1 DAY, '%Y-%m-%d') AS before_yesterday,
        search_keyword IS NULL OR search_keyword = '' AS no_keyword,
        search_keyword IS NOT NULL AND search_keyword <> '' AS has_keyword,
        ((200 * page_id + 8) // 16) / 100.0 AS page_eighths,

@@ -123,6 +123,8 @@ def _time_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         "minute_key": times.minute_key(ts),
         "time": times.format_time(ts),
         "day_of_key": times.format_date(times.parse_date_key(times.date_key(ts))),
+        "before_today": f"date < {times.today()}",
+        "before_yesterday": f"date < {times.yesterday()}",
         "no_keyword": values.is_empty("search_keyword"),
         "has_keyword": values.is_not_empty("search_keyword"),
         "page_eighths": values.half_up("page_id / 8", 2),
