@@ -33,6 +33,11 @@ def test_values():
     assert params.target_page_flow == (1, 2, 3)
 
 
+def test_lists_are_taken_as_they_are():
+    params = TaskParams.from_mapping({**DATES, "categoryIds": [1, 20], "cities": ["a"], "keywords": []})
+    assert (params.category_ids, params.cities, params.keywords) == ((1, 20), ("a",), None)
+
+
 def test_only_commas_is_a_filter_nothing_meets():
     assert TaskParams.from_mapping({**DATES, "cities": ","}).cities == ()
 

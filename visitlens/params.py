@@ -54,6 +54,9 @@ def _whole(value: object) -> int | None:
 
 
 def _items(value: object) -> tuple[str, ...] | None:
+    """Values of a comma-separated text or of a list."""
+    if isinstance(value, (list, tuple)):
+        value = ",".join(map(str, value))
     text = _text(value)
     return None if text is None else tuple(item for item in text.split(",") if item)
 
