@@ -22,17 +22,22 @@ def _by_hour(sessions: DataFrame) -> DataFrame:
 def hourly_counts(sessions: DataFrame) -> DataFrame:
     """Sessions per start hour, per start date, and the number of dates.
 
-    The windows run over the hourly counts, at most 24 rows per calendar day however
-    many sessions there are.
+    Only the hourly counts are brought together to number the dates: at most 24 per
+    calendar day, however many sessions there are.
     """
+    per_hour = _by_hour(sessions).groupBy("date", "hour").agg(F.expr("count(*) as hour_count"))
     return (
-        _by_hour(sessions)
-        .groupBy("date", "hour")
-        .agg(F.expr("count(*) as hour_count"))
+        per_hour.agg(
+            F.expr("collect_list(struct(date, hour, hour_count)) as hours"),
+            F.expr("size(collect_set(date)) as n_dates"),
+        )
+        .selectExpr("n_dates", "inline(hours)")
         .selectExpr(
-            "*",
+            "date",
+            "hour",
+            "hour_count",
             "sum(hour_count) over (partition by date) as date_count",
-            "size(collect_set(date) over (partition by 0)) as n_dates",
+            "n_dates",
         )
     )
 
