@@ -2,6 +2,7 @@ from dataclasses import replace
 
 from brute import drawn as expected_drawn
 from brute import sessions as expected_sessions
+from visitlens.operators import sessions
 from visitlens.operators.sampling import draw_sessions, random_extract, sample_quota, session_detail
 from visitlens.operators.sessions import filtered_sessions
 from visitlens.params import TaskParams
@@ -10,7 +11,8 @@ from visitlens.schemas import RANDOM_EXTRACT, SESSION_DETAIL
 ALL = TaskParams("2024-01-01", "2024-01-31")
 
 
-def test_extract_and_detail_match_brute_force(crowded, profiles, crowded_actions, users):
+def test_extract_and_detail_match_brute_force(monkeypatch, crowded, profiles, crowded_actions, users):
+    monkeypatch.setattr(sessions, "MERGED_PARTITIONS", 1)
     records = expected_sessions(crowded, profiles)
     for seed in ("7", "8"):
         picked = expected_drawn(records, seed, 100)

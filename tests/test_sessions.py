@@ -1,7 +1,10 @@
 from dataclasses import replace
 
+import pytest
+
 from brute import sessions as expected_sessions
 from conftest import action
+from visitlens.operators import sessions
 from visitlens.operators.histograms import (
     session_stat_ratio,
     step_length_histogram,
@@ -18,7 +21,11 @@ def rows(df):
     return sorted((row.asDict() for row in df.collect()), key=repr)
 
 
-def test_records_match_brute_force(crowded, profiles, crowded_actions, users):
+@pytest.mark.parametrize("together", [1, 64])
+def test_records_match_brute_force(monkeypatch, together, crowded, profiles, crowded_actions, users):
+    """With value sets merged by several tasks per session, and by one."""
+    monkeypatch.setattr(sessions, "MERGED_PARTITIONS", together)
+    assert crowded_actions.rdd.getNumPartitions() == 4
     found = as_session_record(filtered_records(crowded_actions, users, ALL))
     assert {f.name: f.dataType for f in found.schema} == {f.name: f.dataType for f in SESSION_RECORD}
     assert rows(found) == sorted(expected_sessions(crowded, profiles), key=repr)
@@ -101,16 +108,16 @@ STEPS = [1, 3, 4, 6, 7, 9, 10, 30, 31, 60, 61, 61, 61, 61, 61, 61, 61, 61]
 
 
 def test_bucket_edges(spark):
-    sessions = spark.createDataFrame(list(zip(VISITS, STEPS)), "visit_length long, step_length long")
-    visits = {row.bucket: row.sessions for row in visit_length_histogram(sessions).collect()}
+    lengths = spark.createDataFrame(list(zip(VISITS, STEPS)), "visit_length long, step_length long")
+    visits = {row.bucket: row.sessions for row in visit_length_histogram(lengths).collect()}
     assert visits == {
         "1s_3s": 2, "4s_6s": 2, "7s_9s": 2, "10s_30s": 2, "30s_60s": 2,
         "1m_3m": 2, "3m_10m": 2, "10m_30m": 2, "30m": 1,
     }
-    steps = {row.bucket: row.sessions for row in step_length_histogram(sessions).collect()}
+    steps = {row.bucket: row.sessions for row in step_length_histogram(lengths).collect()}
     assert steps == {"1_3": 2, "4_6": 2, "7_9": 2, "10_30": 2, "30_60": 2, "60": 8}
     assert sum(visits.values()) + 1 == sum(steps.values()) == len(VISITS)
-    stats = session_stat_ratio(sessions, "t")
+    stats = session_stat_ratio(lengths, "t")
     assert [(f.name, f.dataType) for f in stats.schema] == [(f.name, f.dataType) for f in RATIOS]
     row = stats.collect()[0]
     assert (row.taskid, row.session_count) == ("t", 18)
@@ -118,8 +125,8 @@ def test_bucket_edges(spark):
 
 
 def test_ratio_rounds_half_up_on_the_decimal_form(spark):
-    sessions = spark.range(200).selectExpr("if(id < 57, 2L, 0L) as visit_length", "1L as step_length")
-    assert session_stat_ratio(sessions, "t").collect()[0].visit_length_1s_3s_ratio == 0.29
+    lengths = spark.range(200).selectExpr("if(id < 57, 2L, 0L) as visit_length", "1L as step_length")
+    assert session_stat_ratio(lengths, "t").collect()[0].visit_length_1s_3s_ratio == 0.29
 
 
 def test_no_session_passes(crowded_actions, users):

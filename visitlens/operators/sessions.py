@@ -19,10 +19,11 @@ from visitlens.schemas import NO_CLICK, NO_USER
 
 PROFILE = ["age", "professional", "sex", "city"]
 
-# Tasks that share the first merge of one session's value sets.
+# The first merge of a session's value sets: input partitions that go to one task, and the
+# most tasks that share it.
+MERGED_PARTITIONS = 64
 MERGE_GROUPS = 256
 
-
 # What an action says about its session; null where it says nothing.
 KEYWORD = "nullif(search_keyword, '')"
 CATEGORY = f"nullif(click_category_id, {NO_CLICK})"
@@ -76,14 +77,13 @@ def with_values(
 
     The sets are merged twice, first per key and group of input partitions. A usual
     session lies in a partition or two, so it passes as a row or two; a session that is
-    everywhere is merged by ``MERGE_GROUPS`` tasks, and only its distinct values go on to
-    its one record. The groups decide where the merging happens, not what comes out.
+    everywhere is merged by up to ``MERGE_GROUPS`` tasks, and only its distinct values go
+    on to its one record. The groups decide where the merging happens, not what comes out.
     ``first`` aggregates alongside the first merge and ``merged`` its results in the
     second, where ``place`` is 0 or null in just one row per merged part.
     """
-    parts = actions.groupBy(
-        *keys, F.expr(f"spark_partition_id() % {MERGE_GROUPS} as part")
-    ).agg(
+    part = f"spark_partition_id() div {MERGED_PARTITIONS} % {MERGE_GROUPS}"
+    parts = actions.groupBy(*keys, F.expr(f"{part} as part")).agg(
         *first,
         F.expr(f"collect_set({KEYWORD}) as keywords"),
         F.expr(f"collect_set({CATEGORY}) as category_ids"),
