@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from visitlens.plans.oracle import all_sql as oracle_sql
+from visitlens.plans.registry import all_queries as queries
 
 TABLES = ["events", "customer", "nation", "part"]
 KINDS = {

@@ -4,12 +4,12 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from visitlens.operators.conversion import page_convert_rate
 from visitlens.operators.rankings import top10_session, top_categories
 from visitlens.operators.sampling import draw_sessions, random_extract
 from visitlens.operators.sessions import filtered_sessions, session_totals
 from visitlens.params import TaskParams
+from visitlens.plans.registry import all_queries as queries
 from visitlens.schemas import ACTIONS, USERS
 from visitlens.sources.tables import from_folder
 
