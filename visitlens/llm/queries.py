@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import chat, quality, sharding
+from visitlens.llm import chat, quality, sharding, simhash
 from visitlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, bits=3)
+    return near.selectExpr("doc_id", f"{simhash.hex_of('fp')} as fingerprint", "component_id")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id",
@@ -57,6 +62,7 @@ def all_queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
         "op3_chat_formatting": op3_chat_formatting,
+        "op5_simhash": op5_simhash,
         "op7_quality_rules": op7_quality_rules,
     }
 
