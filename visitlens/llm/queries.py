@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import chat, quality, sharding, simhash
+from visitlens.llm import chat, quality, sharding, simhash, substring_dedup
 from visitlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,12 +58,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(documents(spark, sf_dir), length=13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
         "op3_chat_formatting": op3_chat_formatting,
         "op5_simhash": op5_simhash,
         "op7_quality_rules": op7_quality_rules,
+        "op8_substring_dedup": op8_substring_dedup,
     }
 
 
