@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import chat, quality, sharding, simhash, substring_dedup
+from visitlens.llm import chat, quality, sharding, simhash, substring_dedup, suffix_dedup
 from visitlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.selectExpr("doc_id", f"{simhash.hex_of('fp')} as fingerprint", "component_id")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.without_repeats(documents(spark, sf_dir), length=200)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id",
@@ -68,6 +73,7 @@ def all_queries() -> dict[str, Query]:
         "op1_sharding": op1_sharding,
         "op3_chat_formatting": op3_chat_formatting,
         "op5_simhash": op5_simhash,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_substring_dedup": op8_substring_dedup,
     }
