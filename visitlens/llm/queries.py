@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import chat, quality, sharding, simhash, substring_dedup, suffix_dedup
+from visitlens.llm import chat, decontaminate, quality, sharding, simhash, substring_dedup, suffix_dedup
 from visitlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,19 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.judged(documents(spark, sf_dir).select("doc_id", "text"), items, window=13)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, bits=3)
     return near.selectExpr("doc_id", f"{simhash.hex_of('fp')} as fingerprint", "component_id")
@@ -72,6 +85,7 @@ def all_queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
         "op3_chat_formatting": op3_chat_formatting,
+        "op4_decontamination": op4_decontamination,
         "op5_simhash": op5_simhash,
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_quality_rules": op7_quality_rules,
