@@ -34,6 +34,9 @@ from visitlens.llm.hashing import grams, lowest, windows, words
 LENGTH = 13
 SEED = 4
 
+#: Every step takes all columns of a row, so that the exchanges of the texts are one.
+ROW = ["doc_id", "doc", "text_hash", "text"]
+
 
 def _chosen(hashes: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All windows' places and texts, the place of each one's seed, and the seeds' hashes."""
@@ -48,7 +51,7 @@ def seeds(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, name = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            doc, name = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for start, _, data, starts in blocks(batch, "text"):
                 _, _, hashes, counts = words(data, starts)
                 _, text, place, values = _chosen(hashes, counts, length)
@@ -64,7 +67,7 @@ def seeds(docs: DataFrame, length: int) -> DataFrame:
                     names=["h", "doc", "text_hash", "at"],
                 )
 
-    return docs.select("doc", "text_hash", "text").mapInArrow(run, "h long, doc long, text_hash long, at int")
+    return docs.select(ROW).mapInArrow(run, "h long, doc long, text_hash long, at int")
 
 
 def extended(found: DataFrame, length: int) -> DataFrame:
@@ -72,8 +75,8 @@ def extended(found: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, name = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            places = batch.column(3)
+            doc, name = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            places = batch.column(4)
             for first, end, data, starts in blocks(batch, "text"):
                 _, _, hashes, counts = words(data, starts)
                 at, text, place, _ = _chosen(hashes, counts, length)
@@ -92,7 +95,7 @@ def extended(found: DataFrame, length: int) -> DataFrame:
                     names=["w", "doc", "text_hash", "start"],
                 )
 
-    return found.select("doc", "text_hash", "text", "places").mapInArrow(
+    return found.select(*ROW, "places").mapInArrow(
         run, "w long, doc long, text_hash long, start int"
     )
 
@@ -139,7 +142,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", i
     key = ["doc", "text_hash"]
     # The texts are shuffled once, by key; Spark reuses that exchange in each join below.
     first = base.select("doc", "text_hash").groupBy("text_hash").agg(F.min("doc").alias("doc"))
-    rows = base.select("doc_id", "doc", "text_hash", "text")
+    rows = base.select(ROW)
     own = rows.join(first.withColumn("first", F.lit(True)), key, "left_semi")
     sown = seeds(own, length)
     shared = (
