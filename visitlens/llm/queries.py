@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import chat, decontaminate, quality, sharding, simhash, substring_dedup, suffix_dedup
+from visitlens.llm import chat, decontaminate, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from visitlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +20,23 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(documents(spark, sf_dir), shards=16)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train_on_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scored(docs, model).selectExpr(
+        "doc_id",
+        f"{toxicity.held_out('doc_id')} as held_out",
+        "score",
+        "if(score >= 0.5, 1, 0) as predicted",
+    )
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = spark.read.parquet(f"{sf_dir}/conversations.parquet").selectExpr(
         "cast(conv_id as bigint) as conv_id", "cast(turn as bigint) as turn", "role", "text"
     )
-    own = spark.createDataFrame(
-        [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], given.schema
+    own = spark.range(2).selectExpr(
+        "-1L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role", f"'{CONTROL_TEXT}' as text"
     )
     read = chat.read_back(chat.formatted_conversations(given.unionByName(own)))
     said = F.transform("read_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
@@ -84,6 +95,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_toxicity": op2_toxicity,
         "op3_chat_formatting": op3_chat_formatting,
         "op4_decontamination": op4_decontamination,
         "op5_simhash": op5_simhash,
