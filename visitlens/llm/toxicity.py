@@ -29,18 +29,18 @@ from visitlens.llm.decontaminate import _APART, _LOWER
 from visitlens.llm.hashing import FACTOR, mixed, words
 
 BITS = 20
-SAMPLE_ROWS = 16_000
-EPOCHS = 3
+SAMPLE_ROWS = 20_000
+EPOCHS = 4
 SEED = 11
 
 
 class Rates(NamedTuple):
     """Constants of the update: step size, its smoothing, and the two penalties."""
 
-    alpha: float = 0.1
+    alpha: float = 3.0
     beta: float = 1.0
-    l1: float = 0.5
-    l2: float = 0.1
+    l1: float = 3.0
+    l2: float = 0.01
 
 
 class Model(NamedTuple):
