@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import chat, decontaminate, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from visitlens.llm import chat, decontaminate, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from visitlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,18 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = secrets.scanned(docs.select("doc_id", "text"), secrets.trained(docs))
+    return found.select(
+        "doc_id",
+        "n_candidates",
+        F.size("secret_spans").cast("long").alias("n_secrets"),
+        "secret_spans",
+        F.sha2("clean", 256).alias("clean_sha256"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
@@ -102,6 +114,7 @@ def all_queries() -> dict[str, Query]:
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_substring_dedup": op8_substring_dedup,
+        "op10_secret_scans": op10_secret_scans,
     }
 
 

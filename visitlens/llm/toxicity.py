@@ -102,7 +102,7 @@ def train(
         .orderBy("place", "doc_id")
         .limit(sample)
     )
-    texts = docs.select("doc_id", "text").filter("text is not null").join(chosen, "doc_id")
+    texts = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["place", "doc_id", "text"], kind="stable").drop_duplicates("doc_id")
