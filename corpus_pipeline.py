@@ -1,26 +1,79 @@
-"""A training-data pipeline over ``documents``: each stage takes what the one before kept."""
+"""A training-data pipeline over ``documents``: each stage takes what the one before kept.
+
+Stages: documents that fail the quality rules go; of near-duplicates the document with the
+smallest id stays; documents contaminated by the benchmark go; secrets in texts are replaced
+by a mark; the rest is encoded, and decoded again as a check. All stages but the last return
+the columns of ``documents`` they were given. Rows that repeat are near-duplicates.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from visitlens.llm import quality
+from visitlens.llm import bpe, decontaminate, quality, secrets, simhash
 from visitlens.llm.common import documents, stored
+from visitlens.llm.queries import RANKS
+
 
-#: Names of the columns of documents; all stages but the last return them.
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+def _packed(docs: DataFrame) -> DataFrame:
+    """The text and the whole row in one column, so that no name can clash with a result's."""
+    return docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules."""
-    return quality.judged(docs).filter("kept").select(*docs.columns)
+    return quality.judged(_packed(docs)).filter("kept").select("_row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates one document, that of the smallest id; one row if it has
+    more. Documents without an id come after all others."""
+    own = "coalesce(cast(_row.doc_id as bigint), 4611686018427387904L + shiftrightunsigned(xxhash64(text), 2))"
+    keyed = _packed(docs).withColumn("_id", F.expr(own))
+    near = simhash.near_duplicates(keyed, shingle=3, bits=3, id_column="_id")
+    first = near.filter("doc_id = component_id").selectExpr("doc_id as _id").distinct()
+    one = F.row_number().over(Window.partitionBy("_id").orderBy("text"))
+    return keyed.join(first, "_id", "left_semi").withColumn("_place", one).filter("_place = 1").select("_row.*")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark does not contaminate."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.judged(_packed(docs), items).filter("not contaminated").select("_row.*")
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a mark in place of each secret; ``n_chars`` is counted anew where there is one."""
+    found = secrets.scanned(_packed(docs), secrets.trained(docs)).withColumn("_found", F.size("secret_spans") > 0)
+    n_chars = F.when(F.col("_found"), F.length("clean")).otherwise(F.col("_row.n_chars"))
+    changed = {"text": F.col("clean"), "n_chars": n_chars.cast(docs.schema["n_chars"].dataType)}
+    return found.select(*[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each document, and a digest of the bytes they decode to."""
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    ids = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    decoded = bpe.decode(ids, ranks)
+    return decoded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        "token_ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secret_scans", secret_scans),
+    ("byte_bpe", encoding),
 ]
 
-#: SQL cannot express the index, the forest or the merges; the tests check each stage instead.
+#: SQL cannot express the fingerprints, the forest or the merges; tests check each stage instead.
 ORACLE_SQL = None
 
 

@@ -1,43 +1,45 @@
 """Byte-level BPE encoding and decoding.
 
 Encoding: each task cuts its texts into blocks of some megabytes and gives out the block's
-distinct words first and its texts after them. Spark higher-order functions then fold the
-ranked merges over every distinct word: bytes as hexadecimal pieces, a literal rank map, and
-in each step the leftmost pair of lowest rank becomes one piece. The next step in the same
-task, which gets the rows in the same order, puts a block's texts together from its words.
-Nothing is shuffled, and memory is bounded by the block.
+distinct words first, as the ids of their single bytes, and its texts after them. Spark
+higher-order functions then fold the ranked merges over every distinct word: in each step the
+leftmost pair of lowest rank in a literal rank map becomes one piece. The next step in the
+same task, which gets the rows in the same order, puts a block's texts together from its
+words. Nothing is shuffled, and memory is bounded by the block.
 
-The literal map is an array of small maps picked by a hash of the piece, since a lookup in a
-Spark map looks at every entry. Words of more than ``FOLDED_BYTES`` bytes are merged by the
-same rule with a heap, since a fold copies its pieces in each step.
+The literal is an array of small maps picked by a hash of the pair, since a lookup in a Spark
+map looks at every entry. Words of more than ``FOLDED_BYTES`` bytes are merged by the same
+rule with a heap, since a fold copies its pieces in each step.
 
 Decoding joins the pieces' bytes, in order.
 
 Null texts count as empty and have no ids. Repeated rows are encoded each. Other columns of
-the documents are kept, whatever their names.
+the documents are kept, whatever their names; those named like a result are replaced.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
 from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 BLOCK_CHARS = 12 << 20
-FOLDED_BYTES = 32
-BUCKETS = 1 << 16
+FOLDED_BYTES = 48
+BUCKETS = 1 << 15
+LEFT_FACTOR = 7919
 NO_RANK = (1 << 31) - 1
 
-#: Column for the row kinds of the stream between the steps; "w" rows bring words, "d" rows documents.
-WORD, IDS = "_bpe_word", "_bpe_ids"
+#: Columns of the stream between the steps: rows of words have them, rows of documents have none.
+WORD, BYTES, IDS = "_bpe_word", "_bpe_bytes", "_bpe_ids"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,59 +48,64 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as a literal: maps from hexadecimal pieces, by the low bits of their hash."""
-    maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
+    """The rank of every two pieces that join to a piece, by the pieces' ids."""
+    found = {}
     for piece, rank in ranks.items():
-        name = piece.hex().upper()
-        maps[xxhash.xxh64_intdigest(name, seed=42) % BUCKETS][name] = rank
-    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
+        for cut in range(1, len(piece)):
+            left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+            if left is not None and right is not None:
+                found[left, right] = rank
+    return found
 
 
-def encoded(word: Column, table: Column) -> Column:
-    """The ids of a binary column of words, by folding merges; ``table`` is ``rank_map``'s literal."""
+def rank_map(ranks: dict[bytes, int]) -> Column:
+    """``pair_ranks`` as a literal: small maps from pairs, picked by a hash of the pair."""
+    maps: list[dict[int, int]] = [{} for _ in range(BUCKETS)]
+    for (left, right), rank in pair_ranks(ranks).items():
+        maps[(left * LEFT_FACTOR + right) % BUCKETS][(left << 16) + right] = rank
+    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>").cast("array<map<bigint,int>>")
 
-    def rank(piece: Column) -> Column:
-        return F.try_element_at(F.get(table, F.xxhash64(piece).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), piece)
 
-    def pairs(pieces: Column) -> Column:
-        return F.transform(
-            F.slice(pieces, F.lit(1), F.size(pieces) - 1),
-            lambda x, i: F.coalesce(rank(F.concat(x, F.get(pieces, i + 1))), F.lit(NO_RANK)),
-        )
+def encoded(pieces: Column, table: Column) -> Column:
+    """Merged ids of the single-byte ids of words, an array column; ``table`` is ``rank_map``'s literal.
 
-    def merged(pieces: Column, at: Column) -> Column:
-        both = F.concat(F.get(pieces, at - 1), F.get(pieces, at))
-        return F.concat(
-            F.slice(pieces, F.lit(1), at - 1), F.array(both), F.slice(pieces, at + 2, F.size(pieces))
+    The state of the fold is the pieces and the rank of each two neighbours, so a merge looks
+    up only the two pairs it makes.
+    """
+    none = F.array().cast("array<int>")
+
+    def rank(table: Column, left: Column, right: Column) -> Column:
+        bucket = F.get(table, (left * LEFT_FACTOR + right).bitwiseAND(F.lit(BUCKETS - 1)))
+        return F.coalesce(F.try_element_at(bucket, left.cast("long") * 65536 + right), F.lit(NO_RANK))
+
+    def merged(table: Column, p: Column, r: Column, least: Column, at: Column) -> Column:
+        last = F.size(p)
+        left = F.when(at > 1, F.array(rank(table, F.get(p, at - 2), least))).otherwise(none)
+        right = F.when(at + 1 < last, F.array(rank(table, least, F.get(p, at + 1)))).otherwise(none)
+        return F.struct(
+            F.concat(F.slice(p, F.lit(1), at - 1), F.array(least), F.slice(p, at + 2, last)).alias("p"),
+            F.concat(F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))), left, right, F.slice(r, at + 2, last)).alias("r"),
         )
 
-    def step(state: Column) -> Column:
-        def chosen(found: Column) -> Column:
-            def at_least(least: Column) -> Column:
-                place = F.array_position(found, least).cast("int")
-                return F.when(
-                    least < NO_RANK, F.struct(merged(state["p"], place).alias("p"), F.lit(False).alias("done"))
-                ).otherwise(F.struct(state["p"].alias("p"), F.lit(True).alias("done")))
+    def step(table: Column, state: Column) -> Column:
+        def chosen(least: Column) -> Column:
+            place = F.array_position(state["r"], least).cast("int")
+            found = _let(place, lambda at: merged(table, state["p"], state["r"], least, at))
+            return F.when(least < NO_RANK, found).otherwise(state)
 
-            return _let(F.array_min(found), at_least)
+        return _let(F.coalesce(F.array_min(state["r"]), F.lit(NO_RANK)), chosen)
 
-        more = (~state["done"]) & (F.size(state["p"]) > 1)
-        return F.when(more, _let(pairs(state["p"]), chosen)).otherwise(state)
-
-    def fold(text: Column) -> Column:
-        single = F.transform(
-            F.sequence(F.lit(1), F.length(text), F.lit(2)), lambda i: F.substring(text, i, F.lit(2))
+    def fold(table: Column) -> Column:
+        pairs = F.transform(
+            F.slice(pieces, F.lit(2), F.size(pieces)), lambda x, i: rank(table, F.get(pieces, i), x)
+        )
+        start = F.struct(pieces.alias("p"), pairs.alias("r"))
+        return F.aggregate(
+            F.slice(pieces, F.lit(2), F.size(pieces)), start, lambda state, _: step(table, state), lambda state: state["p"]
         )
-        start = F.struct(single.alias("p"), F.lit(False).alias("done"))
-        steps = F.sequence(F.lit(1), F.greatest(F.lit(1), (F.length(text) / 2 - 1).cast("int")))
-        return F.aggregate(steps, start, lambda state, _: step(state), lambda state: F.transform(state["p"], rank))
-
-    def of(text: Column) -> Column:
-        whole = rank(text)
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(fold(text))
 
-    return F.when(word.isNotNull(), _let(F.hex(word), of))
+    return F.when(F.size(pieces) < 2, pieces).when(pieces.isNotNull(), _let(table, fold))
 
 
 def _let(value: Column, body) -> Column:
@@ -149,8 +156,17 @@ def units(text: str) -> list[str]:
     return [parts[0], *[" " + part for part in parts[1:]]]
 
 
-def _words_first(text: str, pattern: str, block_chars: int, schema: pa.Schema):
+def _words_first(text: str, pattern: str, ranks: dict[bytes, int], block_chars: int, schema: pa.Schema):
     """Rows of words before the documents they are from, block by block."""
+    single = [ranks[bytes([i])] for i in range(256)]
+    pieces_type = pa.list_(pa.int32())
+
+    def start(word: bytes) -> list[int] | None:
+        """The ids to merge: one if the word is a piece, none if it is too long for a fold."""
+        whole = ranks.get(word)
+        if whole is not None:
+            return [whole]
+        return [single[byte] for byte in word] if len(word) <= FOLDED_BYTES else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern).findall
@@ -160,14 +176,17 @@ def _words_first(text: str, pattern: str, block_chars: int, schema: pa.Schema):
             words = set()
             for unit in seen:
                 words.update(cut(unit))
-            listed = pa.array([word.encode() for word in words], pa.binary())
-            for start in range(0, len(listed), 20_000):
-                part = listed.slice(start, 20_000)
+            listed = [word.encode() for word in words]
+            names = [*schema.names, WORD, BYTES]
+            for first in range(0, len(listed), 20_000):
+                part = listed[first : first + 20_000]
                 nulls = [pa.nulls(len(part), field.type) for field in schema]
-                yield pa.RecordBatch.from_arrays([*nulls, part], names=[*schema.names, WORD])
+                given = [pa.array(part, pa.binary()), pa.array([start(word) for word in part], pieces_type)]
+                yield pa.RecordBatch.from_arrays([*nulls, *given], names=names)
             for batch in held:
+                n = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.nulls(batch.num_rows, pa.binary())], names=[*schema.names, WORD]
+                    [*batch.columns, pa.nulls(n, pa.binary()), pa.nulls(n, pieces_type)], names=names
                 )
 
         held, seen, size = [], set(), 0
@@ -252,13 +271,33 @@ class Ids:
     columns = [("token_ids", pa.list_(pa.int32()))]
     fields = [T.StructField("token_ids", T.ArrayType(T.IntegerType()))]
 
-    @staticmethod
-    def unit(ids: list[int]) -> tuple:
+    def unit(self, ids: list[int]) -> tuple:
         return tuple(ids)
 
-    @staticmethod
-    def text(pieces: list[tuple]) -> tuple:
-        return ([i for piece in pieces for i in piece],)
+    def text(self, parts: list[tuple]) -> tuple:
+        return ([i for part in parts for i in part],)
+
+
+class Digests:
+    """Keeps the number of ids, a digest of them, and one of the bytes they decode to."""
+
+    columns = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    fields = [
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    ]
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.table = pieces(ranks)
+
+    def unit(self, ids: list[int]) -> tuple:
+        return len(ids), ",".join(map(str, ids)), b"".join([self.table[i] for i in ids])
+
+    def text(self, parts: list[tuple]) -> tuple:
+        listed = hashlib.sha256(",".join([part[1] for part in parts]).encode()).hexdigest()
+        decoded = hashlib.sha256(b"".join([part[2] for part in parts])).hexdigest()
+        return sum([part[0] for part in parts]), listed, decoded
 
 
 def encode(
@@ -266,25 +305,24 @@ def encode(
     ranks: dict[bytes, int],
     pattern: str,
     text: str = "text",
-    finish=Ids,
+    finish: Ids | Digests | None = None,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """``docs`` with the column ``token_ids``, or the columns that ``finish`` makes of the ids."""
-    kept = [field for field in docs.schema if field.name not in {f.name for f in finish.fields} or field.name == text]
-    docs = docs.select(*[F.col(f"`{field.name}`") for field in kept])
-    arrow = docs.schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    given = to_arrow_schema(arrow)
+    finish = finish or Ids()
+    made = {field.name for field in finish.fields}
+    rest = [field for field in docs.schema if field.name not in made or field.name == text]
+    docs = docs.select(*[F.col(f"`{field.name}`") for field in rest])
+    given = to_arrow_schema(docs.schema)
+    between = [T.StructField(WORD, T.BinaryType()), T.StructField(BYTES, T.ArrayType(T.IntegerType()))]
     stream = docs.mapInArrow(
-        _words_first(text, pattern, block_chars, given), T.StructType([*arrow, T.StructField(WORD, T.BinaryType())])
+        _words_first(text, pattern, ranks, block_chars, given), T.StructType([*rest, *between])
     )
-    folded = F.when(F.octet_length(WORD) <= FOLDED_BYTES, F.col(WORD))
-    with_ids = stream.withColumn(IDS, encoded(folded, rank_map(ranks)))
-    names = [field.name for field in arrow]
-    return with_ids.mapInArrow(
-        _assembled(text, pattern, ranks, names, finish), T.StructType([*arrow, *finish.fields])
+    merged = stream.select(
+        *[F.col(f"`{field.name}`") for field in rest], WORD, encoded(F.col(BYTES), rank_map(ranks)).alias(IDS)
     )
+    names = [field.name for field in rest]
+    return merged.mapInArrow(_assembled(text, pattern, ranks, names, finish), T.StructType([*rest, *finish.fields]))
 
 
 def pieces(ranks: dict[bytes, int]) -> list[bytes]:
@@ -298,8 +336,6 @@ def pieces(ranks: dict[bytes, int]) -> list[bytes]:
 def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "token_ids") -> DataFrame:
     """``docs`` with ``decoded``, the joined bytes of the ids; null ids give no bytes."""
     table = pieces(ranks)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     rest = [field for field in docs.schema if field.name != "decoded"]
     docs = docs.select(*[F.col(f"`{field.name}`") for field in rest])
     names = to_arrow_schema(docs.schema).names

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import chat, decontaminate, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from visitlens.llm import bpe, chat, decontaminate, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from visitlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Fixed value: what conversation -1 of the contract says.
+# The rank file, and what conversation -1 of the contract says.
+RANKS = "byte_bpe_multi_50k.tiktoken"
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -92,6 +94,13 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, finish=bpe.Digests(ranks))
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = secrets.scanned(docs.select("doc_id", "text"), secrets.trained(docs))
@@ -114,6 +123,7 @@ def all_queries() -> dict[str, Query]:
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_substring_dedup": op8_substring_dedup,
+        "op9_byte_bpe": op9_byte_bpe,
         "op10_secret_scans": op10_secret_scans,
     }
 
