@@ -92,8 +92,11 @@ def _paths_of(layout: str) -> list[str]:
     return paths(T._parse_datatype_string(LAYOUTS[layout][0]))
 
 
-def _canonical(turns: str) -> str:
-    """Turns with known role names and without nulls."""
+def _canonical(layout: str) -> str:
+    """A layout's turns with known role names and without nulls; rows by turn have theirs already."""
+    turns = LAYOUTS[layout][1]
+    if layout == "rows_by_turn":
+        return f"transform({turns}, t -> struct(coalesce(t.role, '') as role, coalesce(t.text, '') as text))"
     names = " ".join(f"when '{old}' then '{new}'" for old, new in ROLES.items())
     role = f"case lower(t.role) {names} else coalesce(t.role, '') end"
     return f"transform({turns}, t -> struct({role} as role, coalesce(t.text, '') as text))"
@@ -108,11 +111,10 @@ def from_structs(df: DataFrame, record: str = "record") -> DataFrame:
     layout = df.sparkSession.range(1).selectExpr(f"case {found} {chosen} end as name").first().name
     if layout is None:
         return df.withColumn("layout", F.lit(None).cast("string")).withColumn("turns", F.lit(None).cast(TURNS))
-    turns = LAYOUTS[layout][1]
     return (
         df.withColumn("layout", F.lit(layout))
         .withColumn("_r", F.array(F.col(record)))
-        .withColumn("turns", F.expr(f"transform(_r, r -> {_canonical(turns)})[0]").cast(TURNS))
+        .withColumn("turns", F.expr(f"transform(_r, r -> {_canonical(layout)})[0]").cast(TURNS))
         .drop("_r")
     )
 
@@ -131,8 +133,8 @@ def from_json_texts(df: DataFrame, record: str = "record") -> DataFrame:
     hashed = F.expr(f"xxhash64(concat_ws('\n', {_JSON_PATHS.format(j=f'`{record}`')}))")
     named = df.withColumn("_print", hashed).withColumn("layout", F.expr(f"case _print {kinds} end"))
     turns = F.lit(None).cast(TURNS)
-    for name, (kind, mapping) in LAYOUTS.items():
-        own = f"transform(array(from_json(`{record}`, '{kind}')), r -> {_canonical(mapping)})[0]"
+    for name, (kind, _) in LAYOUTS.items():
+        own = f"transform(array(from_json(`{record}`, '{kind}')), r -> {_canonical(name)})[0]"
         turns = F.when(F.col("layout") == name, F.expr(own)).otherwise(turns)
     return named.withColumn("turns", turns.cast(TURNS)).drop("_print")
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import bpe, chat, decontaminate, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from visitlens.llm import bpe, chat, decontaminate, quality, secrets, sharding, simhash, sql, substring_dedup, suffix_dedup, toxicity
 from visitlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,4 +129,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return sql.all_sql()

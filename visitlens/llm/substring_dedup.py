@@ -35,7 +35,9 @@ LENGTH = 13
 SEED = 4
 
 #: Every step takes all columns of a row, so that the exchanges of the texts are one.
-ROW = ["doc_id", "doc", "text_hash", "text"]
+ROW = ["doc_id", "doc", "part", "text"]
+#: What names a document: its id and, since ids may repeat, half of its text's hash.
+KEY = ["doc", "part"]
 
 
 def _chosen(hashes: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -47,7 +49,7 @@ def _chosen(hashes: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.nda
 
 
 def seeds(docs: DataFrame, length: int) -> DataFrame:
-    """``h``, doc, text_hash and ``at``, the place of each seed in its document."""
+    """``h``, the document's key and ``at``, the place of each seed in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,14 +66,14 @@ def seeds(docs: DataFrame, length: int) -> DataFrame:
                         pa.array(name[start + text]),
                         pa.array((place - counts[text]).astype(np.int32)),
                     ],
-                    names=["h", "doc", "text_hash", "at"],
+                    names=["h", "doc", "part", "at"],
                 )
 
-    return docs.select(ROW).mapInArrow(run, "h long, doc long, text_hash long, at int")
+    return docs.select(ROW).mapInArrow(run, "h long, doc long, part int, at int")
 
 
 def extended(found: DataFrame, length: int) -> DataFrame:
-    """``w``, doc, text_hash and ``start`` of each window around the seeds at ``places``."""
+    """``w``, the document's key and ``start`` of each window around the seeds at ``places``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,11 +94,11 @@ def extended(found: DataFrame, length: int) -> DataFrame:
                         pa.array(name[first + text]),
                         pa.array((at - counts[text]).astype(np.int32)),
                     ],
-                    names=["w", "doc", "text_hash", "start"],
+                    names=["w", "doc", "part", "start"],
                 )
 
     return found.select(*ROW, "places").mapInArrow(
-        run, "w long, doc long, text_hash long, start int"
+        run, "w long, doc long, part int, start int"
     )
 
 
@@ -133,26 +135,24 @@ def _parted(docs: DataFrame, length: int) -> DataFrame:
 def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """doc_id, ``n_words``, ``n_removed`` and ``kept``, the kept words joined by one space in UTF-8."""
     last = (1 << 63) - 1
+    whole = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_column).cast("long"), F.lit(last)).alias("doc"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.shiftright(F.xxhash64(whole), 32).cast("int").alias("part"),
+        whole.alias("text"),
     )
-    key = ["doc", "text_hash"]
     # The texts are shuffled once, by key; Spark reuses that exchange in each join below.
-    first = base.select("doc", "text_hash").groupBy("text_hash").agg(F.min("doc").alias("doc"))
+    first = base.groupBy(F.xxhash64("text")).agg(F.min(F.struct(*KEY)).alias("key")).select("key.*")
     rows = base.select(ROW)
-    own = rows.join(first.withColumn("first", F.lit(True)), key, "left_semi")
+    own = rows.join(first.withColumn("own", F.lit(True)), KEY, "left_semi")
     sown = seeds(own, length)
-    shared = (
-        sown.groupBy("h").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b")).filter("a <> b").select("h")
-    )
-    places = sown.join(shared, "h").groupBy(*key).agg(F.collect_list("at").alias("places"))
-    around = extended(rows.join(places, key), length)
+    shared = sown.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a <> b").select("h")
+    places = sown.join(shared, "h").groupBy(*KEY).agg(F.collect_list("at").alias("places"))
+    around = extended(rows.join(places, KEY), length)
     earliest = around.groupBy("w").agg(F.min("doc").alias("earliest"))
     repeats = (
-        around.join(earliest, "w").filter("earliest < doc").groupBy(*key).agg(F.collect_set("start").alias("starts"))
+        around.join(earliest, "w").filter("earliest < doc").groupBy(*KEY).agg(F.collect_set("start").alias("starts"))
     )
-    marked = rows.join(first.withColumn("own", F.lit(True)), key, "left").join(repeats, key, "left")
+    marked = rows.join(first.withColumn("own", F.lit(True)), KEY, "left").join(repeats, KEY, "left")
     return _parted(marked.select("doc_id", "text", F.expr("own is null").alias("copy"), "starts"), length)
