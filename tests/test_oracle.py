@@ -19,9 +19,9 @@ KINDS = {
 }
 
 
-def expected(sql, sf_dir):
+def expected(sql, sf_dir, tables=TABLES):
     con = duckdb.connect()
-    for table in TABLES:
+    for table in tables:
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     result = con.execute(sql)
     types = {column[0]: KINDS.get(str(column[1]), str(column[1])) for column in result.description}
