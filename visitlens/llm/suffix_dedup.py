@@ -224,7 +224,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", i
     # One row stands for equal texts: that of the smallest id.
     classes = rows.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     known = rows.join(classes, "text_hash")
-    own = known.filter("doc_id <=> least").select("text_hash", "text")
+    # Not an equality, which Spark would make a join key that needs the texts dealt out anew.
+    own = known.filter("coalesce(doc_id <= least, least is null)").select("text_hash", "text")
     sown = seeds(own, length)
     shared = sown.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     places = sown.join(shared, "h").groupBy("text_hash").agg(F.collect_set("at").alias("places"))
