@@ -44,11 +44,11 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows: in
     """Adds ``name``, the gapless place of each row from 0 among the rows of its keys.
 
     The order is that of a hash of ``order`` and then ``order`` itself; rows that agree in
-    both take places in any order. A key's rows are numbered in parts of some thousand
-    rows and each part starts where the one before ends, so no task has to hold a key's
+    both take places in any order. A key's rows are numbered in parts of about two
+    thousand rows and each part starts where the one before ends, so no task has to hold a key's
     rows, however many. ``rows`` is the number of rows of ``df``.
     """
-    parts = max(1, rows // 20_000)
+    parts = max(1, rows // 2_000)
     split = df.withColumn("_part", F.expr(f"pmod(xxhash64({', '.join(order)}), {parts})"))
     at = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

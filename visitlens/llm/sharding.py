@@ -110,11 +110,15 @@ def sharded(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS, text: str =
     quotas = _quotas(total, shards)
     groups = stored(rows.groupBy("group").agg(F.count("*").alias("group_rows")))
     linked = groups.filter("group_rows > 1")
-    # A group's documents start dealt in turn from a shard of its own.
-    dealt = linked.selectExpr(
+    # A group's documents start dealt in turn from a shard of its own, over all shards or, if
+    # half a shard would not hold them, over about as many as they need.
+    quota = max(1, total // shards)
+    dealt = linked.withColumn(
+        "wide", F.expr(f"if(2 * group_rows > {quota}, least({shards}, group_rows div {quota} + 2), {shards})")
+    ).selectExpr(
         "group",
-        f"explode(transform(sequence(0, {shards - 1}), i -> struct(cast(pmod(xxhash64(group) + i, {shards}) as int) as shard,"
-        f" group_rows div {shards} + if(i < group_rows % {shards}, 1, 0) as n))) as x",
+        f"explode(transform(sequence(0, wide - 1), i -> struct(cast(pmod(xxhash64(group) + i, {shards}) as int) as shard,"
+        " group_rows div wide + if(i < group_rows % wide, 1, 0) as n))) as x",
     )
     state = propagate(stored(dealt.selectExpr("group", "x.shard", "x.n").filter("n > 0")), shards, quotas, rounds)
     held = {row.shard: row.n for row in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
