@@ -1,0 +1,252 @@
+"""Operators over documents against brute force: nulls, empty texts, ties, copies, long repeats."""
+
+import collections
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import brute
+from visitlens.llm import decontaminate, fm_index, quality, secrets, sharding, simhash, substring_dedup
+from visitlens.llm import suffix_dedup, suffix_sort, toxicity
+from visitlens.llm.common import ranked
+
+SCHEMA = "doc_id long, text string"
+
+
+def passages(rng, alphabet, size, joint):
+    """Overlapping cuts of a few long passages, some with changes, and the awkward rows."""
+    base = [[rng.choice(alphabet) for _ in range(size)] for _ in range(4)]
+    rows = []
+    for i in range(70):
+        items = list(rng.choice(base))
+        start = rng.randrange(size // 2)
+        for _ in range(rng.randrange(4)):
+            items[rng.randrange(size)] = rng.choice("xyz")
+        rows.append((i // 2 if i < 10 else i, joint.join(items[start : start + size // 5 + rng.randrange(size)])))
+    whole = [joint.join(x) for x in base]
+    rows += [(None, whole[0]), (None, whole[2]), (200, None), (201, ""), (202, " \n "), (5, whole[1]), (5, whole[1])]
+    rows += [(203, joint.join("a" * size)), (204, joint.join("ab" * (size // 2)))]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_substring_dedup(spark):
+    rows = passages(random.Random(1), "abcdefg", 60, " ")
+    found = substring_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), 13)
+    got = [(r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept)) for r in found.collect()]
+    assert brute.ordered(got) == brute.substring_dedup(rows, 13)
+
+
+def test_suffix_dedup(spark):
+    rows = passages(random.Random(2), "abcdefgé ", 700, "")
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), 200)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, brute.sha(r.kept)) for r in found.collect()]
+    assert brute.ordered(got) == brute.suffix_dedup(rows, 200)
+
+
+def test_deep_shallow_sorting_orders_strings_with_long_prefixes():
+    rng = np.random.default_rng(0)
+    for _ in range(20):
+        n = int(rng.integers(1, 200))
+        rows = rng.integers(0, 3, (n, 80)).astype(np.uint8)
+        rows[:, : rng.integers(0, 70)] = 1
+        for i in range(n // 2):
+            rows[i] = rows[int(rng.integers(n))]
+        group = np.sort(rng.integers(0, 4, n))
+        order = suffix_sort.deep_shallow(rows, group)
+        keys = [(int(group[i]), rows[i].tobytes()) for i in order]
+        assert keys == sorted(keys) and sorted(order) == list(range(n))
+
+
+def test_fm_index_finds_all_occurrences():
+    rng = np.random.default_rng(0)
+    for turn in range(40):
+        n = int(rng.integers(1, 200))
+        symbols = rng.integers(1, int(rng.integers(2, 6)), n) if turn % 3 else np.ones(n, int)
+        index = fm_index.FMIndex(symbols)
+        phrases = np.zeros((20, 5), np.int64)
+        for row in phrases:
+            size = int(rng.integers(1, 6))
+            row[5 - size :] = rng.integers(1, 7, size)
+        for row, low, high in zip(phrases, *index.search(phrases)):
+            own = row[row > 0]
+            places = [j for j in range(n - len(own) + 1) if (symbols[j : j + len(own)] == own).all()]
+            assert sorted(index.locate(np.arange(low, max(low, high)))) == places
+
+
+@pytest.mark.parametrize("block_phrases", [7, 100_000])
+def test_decontamination(spark, block_phrases):
+    rng = random.Random(1)
+    words = ["ab", "c-d", "e1", "é", "F,", "c", "d"]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(60)))) for i in range(120)]
+    docs += [(None, None), (1, ""), (1, "A" * 50), (2, docs[3][1]), (2, docs[3][1])]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(8)))) for i in range(30)]
+    items += [(None, "ab c"), (3, None), (4, "--"), (5, "c d"), (5, "c d"), (99, " ".join(docs[3][1].split()[:30]))]
+    given = spark.createDataFrame([(*d, "x", 1) for d in docs], f"{SCHEMA}, items string, hit_spans int")
+    found = decontaminate.judged(
+        given, spark.createDataFrame(items, "item_id long, text string"), window=5, block_phrases=block_phrases
+    )
+    got = found.select(
+        "doc_id", "n_words", "n_hit", F.size("items"), F.sha2(F.array_join("items", ","), 256), "contaminated"
+    )
+    assert brute.ordered(map(tuple, got.collect())) == brute.contamination(docs, items, 5)
+
+
+def test_simhash(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghij") * 3 for _ in range(rng.randrange(80))) for _ in range(60)]
+    for text in texts[:40]:
+        words = text.split()
+        if words:
+            words[rng.randrange(len(words))] = "z"
+        texts.append(" ".join(words).upper())
+    texts += ["", "  ", None, "one two", "ONE two", texts[0]]
+    rows = list(enumerate(texts))
+    found = simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    got = {r.doc_id: (r.fp & (1 << 64) - 1, r.component_id) for r in found.collect()}
+    values = [brute.fingerprint(text) for text in texts]
+    roots = brute.linked(values, lambda a, b: bin(a ^ b).count("1") <= 3)
+    assert got == {i: (values[i], roots[i]) for i in range(len(texts))}
+
+
+def test_simhash_links_in_a_crowded_anchor(spark, monkeypatch):
+    """Fingerprints that agree in one block, so that they share anchors."""
+    rng = np.random.default_rng(1)
+    values = {int(x) for x in rng.integers(0, 1 << 33, 500, dtype=np.uint64) << np.uint64(31)}
+    for value in list(values)[:200]:
+        for bits in (1, 2, 3, 4):
+            near = value
+            for bit in rng.choice(64, bits, replace=False):
+                near ^= 1 << int(bit)
+            values.add(near)
+    values = sorted(values)
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    fps = spark.createDataFrame(signed, "fp long")
+    dealt = simhash.anchors(fps, 3).repartition("anchor").sortWithinPartitions("anchor")
+    keys = dealt.toPandas().sort_values("anchor")
+    rows = (keys.anchor.to_numpy(), keys.fp.to_numpy().view(np.uint64), keys.home.to_numpy())
+    wanted = brute.linked(values, lambda a, b: bin(a ^ b).count("1") <= 3)
+    for crowded in (simhash.CROWDED, 8):
+        monkeypatch.setattr(simhash, "CROWDED", crowded)
+        place = {v: i for i, v in enumerate(values)}
+        labels = np.arange(len(values))
+        for left, right in simhash.close_pairs(*rows, 3):
+            a = np.array([place[int(v)] for v in rows[1][left]], int)
+            b = np.array([place[int(v)] for v in rows[1][right]], int)
+            labels = simhash.joined(labels, a, b)
+        assert labels.tolist() == wanted
+
+
+def test_quality_measures(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(90))) for _ in range(40)]
+    texts += ["\n".join(rng.choice(["the a", "b # c", "- x", ""]) for _ in range(rng.randrange(20))) for _ in range(40)]
+    texts += [None, "", " \t", "é|ü\x0b<b>\r\n\n", "word " * 30_000]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame([(*row, "x") for row in rows], f"{SCHEMA}, n_words string")
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    got = {r.doc_id: tuple(r[name] for name in names) for r in quality.judged(docs).collect()}
+    assert got == {i: brute.measures(text) for i, text in rows}
+    assert not quality.judged(docs).filter("kept and base_failed").count()
+
+
+def test_sharding(spark):
+    rng = random.Random(7)
+    texts = ["hot"] * 300 + ["w%d" % rng.randrange(60) for _ in range(200)] + [str(i) for i in range(397)] + [None, ""]
+    rows = [(i % 890, text) for i, text in enumerate(texts)]
+    found = sharding.sharded(spark.createDataFrame(rows, SCHEMA)).collect()
+    sizes = collections.Counter(r.shard for r in found)
+    assert set(sizes) == set(range(16)) and max(sizes.values()) - min(sizes.values()) <= 1
+    for shard, n in sizes.items():
+        assert sorted(r.slot for r in found if r.shard == shard) == list(range(n))
+    wanted = collections.Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in found) == wanted
+    # Groups that fit into a shard are whole; the hot one is in as few shards as hold it.
+    where = collections.defaultdict(collections.Counter)
+    for r in found:
+        where[r.text_crc32][r.shard] += 1
+    hot = zlib.crc32(b"hot")
+    assert len(where[hot]) <= 7
+    split = [key for key, held in where.items() if len(held) > 1 and key != hot]
+    assert len(split) <= 3
+
+
+def test_places_are_gapless_whatever_the_parts(spark):
+    rows = spark.range(1000).selectExpr("id % 3 as k", "id div 2 as v")
+    for n in (1000, 200_000):
+        found = ranked(rows, ["k"], ["v"], "place", n).collect()
+        for k in range(3):
+            assert sorted(r.place for r in found if r.k == k) == list(range(sum(r.k == k for r in found)))
+
+
+def test_toxicity_learns_words_and_skips_held_out_labels(spark):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(600):
+        words = ["w%d" % rng.randrange(40) for _ in range(rng.randrange(5, 40))]
+        toxic = i % 4 == 0
+        if toxic:
+            words[rng.randrange(len(words))] = rng.choice(["Scum,", "MORON"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    rows += [(None, "scum"), (700, None), (701, ""), (702, "  ")]
+    labels += [(None, 1), (5, None), (999, 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = toxicity.train_on_labels(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    truth = dict(labels)
+    held = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5 == 0]
+    right = sum((found[i] >= 0.5) == bool(truth[i]) for i in held)
+    assert right >= 0.95 * len(held)
+    assert found[None] > 0.5 > found[701] == found[700]
+    assert len(model.places) < 1000
+    none = toxicity.train_on_labels(docs, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert toxicity.scored(docs, none).filter("score <> 0.5").isEmpty()
+
+
+def test_secret_scans(spark):
+    rng = random.Random(9)
+
+    def token(alphabet, n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    upper, hexa = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789abcdef"
+    rows, wanted = [], {}
+    for i in range(300):
+        words = [token("abcdefghijklmnop", rng.randrange(2, 12)) for _ in range(30)]
+        kind = i % 6
+        made = {
+            0: "AKIA" + token(upper, 16),
+            1: "password=" + token(hexa, 18),
+            2: f"{token('abc', 5)}.{rng.randrange(99)}@mail{rng.randrange(9)}.example.com",
+            3: f"{rng.randrange(100, 256)}.{rng.randrange(100, 256)}.{rng.randrange(100, 256)}.7",
+            4: f"version {rng.randrange(10**9, 10**11)}",
+        }.get(kind, "plain")
+        words[15] = made
+        rows.append((i, " ".join(words)))
+        wanted[i] = kind < 2
+    rows += [(None, None), (900, ""), (901, rows[0][1]), (901, rows[0][1])]
+    docs = spark.createDataFrame([(*row, 0) for row in rows], f"{SCHEMA}, clean int")
+    found = secrets.scanned(docs, secrets.trained(docs)).collect()
+    got = {r.doc_id: r for r in found}
+    right = sum((len(got[i].secret_spans) == 1) == wanted[i] for i in wanted)
+    assert right >= 0.97 * len(wanted)
+    for i in (0, 6, 901):
+        assert secrets.MARK in got[i].clean and "AKIA" not in got[i].clean
+    assert got[None].clean is None and got[900].clean == ""
+    assert len(found) == len(rows)
+
+
+def test_no_rows(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    items = spark.createDataFrame([], "item_id long, text string")
+    assert substring_dedup.without_repeats(docs).collect() == []
+    assert suffix_dedup.without_repeats(docs).collect() == []
+    assert decontaminate.judged(docs, items).collect() == []
+    assert simhash.near_duplicates(docs).collect() == []
+    assert quality.judged(docs).collect() == []
+    assert sharding.sharded(docs).collect() == []
+    assert secrets.scanned(docs, secrets.trained(docs)).collect() == []
