@@ -40,3 +40,21 @@ def test_moves_over_hours_days_and_1970(spark):
     rows += [action("t", times[2], page=1), action("t", times[7], page=9)]
     found = page_convert_rate(spark.createDataFrame(rows, ACTIONS), (1, 2, 3, 4, 1, 9), "t").collect()
     assert {r.page_split: r.convert_rate for r in found} == convert_rates(rows, (1, 2, 3, 4, 1, 9))
+
+
+def test_times_that_cannot_be_read_are_no_visits(spark):
+    rows = [
+        action("s", "2024-01-01 1:00:00", page=1),
+        action("s", None, page=1, date="2024-01-01"),
+        action("s", "2024-01-01 25:00:00", page=1, date="2024-01-01"),
+        action("s", "2024-01-01 1:00:01", page=2),
+    ]
+    found = page_convert_rate(spark.createDataFrame(rows, ACTIONS), (1, 2), "t").collect()
+    assert [(r.page_split, r.convert_rate) for r in found] == [("1_2", 1.0)]
+
+
+def test_actions_are_counted_by_hash_before_the_first_shuffle(spark, crowded_actions):
+    found = page_convert_rate(crowded_actions, (1, 2, 3), "t")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "collect" not in plan
+    assert "partial_count" in plan

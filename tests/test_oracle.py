@@ -46,4 +46,4 @@ def test_matches_sql(spark, name):
 
 def test_entry_runs(spark):
     row = entry(spark).collect()[0]
-    assert row.session_count == 22
+    assert row.session_count == 21

@@ -21,7 +21,7 @@ def test_values():
             "professionals": "a,b",
             "sex": "male",
             "keywords": "x,,y",
-            "categoryIds": "1,07,x,20",
+            "categoryIds": "1,07,x,20,-5",
             "targetPageFlow": "1,2,3",
         }
     )
@@ -29,10 +29,16 @@ def test_values():
     assert params.professionals == ("a", "b")
     assert params.sex == "male"
     assert params.keywords == ("x", "y")
-    assert params.category_ids == (1, 20)
+    assert params.category_ids == (1, 20, -5)
     assert params.target_page_flow == (1, 2, 3)
 
 
+@pytest.mark.parametrize("flow", ["1,x,3", "1,07", "1, 2", "--1", ["1", "²"]])
+def test_a_bad_page_of_a_flow_raises(flow):
+    with pytest.raises(ValueError, match="targetPageFlow"):
+        TaskParams.from_mapping({**DATES, "targetPageFlow": flow})
+
+
 def test_lists_are_taken_as_they_are():
     params = TaskParams.from_mapping({**DATES, "categoryIds": [1, 20], "cities": ["a"], "keywords": []})
     assert (params.category_ids, params.cities, params.keywords) == ((1, 20), ("a",), None)

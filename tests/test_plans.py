@@ -1,16 +1,21 @@
 """What the physical plans must and must not hold."""
 
 import re
+from collections import Counter
 
 import pytest
 
+from conftest import settings
 from visitlens.operators.conversion import page_convert_rate
 from visitlens.operators.rankings import top10_session, top_categories
-from visitlens.operators.sampling import draw_sessions, random_extract
+from visitlens.operators.sampling import actions_of, draw_sessions, random_extract
 from visitlens.operators.sessions import filtered_sessions, session_totals
 from visitlens.params import TaskParams
+from visitlens.plans import session_job
 from visitlens.plans.registry import all_queries as queries
 from visitlens.schemas import ACTIONS, USERS
+from visitlens.sinks.shared import written
+from visitlens.sources import driver_tables
 from visitlens.sources.tables import from_folder
 
 TASK = TaskParams("2024-01-01", "2024-01-04", start_age=20, end_age=50, keywords=("a",), category_ids=(1,))
@@ -62,17 +67,50 @@ def test_ranks_are_limited_before_the_shuffle(tables):
 
 
 def test_only_the_bounded_sides_are_broadcast_by_hint(tables):
+    drawn = draw_sessions(tables.users.selectExpr("name as session_id", "current_timestamp() as start_ts"), "7")
     for df, hints in (
         (filtered_sessions(tables.actions, tables.users, TASK), 0),
-        (random_extract(tables.actions, draw_sessions(tables.users.selectExpr(
-            "name as session_id", "current_timestamp() as start_ts"), "7"), "t"), 1),
-    ):
+        (actions_of(tables.actions, drawn), 1),
+        (random_extract(tables.actions, drawn, "t"), 0),
+    ):
         logical = df._jdf.queryExecution().analyzed().toString()
         assert logical.count("UnresolvedHint broadcast") + logical.count("ResolvedHint (strategy=broadcast)") == hints
 
 
 def test_conversion_combines_before_the_shuffle(tables):
     text = plan(page_convert_rate(tables.actions, (1, 2, 3), "t"))
-    assert "partial_collect_set" in text
-    assert re.search(r"Exchange hashpartitioning\(session_id\S+, _groupingexpression\S+, \d+\)", text)
+    assert "partial_count" in text
+    assert re.search(r"Exchange hashpartitioning\(session_id\S+, tick\S+, \d+\)", text)
     assert not re.search(r"ReadSchema: struct<date|ReadSchema: .*user_id", text)
+
+
+def scans(df, table):
+    """Scans of a table when ``df`` runs; reused exchanges don't scan again."""
+    with settings(df.sparkSession, {"spark.sql.maxMetadataStringLength": "1000"}):
+        df.collect()
+        text = plan(df)
+    return text.split("== Initial Plan ==")[0].count(f"/{table}]")
+
+
+def test_the_job_scans_the_actions_five_times(spark, tmp_path, monkeypatch):
+    tables = {"user_visit_action": driver_tables.actions, "user_info": driver_tables.users}
+    for name, build in tables.items():
+        build(spark, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/{name}")
+    found = Counter()
+
+    def counting(df, path):
+        found[path.rpartition("/")[2]] += scans(df, "user_visit_action")
+        return written(df, path)
+
+    monkeypatch.setattr(session_job, "written", counting)
+    task = TaskParams("2024-01-01", "2024-01-04", target_page_flow=(1, 2, 3))
+    outputs = session_job.session_outputs(from_folder(spark, str(tmp_path)), task, "t", "7", f"{tmp_path}/shared")
+    for name, df in vars(outputs).items():
+        found[name] += scans(df, "user_visit_action")
+    assert {name: n for name, n in found.items() if n} == {
+        "sessions": 1,
+        "drawn_actions": 1,
+        "best": 1,
+        "top10_session": 1,
+        "page_convert_rate": 1,
+    }

@@ -1,16 +1,15 @@
 from dataclasses import replace
 
-import pytest
-
 from brute import sessions as expected_sessions
 from conftest import action
-from visitlens.operators import sessions
 from visitlens.operators.histograms import (
     session_stat_ratio,
     step_length_histogram,
     visit_length_histogram,
 )
-from visitlens.operators.sessions import as_session_record, filtered_records, filtered_sessions
+from visitlens.operators.sessions import as_session_record, filtered_records, filtered_sessions, value_lists
+from visitlens.operators.sampling import hourly_counts
+from visitlens.operators.unreadable import unreadable_values
 from visitlens.params import TaskParams
 from visitlens.schemas import ACTIONS, RATIOS, SESSION_RECORD, USERS
 
@@ -21,11 +20,7 @@ def rows(df):
     return sorted((row.asDict() for row in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("together", [1, 64])
-def test_records_match_brute_force(monkeypatch, together, crowded, profiles, crowded_actions, users):
-    """With value sets merged by several tasks per session, and by one."""
-    monkeypatch.setattr(sessions, "MERGED_PARTITIONS", together)
-    assert crowded_actions.rdd.getNumPartitions() == 4
+def test_records_match_brute_force(crowded, profiles, crowded_actions, users):
     found = as_session_record(filtered_records(crowded_actions, users, ALL))
     assert {f.name: f.dataType for f in found.schema} == {f.name: f.dataType for f in SESSION_RECORD}
     assert rows(found) == sorted(expected_sessions(crowded, profiles), key=repr)
@@ -134,3 +129,39 @@ def test_no_session_passes(crowded_actions, users):
     row = session_stat_ratio(filtered_sessions(crowded_actions, users, nobody), "t").collect()[0]
     assert row.session_count == 0
     assert set(row[2:]) == {0.0}
+
+
+def test_a_hot_session_is_split_by_its_values(spark):
+    """At default settings and in two input partitions: the list step gets a row per distinct
+    pair and task, and the step before is dealt out by session and value."""
+    rows = spark.range(0, 30_000, 1, 2).selectExpr(
+        "concat('hot', id * 0) as session_id", "concat('k', id % 500) as search_keyword", "id % 1 - 1 as click_category_id"
+    )
+    lists = value_lists(rows, ["session_id"])
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "spark_partition_id" not in plan.lower()
+    assert any("keyword" in line and "category_id" in line for line in plan.split("\n") if "Exchange hashpartitioning" in line)
+    assert len(lists.collect()[0].search_keywords) == 500
+
+
+def test_times_that_cannot_be_read(spark):
+    """They count as steps, and say nothing of start and end; a session without any has neither."""
+    actions = [
+        action("a", "2019-04-22 25:00:00", date="2019-04-22"),
+        action("a", "2019-04-22 5:00:00"),
+        action("a", None, date="2019-04-22"),
+        action("a", "2019-04-22 5:00:09"),
+        action("b", "noon", date="2019-04-22"),
+    ]
+    profiles = [(1, "u", "n", 20, "cook", "A", "male")]
+    found = filtered_sessions(
+        spark.createDataFrame(actions, ACTIONS),
+        spark.createDataFrame(profiles, USERS),
+        TaskParams("2019-04-22", "2019-04-22"),
+    )
+    got = {row.session_id: (row.visit_length, row.step_length) for row in found.collect()}
+    assert got == {"a": (9, 4), "b": (None, 1)}
+    assert [(r.hour, r.hour_count) for r in hourly_counts(found).collect()] == [(5, 1)]
+    assert session_stat_ratio(found, "t").collect()[0].session_count == 2
+    bad = unreadable_values(spark.createDataFrame(actions, ACTIONS)).collect()
+    assert [tuple(r) for r in bad] == [(5, 3, 0, 0)]

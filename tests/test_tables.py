@@ -13,7 +13,7 @@ from visitlens.plans.registry import SEED, TASK, TASK_ID
 from visitlens.plans.session_job import main, session_outputs
 from visitlens.schemas import ACTION_TABLE, PRODUCT_TABLE, USER_TABLE, USERS, checked
 from visitlens.sinks.shared import shared_folder, written
-from visitlens.sinks.tables import append_jdbc, replace_table
+from visitlens.sinks.tables import append_jdbc, replace_table, replace_task
 from visitlens.sources import driver_tables
 from visitlens.sources.tables import from_catalog, from_folder
 
@@ -33,7 +33,7 @@ def saved(spark):
 
 
 def test_job_gives_the_same_outputs_as_the_queries(spark, saved):
-    outputs = session_outputs(spark, saved, TASK, TASK_ID, SEED)
+    outputs = session_outputs(saved, TASK, TASK_ID, SEED, shared_folder(spark))
     for name, found in vars(outputs).items():
         assert rows(found) == rows(queries()[name](spark, SF_DIR)), name
 
@@ -42,7 +42,8 @@ def test_job_from_the_command_line(spark, saved):
     spark.sql("CREATE DATABASE results")
     task = {"startDate": "2024-01-01", "endDate": "2024-01-04", "startAge": 20, "endAge": 50, "sex": ""}
     common = ["--database", "default", "--output-database", "results", "--seed", SEED]
-    for task_id in ("a", TASK_ID):
+    # A task that runs again leaves its rows once.
+    for task_id in ("a", TASK_ID, TASK_ID):
         main(["--task", json.dumps(task), "--task-id", task_id, *common])
     names = {row.tableName for row in spark.sql("SHOW TABLES IN results").collect()}
     assert names == {
@@ -54,14 +55,31 @@ def test_job_from_the_command_line(spark, saved):
     }
     for name in names:
         found = spark.table(f"results.{name}")
-        mine = found.where(F.col("taskid") == TASK_ID)
+        mine = found.where(F.col("taskid") == TASK_ID).select(queries()[name](spark, SF_DIR).columns)
         assert rows(mine) == rows(queries()[name](spark, SF_DIR)), name
         assert found.count() == 2 * mine.count()
 
 
+def test_job_needs_no_products_and_leaves_no_folder(spark, saved, tmp_path):
+    spark.sql("CREATE DATABASE two_tables")
+    saved.actions.write.saveAsTable("two_tables.user_visit_action")
+    saved.users.write.saveAsTable("two_tables.user_info")
+    task = {"startDate": "2024-01-01", "endDate": "2024-01-04", "targetPageFlow": "1,2"}
+    arguments = ["--task", json.dumps(task), "--task-id", "t", "--database", "two_tables"]
+    main([*arguments, "--output-database", "two_tables", "--shared-folder", str(tmp_path)])
+    assert spark.table("two_tables.page_convert_rate").count() == 1
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_a_result_table_must_be_partitioned_by_task(spark):
+    spark.sql("SELECT 'a' AS taskid, 1 AS n").write.saveAsTable("flat_results")
+    with pytest.raises(ValueError, match="partitioned by taskid"):
+        replace_task(spark.sql("SELECT 'a' AS taskid, 2 AS n"), "flat_results")
+
+
 def test_job_over_dates_without_actions(spark, saved):
     empty = replace(TASK, start_date="2030-01-01", end_date="2030-01-31")
-    outputs = session_outputs(spark, saved, empty, TASK_ID, SEED)
+    outputs = session_outputs(saved, empty, TASK_ID, SEED, shared_folder(spark))
     assert rows(outputs.session_stat_ratio) == [(TASK_ID, 0, *[0.0] * 15)]
     assert {row.convert_rate for row in outputs.page_convert_rate.collect()} == {0.0}
     for name in ("session_random_extract", "session_detail", "top10_category", "top10_session"):

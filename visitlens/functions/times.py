@@ -13,10 +13,10 @@ DATE_HOUR = "yyyy-MM-dd_HH"
 def parse_time(text: str) -> str:
     """Text to timestamp. The hour may have one digit ("2019-04-22 5:08:33").
 
-    A cast reads that and costs about half of a pattern parse per row. Bad text
-    raises under ANSI mode.
+    A cast reads that and costs about half of a pattern parse per row. Text that is no
+    time gives null, as a missing one does; ``operators.unreadable`` counts it.
     """
-    return f"cast({text} as timestamp)"
+    return f"try_cast({text} as timestamp)"
 
 
 def before(time: str, other: str) -> str:

@@ -31,40 +31,44 @@ def page_convert_rate(actions: DataFrame, flow: tuple[int, ...], task_id: str) -
     """Per neighbouring pair (a, b) of the flow: moves from a straight to b / visits of a.
 
     A session's actions are ordered by time and, within a second, by page; a ``tick`` is
-    that order as one number. Equal ticks of a session are adjacent: n of them make n - 1
-    moves from the page to itself, and the distinct tick moves on to the next one. So the
-    distinct ticks are gathered per session and hour, combined within tasks before the
-    shuffle. That is at most 3600 seconds times the slots of the flow, however many
-    actions there are, and one short array for a usual session. The last tick of an hour
-    is tied to the first of the session's next hour by a window over the hours.
+    that order as one number. Actions are counted per session and tick, by hash and
+    combined in tasks, so a crowded hour is split by its ticks. Equal ticks of a session
+    are adjacent: n of them make n - 1 moves from the page to itself, and the tick moves on
+    to the session's next one. Next ticks are found within an hour, which has at most 3600
+    seconds times the slots of the flow, and an hour's last tick is tied to the first of the
+    session's next hour by a window over the hours. Visits come from the same counts, so
+    the actions are scanned once. An action without a readable time is no visit.
     """
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
     pages = sorted(set(flow))
     slots = 2 * len(pages) + 1
     tick = f"unix_seconds({parse_time('action_time')}) * {slots} + {_slot(pages)}"
-    hours = (
+    ticks = (
         actions.selectExpr("session_id", f"{tick} as tick")
-        .groupBy("session_id", F.expr(f"tick div {3600 * slots} as hour"))
-        .agg(F.expr("sort_array(collect_set(tick)) as ticks"))
+        .where("tick is not null")
+        .groupBy("session_id", "tick")
+        .agg(F.expr("count(*) as n"))
+        .withColumn("hour", F.expr(f"tick div {3600 * slots}"))
     )
-    within_hour = hours.selectExpr(
-        "inline(arrays_zip(ticks, slice(ticks, 2, size(ticks)))) as (tick, next_tick)"
+    in_hour = "over (partition by session_id, hour order by tick)"
+    placed = ticks.selectExpr(
+        "*",
+        f"lead(tick) {in_hour} as next_tick",
+        f"first_value(tick) {in_hour} as first_tick",
     )
-    over_hours = hours.selectExpr(
-        "ticks[size(ticks) - 1] as tick",
-        "lead(ticks[0]) over (partition by session_id order by hour) as next_tick",
-    ).where("next_tick is not null")
-    moves = (
-        within_hour.withColumn("distinct", F.lit(1))
-        .union(over_hours.withColumn("distinct", F.lit(0)))
+    last = placed.where("next_tick is null").selectExpr(
+        "tick", "n", "lead(first_tick) over (partition by session_id order by hour) as next_tick"
+    )
+    counts = (
+        placed.where("next_tick is not null")
+        .select("tick", "n", "next_tick")
+        .unionByName(last)
         .groupBy(
             F.expr(f"pmod(tick, {slots}) as slot"), F.expr(f"pmod(next_tick, {slots}) as next_slot")
         )
-        .agg(F.expr("count(*) as moves"), F.expr("sum(distinct) as distinct"))
+        .agg(F.expr("sum(n) as visits"), F.expr("sum(n - 1) as stays"), F.expr("count(next_tick) as moves"))
     )
-    visits = actions.groupBy(F.expr(f"{_slot(pages)} as slot")).agg(F.expr("count(*) as visits"))
-    counts = moves.unionByName(visits, allowMissingColumns=True)
     slot_of = {page: 2 * i + 1 for i, page in enumerate(pages)}
     rates = ", ".join(
         f"struct('{a}_{b}' as page_split, {_rate(slot_of[a], slot_of[b])} as convert_rate)"
@@ -82,5 +86,5 @@ def _rate(a: int, b: int) -> str:
     visits = f"coalesce(sum(visits) filter (where slot = {a}), 0)"
     moved = f"coalesce(sum(moves) filter (where slot = {a} and next_slot = {b}), 0)"
     if a == b:
-        moved += f" + {visits} - coalesce(sum(distinct) filter (where slot = {a}), 0)"
+        moved += f" + coalesce(sum(stays) filter (where slot = {a}), 0)"
     return ratio(f"({moved})", visits)

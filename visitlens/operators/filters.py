@@ -55,16 +55,6 @@ def behaviour_flags(params: TaskParams, keyword: Column, category: Column) -> li
     return [F.coalesce(F.bool_or(test), F.lit(False)).alias(name) for name, test in tests.items()]
 
 
-def merged_flags(params: TaskParams) -> list[Column]:
-    """The same aggregates over flags of parts of a session."""
-    names = [KEYWORD_HIT] if params.keywords is not None else []
-    if params.keywords is not None and NEVER_LISTED in params.keywords:
-        names += [NEVER_LISTED_HIT, OTHER_KEYWORD]
-    if params.category_ids is not None:
-        names.append(CATEGORY_HIT)
-    return [F.bool_or(name).alias(name) for name in names]
-
-
 def session_predicate(params: TaskParams) -> Column:
     """All active filters together. Those on the profile reach the scan of the users."""
     active = [

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time
-from visitlens.operators.sessions import JOINED_VALUES, with_values
+from visitlens.operators.sessions import JOINED_VALUES, value_lists, with_values
 from visitlens.schemas import RANDOM_EXTRACT, SESSION_DETAIL
 
 # Fixed value: sessions drawn per task.
@@ -14,9 +14,10 @@ SAMPLE_SIZE = 100
 
 
 def _by_hour(sessions: DataFrame) -> DataFrame:
+    """Sessions by start; one without any readable time belongs to no hour."""
     return sessions.selectExpr(
         "session_id", "start_ts", "to_date(start_ts) as date", "hour(start_ts) as hour"
-    )
+    ).where("start_ts is not null")
 
 
 def hourly_counts(sessions: DataFrame) -> DataFrame:
@@ -53,10 +54,10 @@ def sample_quota(sessions: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
     return hourly_counts(sessions).selectExpr("*", f"least({share}, hour_count) as quota")
 
 
-def draw_sessions(sessions: DataFrame, seed: str) -> DataFrame:
+def draw_sessions(sessions: DataFrame, seed: str, size: int = SAMPLE_SIZE) -> DataFrame:
     """The first ``quota`` sessions of every hour, in the order of a seeded hash.
 
-    No quota exceeds ``SAMPLE_SIZE``, so the constant bound on the rank changes nothing
+    No quota exceeds ``size``, so that bound on the rank changes nothing
     in the result, but it lets Spark cut each hour to that many rows per task before
     the shuffle. A crowded hour is never brought together whole. The hash makes the
     draw repeatable, also when a lost executor's part of it is computed again.
@@ -67,9 +68,9 @@ def draw_sessions(sessions: DataFrame, seed: str) -> DataFrame:
     candidates = (
         _by_hour(sessions)
         .withColumn("rank", F.row_number().over(shuffled))
-        .where(F.col("rank") <= SAMPLE_SIZE)
+        .where(F.col("rank") <= int(size))
     )
-    quota = sample_quota(sessions).select("date", "hour", "quota")
+    quota = sample_quota(sessions, size).select("date", "hour", "quota")
     return (
         candidates.join(quota, ["date", "hour"])
         .where(F.col("rank") <= F.col("quota"))
@@ -80,29 +81,28 @@ def draw_sessions(sessions: DataFrame, seed: str) -> DataFrame:
 def actions_of(actions: DataFrame, drawn: DataFrame) -> DataFrame:
     """Actions of the drawn sessions.
 
-    The quotas add up to at most ``SAMPLE_SIZE``, so broadcasting ``drawn`` is safe at
-    any scale, and the actions are filtered where they are read.
+    The quotas add up to the sample size at most, so broadcasting ``drawn`` is safe at
+    any scale, and the actions are filtered where they are read. Both outputs of the sample
+    come from these rows; a job writes them once.
     """
     return actions.join(F.broadcast(drawn.select("session_id")), "session_id", "left_semi")
 
 
-def random_extract(actions: DataFrame, drawn: DataFrame, task_id: str) -> DataFrame:
-    """The drawn sessions with their keywords and clicked categories.
+def random_extract(drawn_actions: DataFrame, drawn: DataFrame, task_id: str) -> DataFrame:
+    """The drawn sessions with their keywords and clicked categories, from ``actions_of``.
 
-    Value lists are built for the drawn sessions only. The rank keeps apart the rows of
-    a session that two profiles brought into the draw twice.
+    A session that two profiles brought into the draw twice is in it twice.
     """
-    extract = with_values(
-        actions.join(F.broadcast(drawn), "session_id"), ["session_id", "start_ts", "rank"]
-    ).selectExpr(
+    lists = value_lists(drawn_actions, ["session_id"])
+    extract = with_values(drawn, lists, ["session_id"]).selectExpr(
         "session_id as sessionid", f"{format_time('start_ts')} as startTime", *JOINED_VALUES
     )
     return extract.withColumn("taskid", F.lit(task_id)).select(RANDOM_EXTRACT.names)
 
 
-def session_detail(actions: DataFrame, drawn: DataFrame, task_id: str) -> DataFrame:
-    """Every action of the drawn sessions."""
-    detail = actions_of(actions, drawn).selectExpr(
+def session_detail(drawn_actions: DataFrame, task_id: str) -> DataFrame:
+    """Every action of the drawn sessions, from ``actions_of``."""
+    detail = drawn_actions.selectExpr(
         "user_id as userid",
         "session_id as sessionid",
         "page_id as pageid",

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time, parse_time, seconds_between
 from visitlens.operators.filters import (
     behaviour_flags,
     in_date_range,
-    merged_flags,
     session_predicate,
 )
 from visitlens.params import TaskParams
@@ -19,17 +16,14 @@ from visitlens.schemas import NO_CLICK, NO_USER
 
 PROFILE = ["age", "professional", "sex", "city"]
 
-# The first merge of a session's value sets: input partitions that go to one task, and the
-# most tasks that share it.
-MERGED_PARTITIONS = 64
-MERGE_GROUPS = 256
-
 # What an action says about its session; null where it says nothing.
 KEYWORD = "nullif(search_keyword, '')"
 CATEGORY = f"nullif(click_category_id, {NO_CLICK})"
 USER = f"nullif(user_id, {NO_USER})"
 WHEN = parse_time("action_time")
 
+VALUE_LISTS = {"search_keywords": "array<string>", "click_category_ids": "array<bigint>"}
+
 # The value lists as comma-separated text.
 JOINED_VALUES = [
     "array_join(search_keywords, ',') as searchKeywords",
@@ -37,24 +31,6 @@ JOINED_VALUES = [
 ]
 
 
-def _measures(user: str, start: str, end: str, steps: str) -> list[Column]:
-    return [
-        F.expr(f"min({user}) as user_id"),
-        F.expr(f"min({start}) as start_ts"),
-        F.expr(f"max({end}) as end_ts"),
-        F.expr(f"{steps} as step_length"),
-    ]
-
-
-def _with_visit_length(sessions: DataFrame) -> DataFrame:
-    return sessions.withColumns(
-        {
-            "user_id": F.expr(f"coalesce(user_id, {NO_USER})"),
-            "visit_length": F.expr(seconds_between("start_ts", "end_ts")),
-        }
-    ).drop("end_ts")
-
-
 def session_totals(actions: DataFrame, params: TaskParams) -> DataFrame:
     """One row of fixed-width values per session, plus a flag per behaviour filter.
 
@@ -64,55 +40,37 @@ def session_totals(actions: DataFrame, params: TaskParams) -> DataFrame:
     here by flags; no set of values is built to test them.
     """
     sessions = actions.groupBy("session_id").agg(
-        *_measures(USER, WHEN, WHEN, "count(*)"),
+        F.expr(f"coalesce(min({USER}), {NO_USER}) as user_id"),
+        F.expr(f"min({WHEN}) as start_ts"),
+        F.expr(f"max({WHEN}) as end_ts"),
+        F.expr("count(*) as step_length"),
         *behaviour_flags(params, F.expr(KEYWORD), F.expr(CATEGORY)),
     )
-    return _with_visit_length(sessions)
+    return sessions.withColumn("visit_length", F.expr(seconds_between("start_ts", "end_ts"))).drop("end_ts")
 
 
-def with_values(
-    actions: DataFrame, keys: list[str], first: Sequence[Column] = (), merged: Sequence[Column] = ()
-) -> DataFrame:
-    """One row per key with its distinct keywords and clicked categories, sorted.
+def value_lists(actions: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct keywords and clicked categories per key, sorted, for keys that have any.
 
-    The sets are merged twice, first per key and group of input partitions. A usual
-    session lies in a partition or two, so it passes as a row or two; a session that is
-    everywhere is merged by up to ``MERGE_GROUPS`` tasks, and only its distinct values go
-    on to its one record. The groups decide where the merging happens, not what comes out.
-    ``first`` aggregates alongside the first merge and ``merged`` its results in the
-    second, where ``place`` is 0 or null in just one row per merged part.
+    Only actions that name one take part. The first step is a hash aggregation by key and
+    value: a key that is everywhere is split by its values, whatever the partitions, and
+    reaches the list step as one row per distinct pair.
     """
-    part = f"spark_partition_id() div {MERGED_PARTITIONS} % {MERGE_GROUPS}"
-    parts = actions.groupBy(*keys, F.expr(f"{part} as part")).agg(
-        *first,
-        F.expr(f"collect_set({KEYWORD}) as keywords"),
-        F.expr(f"collect_set({CATEGORY}) as category_ids"),
+    named = actions.selectExpr(*keys, f"{KEYWORD} as keyword", f"{CATEGORY} as category_id").where(
+        "coalesce(keyword, cast(category_id as string)) is not null"
     )
-    values = parts.selectExpr(
-        "* except (part, keywords, category_ids)",
-        """posexplode_outer(concat(
-             transform(keywords, k -> struct(k as keyword, cast(null as bigint) as category_id)),
-             transform(category_ids, c -> struct(cast(null as string) as keyword, c as category_id))
-           )) as (place, value)""",
-    )
-    return values.groupBy(*keys).agg(
-        *merged,
-        F.expr("sort_array(collect_set(value.keyword)) as search_keywords"),
-        F.expr("sort_array(collect_set(value.category_id)) as click_category_ids"),
+    distinct = named.groupBy(*keys, "keyword", "category_id").agg(F.expr("count(*) as n"))
+    return distinct.groupBy(*keys).agg(
+        F.expr("sort_array(array_distinct(collect_list(keyword))) as search_keywords"),
+        F.expr("sort_array(array_distinct(collect_list(category_id))) as click_category_ids"),
     )
 
 
-def session_records(actions: DataFrame, params: TaskParams) -> DataFrame:
-    """``session_totals`` plus the session's distinct keywords and clicked categories."""
-    first = [
-        *_measures(USER, WHEN, WHEN, "count(*)"),
-        *behaviour_flags(params, F.expr(KEYWORD), F.expr(CATEGORY)),
-    ]
-    merged = [
-        *_measures("user_id", "start_ts", "end_ts", "sum(if(place > 0, 0, step_length))"),
-        *merged_flags(params),
-    ]
-    return _with_visit_length(with_values(actions, ["session_id"], first, merged))
+def with_values(sessions: DataFrame, lists: DataFrame, keys: list[str]) -> DataFrame:
+    """Sessions with their value lists, empty where there are none."""
+    return sessions.join(lists, keys, "left").withColumns(
+        {name: F.coalesce(name, F.array().cast(kind)) for name, kind in VALUE_LISTS.items()}
+    )
 
 
 def with_profiles(sessions: DataFrame, users: DataFrame) -> DataFrame:
@@ -131,9 +89,13 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
 
 
 def filtered_records(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
-    """Sessions of the date range that pass every filter, with their value lists."""
-    sessions = session_records(in_date_range(actions, params), params)
-    return with_profiles(sessions, users).where(session_predicate(params))
+    """Sessions of the date range that pass every filter, with their value lists.
+
+    Lists are built for the sessions that passed only, and joined to them.
+    """
+    sessions = filtered_sessions(actions, users, params)
+    passed = in_date_range(actions, params).join(sessions.select("session_id"), "session_id", "left_semi")
+    return with_values(sessions, value_lists(passed, ["session_id"]), ["session_id"])
 
 
 def as_session_record(records: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ class TaskParams:
             sex=_text(task.get("sex")),
             keywords=_items(task.get("keywords")),
             category_ids=_ids(_items(task.get("categoryIds"))),
-            target_page_flow=_ids(_items(task.get("targetPageFlow"))) or (),
+            target_page_flow=_pages(_items(task.get("targetPageFlow"))),
         )
 
 
@@ -63,6 +63,17 @@ def _items(value: object) -> tuple[str, ...] | None:
 
 def _ids(items: tuple[str, ...] | None) -> tuple[int, ...] | None:
     """Ids match as text, so "07" or "x" can never equal an id and is left out."""
-    if items is None:
-        return None
-    return tuple(int(item) for item in items if item.isdecimal() and str(int(item)) == item)
+    return None if items is None else tuple(int(item) for item in items if _is_id(item))
+
+
+def _pages(items: tuple[str, ...] | None) -> tuple[int, ...]:
+    """The pages of a flow. One that is no id would change its neighbours' pairs, so it raises."""
+    for item in items or ():
+        if not _is_id(item):
+            raise ValueError(f"targetPageFlow has {item!r}, which is no page id")
+    return tuple(map(int, items or ()))
+
+
+def _is_id(item: str) -> bool:
+    digits = item.removeprefix("-")
+    return digits.isascii() and digits.isdecimal() and str(int(item)) == item

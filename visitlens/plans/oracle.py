@@ -24,7 +24,8 @@ events_s AS (
 all_actions AS (
   SELECT
     '2024-01-0' || (1 + blk % 5) AS date,
-    (blk * 7 + sub) % 160 AS user_id,
+    CASE WHEN (blk * 7 + sub) % 13 = 12 THEN -1 WHEN (blk * 7 + sub) % 11 = 10 THEN 1000000000 + blk
+         ELSE (blk * 7 + sub) % 1201 END AS user_id,
     's' || blk || '_' || sub AS session_id,
     (event_id + k) % 10 AS page_id,
     '2024-01-0' || (1 + blk % 5) || ' '
@@ -54,7 +55,6 @@ users AS (
          c_mktsegment AS professional, n_name AS city,
          CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 10 <> 9
 )"""
 
 RECORDS = """
@@ -215,7 +215,19 @@ FROM counted"""
 AD_CLICKS = """
 SELECT 1704067200000 + event_id * 1000 AS millis, event_id % 10 AS province,
        event_id % 10 AS city, user_id % 100 AS user_id, event_id % 20 AS ad_id
-FROM events WHERE event_type <> 'error'"""
+FROM events WHERE event_type <> 'error' AND event_id % 50 NOT IN (7, 11, 13)"""
+
+REJECTED = """
+SELECT concat_ws(' ',
+         CASE WHEN event_id % 50 = 7 THEN '9223372036854775807'
+              ELSE CAST(1704067200000 + event_id * 1000 AS VARCHAR) END,
+         CASE WHEN event_id % 50 = 11 THEN 'x' ELSE CAST(event_id % 10 AS VARCHAR) END,
+         event_id % 10, user_id % 100,
+         CASE WHEN event_type <> 'error' THEN event_id % 20 END,
+         CASE WHEN event_type <> 'error' AND event_id % 50 = 13 THEN 1 END) AS value,
+       CASE WHEN event_type = 'error' OR event_id % 50 = 13 THEN 'tokens'
+            WHEN event_id % 50 = 11 THEN 'number' ELSE 'time' END AS reason
+FROM events WHERE event_type = 'error' OR event_id % 50 IN (7, 11, 13)"""
 
 
 def all_sql() -> dict[str, str]:
@@ -275,14 +287,22 @@ SELECT session_id, action_time,
        strftime(ts, '%Y%m%d%H%M') AS minute_key,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS time,
        strftime(ts, '%Y-%m-%d') AS day_of_key,
-       date < strftime(current_date, '%Y-%m-%d') AS before_today,
-       date < strftime(current_date - INTERVAL 1 DAY, '%Y-%m-%d') AS before_yesterday,
+       strftime(current_date, '%Y-%m-%d') AS today, 1 AS days_from_yesterday,
        search_keyword IS NULL OR search_keyword = '' AS no_keyword,
        search_keyword IS NOT NULL AND search_keyword <> '' AS has_keyword,
        ((200 * page_id + 8) // 16) / 100.0 AS page_eighths,
-       session_id AS trimmed,
-       lpad(CAST(page_id AS VARCHAR), 2, '0') AS page_two_digits
-FROM actions""",
+       CASE WHEN page_id < 5 THEN ',' ELSE '' END || session_id AS trimmed,
+       CASE page_id % 4 WHEN 0 THEN '0'
+            WHEN 2 THEN substr(CAST(1000 + page_id * 37 AS VARCHAR), 2, 2)
+            ELSE '0' || substr(CAST(1000 + page_id * 37 AS VARCHAR), 2, page_id % 4) END AS two_digits
+FROM (SELECT *, CAST(action_time AS TIMESTAMP) AS ts FROM all_actions)""",
         "ad_clicks": AD_CLICKS,
         "ad_click_stream": AD_CLICKS,
+        "rejected_ad_lines": REJECTED,
+        "unreadable_values": f"""{_with(ACTIONS)}
+SELECT COUNT(*) AS actions, COUNT(*) FILTER (WHERE page_id = 3) AS times,
+       COUNT(*) FILTER (WHERE page_id < 2 AND order_category_ids IS NOT NULL) AS order_ids,
+       CAST(0 AS BIGINT) AS pay_ids
+FROM all_actions""",
+        "table_round_trip": f"{_with(USERS)} SELECT * FROM users",
     }

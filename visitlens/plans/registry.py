@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -16,10 +17,12 @@ from visitlens.operators import (
     rankings,
     sampling,
     sessions,
+    unreadable,
 )
 from visitlens.operators.filters import in_date_range
 from visitlens.params import TaskParams
 from visitlens.sinks.shared import shared_folder
+from visitlens.sinks.tables import replace_table
 from visitlens.sources import driver_tables as tables
 from visitlens.streaming import ad_clicks
 
@@ -79,12 +82,18 @@ def _over_sessions(operator: Callable[..., DataFrame], *args) -> Query:
     return query
 
 
-def _over_sample(operator: Callable[..., DataFrame]) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        actions, found = _actions_and_sessions(spark, sf_dir)
-        return operator(actions, sampling.draw_sessions(found, SEED), TASK_ID)
+def _drawn(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    actions, found = _actions_and_sessions(spark, sf_dir)
+    drawn = sampling.draw_sessions(found, SEED)
+    return sampling.actions_of(actions, drawn), drawn
 
-    return query
+
+def _random_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.random_extract(*_drawn(spark, sf_dir), TASK_ID)
+
+
+def _session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.session_detail(_drawn(spark, sf_dir)[0], TASK_ID)
 
 
 def _top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,15 +132,16 @@ def _time_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         "minute_key": times.minute_key(ts),
         "time": times.format_time(ts),
         "day_of_key": times.format_date(times.parse_date_key(times.date_key(ts))),
-        "before_today": f"date < {times.today()}",
-        "before_yesterday": f"date < {times.yesterday()}",
+        "today": times.today(),
+        "days_from_yesterday": f"datediff({times.today()}, {times.yesterday()})",
         "no_keyword": values.is_empty("search_keyword"),
         "has_keyword": values.is_not_empty("search_keyword"),
         "page_eighths": values.half_up("page_id / 8", 2),
-        "trimmed": values.trim_comma("concat(',', session_id, ',')"),
-        "page_two_digits": values.two_digits("cast(page_id as string)"),
+        # One or two commas in front, none or one behind; texts of no to three characters.
+        "trimmed": values.trim_comma("concat(if(page_id < 5, ',,', ','), session_id, if(page_id % 2 = 0, ',', ''))"),
+        "two_digits": values.two_digits("substring(cast(1000 + page_id * 37 as string), 2, cast(page_id % 4 as int))"),
     }
-    return _actions(spark, sf_dir).selectExpr(
+    return tables.actions(spark, sf_dir).selectExpr(
         *[f"{expression} as {name}" for name, expression in expressions.items()]
     )
 
@@ -145,6 +155,31 @@ def _ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _click_columns(ad_clicks.parse_ad_lines(lines))
 
 
+def _rejected_ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad_clicks.rejected_ad_lines(tables.ad_lines(tables.events(spark, sf_dir)))
+
+
+def _unreadable_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of actions some of whose times and order ids are spoilt on purpose."""
+    return unreadable.unreadable_values(
+        tables.actions(spark, sf_dir).withColumns(
+            {
+                "action_time": F.expr("if(page_id = 3, concat(action_time, 'x'), action_time)"),
+                "order_category_ids": F.expr("if(page_id < 2, concat(order_category_ids, ',x'), order_category_ids)"),
+            }
+        )
+    )
+
+
+def _table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profiles as a catalog table holds them after it was replaced."""
+    table = f"round_trip_{uuid.uuid4().hex}"
+    users = tables.users(spark, sf_dir)
+    replace_table(users.select("user_id", "name"), table)
+    replace_table(users, table, partition_by="sex")
+    return spark.table(table).select(users.columns)
+
+
 def _ad_click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same clicks through a streaming query and its Parquet sink."""
     lines = tables.ad_lines(tables.event_stream(spark, sf_dir))
@@ -165,8 +200,8 @@ def all_queries() -> dict[str, Query]:
         "session_stat_ratio": _over_sessions(histograms.session_stat_ratio, TASK_ID),
         "sessions_per_hour": _over_sessions(_sessions_per_hour),
         "sample_quota": _over_sessions(_sample_quota),
-        "session_random_extract": _over_sample(sampling.random_extract),
-        "session_detail": _over_sample(sampling.session_detail),
+        "session_random_extract": _random_extract,
+        "session_detail": _session_detail,
         "top10_category": _top10_category,
         "top10_session": _top10_session,
         "page_convert_rate": lambda spark, sf_dir: conversion.page_convert_rate(
@@ -178,4 +213,7 @@ def all_queries() -> dict[str, Query]:
         "time_keys": _time_keys,
         "ad_clicks": _ad_clicks,
         "ad_click_stream": _ad_click_stream,
+        "rejected_ad_lines": _rejected_ad_lines,
+        "unreadable_values": _unreadable_values,
+        "table_round_trip": _table_round_trip,
     }

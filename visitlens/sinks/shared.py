@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``, or the checkpoint folder set in code.
-
-    Only a local session may go without either; it gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="visitlens-")
+    """A new folder name under ``spark.checkpoint.dir``, the checkpoint folder set in code, or
+    the warehouse, which executors share too."""
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
     return f"{root.rstrip('/')}/visitlens-{uuid.uuid4().hex}"
 
 
@@ -29,3 +26,9 @@ def written(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of intermediate tables once nothing reads them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

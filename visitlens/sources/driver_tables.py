@@ -50,7 +50,9 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return placed.selectExpr(
         "date",
-        "(blk * 7 + sub) % 160 as user_id",
+        # One session of 13 names no user, and one of 11 a user without a profile.
+        """case when (blk * 7 + sub) % 13 = 12 then -1 when (blk * 7 + sub) % 11 = 10 then 1000000000 + blk
+                else (blk * 7 + sub) % 1201 end as user_id""",
         "concat('s', blk, '_', sub) as session_id",
         "(event_id + k) % 10 as page_id",
         """concat(date, ' ',
@@ -71,8 +73,8 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``user_info`` from nine customers of ten; some sessions are left without a profile."""
-    customers = _read(spark, sf_dir, "customer", CUSTOMERS).where("c_custkey % 10 <> 9")
+    """``user_info`` from the customers."""
+    customers = _read(spark, sf_dir, "customer", CUSTOMERS)
     nations = _read(spark, sf_dir, "nation", NATIONS).withColumnRenamed("n_nationkey", "c_nationkey")
     return customers.join(nations, "c_nationkey").selectExpr(
         "c_custkey as user_id",
@@ -95,11 +97,14 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ad_lines(events: DataFrame) -> DataFrame:
-    """One ad line per event, streaming or not; error events give a line that is cut short."""
+    """One ad line per event, streaming or not. Error events give a line that is cut short; of
+    the others some have a time too large, a word for a number, or one number more."""
     return events.selectExpr(
-        """concat_ws(' ', 1704067200000 + event_id * 1000, event_id % 10, event_id % 10,
-                     user_id % 100,
-                     case when event_type <> 'error' then event_id % 20 end) as value"""
+        """concat_ws(' ',
+             if(event_id % 50 = 7, 9223372036854775807, 1704067200000 + event_id * 1000),
+             if(event_id % 50 = 11, 'x', cast(event_id % 10 as string)), event_id % 10, user_id % 100,
+             case when event_type <> 'error' then event_id % 20 end,
+             case when event_type <> 'error' and event_id % 50 = 13 then 1 end) as value"""
     )
 
 

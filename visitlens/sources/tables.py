@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,11 @@ from visitlens.schemas import (
 
 @dataclass(frozen=True)
 class Tables:
+    """``products`` is looked up when called: no session output needs it."""
+
     actions: DataFrame
     users: DataFrame
-    products: DataFrame
+    products: Callable[[], DataFrame]
 
 
 def from_catalog(spark: SparkSession, database: str | None = None) -> Tables:
@@ -30,7 +33,7 @@ def from_catalog(spark: SparkSession, database: str | None = None) -> Tables:
     return Tables(
         checked(spark.table(prefix + ACTION_TABLE), ACTIONS, ACTION_TABLE),
         checked(spark.table(prefix + USER_TABLE), USERS, USER_TABLE),
-        checked(spark.table(prefix + PRODUCT_TABLE), PRODUCTS, PRODUCT_TABLE),
+        lambda: checked(spark.table(prefix + PRODUCT_TABLE), PRODUCTS, PRODUCT_TABLE),
     )
 
 
@@ -43,5 +46,5 @@ def from_folder(spark: SparkSession, folder: str) -> Tables:
     return Tables(
         read(ACTION_TABLE, ACTIONS),
         read(USER_TABLE, USERS),
-        read(PRODUCT_TABLE, PRODUCTS),
+        lambda: read(PRODUCT_TABLE, PRODUCTS),
     )
