@@ -3,7 +3,7 @@
 A repeat is a run of at least ``length`` words that an earlier document, one with a smaller
 id, has too. Seeds are winnowed: of the short word groups in a window of ``length`` words the
 one with the lowest hash is chosen, so equal windows choose equal seeds and about one place in
-five or six is a seed. Documents are joined on seeds that two different texts have. Around
+five or six is a seed. Documents are joined on seeds that two of them have. Around
 these, matches are extended both ways: every window that chose the seed reaches from it as far
 left and right as a repeat of ``length`` words can, and windows of equal words meet under one
 hash of 64 bits. Windows that an earlier document has are merged into maximal repeats, which go.
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +34,10 @@ from visitlens.llm.hashing import grams, lowest, windows, words
 
 LENGTH = 13
 SEED = 4
+UNPACKED_ROWS = 1024
 
 #: Every step takes all columns of a row, so that the exchanges of the texts are one.
-ROW = ["doc_id", "doc", "part", "text"]
+ROW = ["doc_id", "doc", "part", "packed"]
 #: What names a document: its id and, since ids may repeat, half of its text's hash.
 KEY = ["doc", "part"]
 
@@ -48,11 +50,52 @@ def _chosen(hashes: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.nda
     return at, text, lowest(values, length - seed + 1)[at], values
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``ROW`` with texts compressed one by one, which halves what is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor().compress
+        for batch in batches:
+            texts = [pack(text.encode()) for text in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.binary())], names=ROW)
+
+    # Keys that may be null would get a filter in some joins and so an exchange of their own.
+    return docs.mapInArrow(run, "doc_id long, doc long not null, part int not null, packed binary")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``ROW`` and more with texts again, in parts of bounded size."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for start in range(0, batch.num_rows, UNPACKED_ROWS):
+            part = batch.slice(start, UNPACKED_ROWS)
+            texts = pa.array([unpack(x) for x in part.column(3).to_pylist()], pa.binary()).cast(pa.string())
+            names = [*ROW[:3], "text", *batch.schema.names[4:]]
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], texts, *part.columns[4:]], names=names)
+
+
+def seeds_held(docs: DataFrame, length: int) -> DataFrame:
+    """``h`` of each seed, once for a document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in unpacked(batches):
+            for _, _, data, starts in blocks(batch, "text"):
+                _, _, hashes, counts = words(data, starts)
+                _, text, place, values = _chosen(hashes, counts, length)
+                found = values[place]
+                order = np.lexsort((found, text))
+                found, text = found[order], text[order]
+                new = np.r_[True, (found[1:] != found[:-1]) | (text[1:] != text[:-1])] if len(found) else text > 0
+                yield pa.RecordBatch.from_arrays([pa.array(found[new].view(np.int64))], names=["h"])
+
+    return docs.select(ROW).mapInArrow(run, "h long")
+
+
 def seeds(docs: DataFrame, length: int) -> DataFrame:
     """``h``, the document's key and ``at``, the place of each seed in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in unpacked(batches):
             doc, name = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for start, _, data, starts in blocks(batch, "text"):
                 _, _, hashes, counts = words(data, starts)
@@ -76,7 +119,7 @@ def extended(found: DataFrame, length: int) -> DataFrame:
     """``w``, the document's key and ``start`` of each window around the seeds at ``places``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in unpacked(batches):
             doc, name = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             places = batch.column(4)
             for first, end, data, starts in blocks(batch, "text"):
@@ -106,9 +149,9 @@ def _parted(docs: DataFrame, length: int) -> DataFrame:
     """Each text's words but those in the windows that start at ``starts``; all if ``copy``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, copies, listed = batch.column(0), batch.column(2).to_pylist(), batch.column(3)
-            data, starts = text_bytes(batch.column(1))
+        for batch in unpacked(batches):
+            ids, copies, listed = batch.column(0), batch.column(4).to_pylist(), batch.column(5)
+            data, starts = text_bytes(batch.column(3))
             out = ([], [], [])
             for i in range(batch.num_rows):
                 found = data[starts[i] : starts[i + 1]].tobytes().split()
@@ -144,10 +187,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", i
     )
     # The texts are shuffled once, by key; Spark reuses that exchange in each join below.
     first = base.groupBy(F.xxhash64("text")).agg(F.min(F.struct(*KEY)).alias("key")).select("key.*")
-    rows = base.select(ROW)
+    rows = packed(base)
     own = rows.join(first.withColumn("own", F.lit(True)), KEY, "left_semi")
     sown = seeds(own, length)
-    shared = sown.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a <> b").select("h")
+    shared = seeds_held(own, length).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     places = sown.join(shared, "h").groupBy(*KEY).agg(F.collect_list("at").alias("places"))
     around = extended(rows.join(places, KEY), length)
     earliest = around.groupBy("w").agg(F.min("doc").alias("earliest"))
@@ -155,4 +198,4 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", i
         around.join(earliest, "w").filter("earliest < doc").groupBy(*KEY).agg(F.collect_set("start").alias("starts"))
     )
     marked = rows.join(first.withColumn("own", F.lit(True)), KEY, "left").join(repeats, KEY, "left")
-    return _parted(marked.select("doc_id", "text", F.expr("own is null").alias("copy"), "starts"), length)
+    return _parted(marked.select(*ROW, F.expr("own is null").alias("copy"), "starts"), length)
