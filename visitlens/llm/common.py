@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,29 +9,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Only for a local session that names no shared folder, as in tests.
-LOCAL_FOLDER = "/tmp/checkpoints"
+from visitlens.sinks.shared import shared_folder, written
 
 #: Text that one step in a task handles at once; longer texts are handled alone.
 BLOCK_BYTES = 1 << 20
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = LOCAL_FOLDER
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps, and executors that
     take over from lost ones, read files instead of running its plan again."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, shared_folder(df.sparkSession))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
