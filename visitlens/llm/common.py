@@ -49,6 +49,16 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, rows: in
     return placed.withColumn(name, F.col("_start") + F.col("_place")).drop("_part", "_place", "_start")
 
 
+def often(df: DataFrame, key: str, least: int = 2) -> DataFrame:
+    """The values of a long column that at least so many rows have, as ``key``.
+
+    Counted in tasks first. The key is given back from another number, so that a join on it
+    deals both sides out itself: only then can Spark split a value that very many rows have.
+    """
+    counted = df.groupBy(F.col(key).bitwiseXOR(F.lit(1)).alias("_other")).agg(F.count("*").alias("_n"))
+    return counted.filter(F.col("_n") >= least).select(F.col("_other").bitwiseXOR(F.lit(1)).alias(key))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column's texts in a row, and where each text starts and the
     last one ends. A null counts as an empty text."""

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import blocks, text_bytes
+from visitlens.llm.common import blocks, often, text_bytes
 from visitlens.llm.hashing import grams, lowest, windows, words
 
 LENGTH = 13
@@ -190,8 +190,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", i
     rows = packed(base)
     own = rows.join(first.withColumn("own", F.lit(True)), KEY, "left_semi")
     sown = seeds(own, length)
-    shared = seeds_held(own, length).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    places = sown.join(shared, "h").groupBy(*KEY).agg(F.collect_list("at").alias("places"))
+    places = sown.join(often(seeds_held(own, length), "h"), "h").groupBy(*KEY).agg(F.collect_list("at").alias("places"))
     around = extended(rows.join(places, KEY), length)
     earliest = around.groupBy("w").agg(F.min("doc").alias("earliest"))
     repeats = (

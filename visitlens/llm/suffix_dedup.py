@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import blocks, text_bytes
+from visitlens.llm.common import blocks, often, text_bytes
 from visitlens.llm.hashing import lowest, mixed, powers, prefix_hashes, windows
 from visitlens.llm.hashing import INVERSE
 from visitlens.llm.suffix_sort import agreement, deep_shallow
@@ -227,8 +227,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", i
     # Not an equality, which Spark would make a join key that needs the texts dealt out anew.
     own = known.filter("coalesce(doc_id <= least, least is null)").select("text_hash", "text")
     sown = seeds(own, length)
-    shared = sown.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    places = sown.join(shared, "h").groupBy("text_hash").agg(F.collect_set("at").alias("places"))
+    places = sown.join(often(sown, "h"), "h").groupBy("text_hash").agg(F.collect_set("at").alias("places"))
     around = surroundings(own.join(places, "text_hash"), length)
     dealt = around.repartition("h").sortWithinPartitions("h", "left", "around")
     spans = (
