@@ -29,10 +29,13 @@ def texts():
     return ["", "  a  b \n\n c 's don't", "a" * 5000, "é 漢字 ١٢٣  x y", "<|endoftext|>", " \t x", "xyz" * 60, *some]
 
 
-def test_ids_and_round_trip(spark, ranks, other):
+@pytest.mark.parametrize("fold", ["tasks", "spark"])
+def test_ids_and_round_trip(spark, ranks, other, monkeypatch, fold):
+    monkeypatch.setattr(bpe, "HEAP_BYTES", 64)
+    monkeypatch.setattr(bpe, "KNOWN_UNITS", 20)
     given = [(i, text, 1) for i, text in enumerate(texts())] + [(-1, None, 2), (0, "", 3)]
     docs = spark.createDataFrame(given, "doc_id long, text string, decoded int")
-    found = bpe.decode(bpe.encode(docs, ranks, PATTERN, block_chars=500), ranks).collect()
+    found = bpe.decode(bpe.encode(docs, ranks, PATTERN, block_chars=500, fold=fold), ranks).collect()
     assert len(found) == len(given)
     for r in found:
         assert list(r.token_ids) == other.encode_ordinary(r.text or "")
@@ -41,9 +44,14 @@ def test_ids_and_round_trip(spark, ranks, other):
 
 def test_heap_merges_agree_with_the_fold(ranks, other):
     rng = random.Random(5)
+    single = [ranks[bytes([i])] for i in range(256)]
+    pairs = {left << 16 | right: rank for (left, right), rank in bpe.pair_ranks(ranks).items()}
     for _ in range(300):
         word = "".join(rng.choice("theringsaeéüß") for _ in range(rng.randrange(1, 90)))
-        assert bpe.heap_merges(word.encode(), ranks) == other.encode_ordinary(word)
+        wanted = other.encode_ordinary(word)
+        assert bpe.heap_merges(word.encode(), ranks) == wanted
+        if len(wanted) > 1:
+            assert bpe.list_merges(word.encode(), single, pairs) == wanted
 
 
 def test_units_are_cut_as_in_place():
@@ -54,4 +62,5 @@ def test_units_are_cut_as_in_place():
 
 def test_no_rows(spark, ranks):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert bpe.encode(docs, ranks, PATTERN).collect() == []
+    for fold in ("tasks", "spark"):
+        assert bpe.encode(docs, ranks, PATTERN, fold=fold).collect() == []

@@ -1,15 +1,17 @@
 """Byte-level BPE encoding and decoding.
 
-Encoding: each task cuts its texts into blocks of some megabytes and gives out the block's
-distinct words first, as the ids of their single bytes, and its texts after them. Spark
-higher-order functions then fold the ranked merges over every distinct word: in each step the
-leftmost pair of lowest rank in a literal rank map becomes one piece. The next step in the
-same task, which gets the rows in the same order, puts a block's texts together from its
-words. Nothing is shuffled, and memory is bounded by the block.
-
-The literal is an array of small maps picked by a hash of the pair, since a lookup in a Spark
-map looks at every entry. Words of more than ``FOLDED_BYTES`` bytes are merged by the same
-rule with a heap, since a fold copies its pieces in each step.
+Encoding folds the ranked merges over the bytes of every distinct word: in each step the
+leftmost pair of lowest rank in a literal rank map becomes one piece. Texts are put together
+from their words. Nothing is shuffled, and what a task remembers is bounded.
+
+The fold has two forms with equal results. ``fold="spark"`` is one of Spark's higher-order
+functions: each task gives out a block's distinct words before its texts, Spark folds the
+words, and the next step in the same task, which gets the rows in the same order, assembles
+the texts. Its literal is an array of small maps picked by a hash of the pair, since a lookup
+in a Spark map looks at every entry. Spark interprets such functions and copies arrays in each
+step, which takes several times the processor time of the same fold over a list in the task;
+``fold="tasks"``, the default, does that. Words over ``FOLDED_BYTES`` bytes are merged in the
+task in either form, from ``HEAP_BYTES`` on with a heap.
 
 Decoding joins the pieces' bytes, in order.
 
@@ -24,6 +26,7 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 import regex
@@ -33,7 +36,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 BLOCK_CHARS = 12 << 20
+#: Parts of texts that a task remembers at most before it starts anew.
+KNOWN_UNITS = 400_000
 FOLDED_BYTES = 48
+HEAP_BYTES = 200
 BUCKETS = 1 << 15
 LEFT_FACTOR = 7919
 NO_RANK = (1 << 31) - 1
@@ -112,8 +118,27 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def list_merges(word: bytes, single: list[int], pairs: dict[int, int]) -> list[int]:
+    """The fold's steps over a list; ``pairs`` has the rank of two ids under ``left << 16 | right``."""
+    known = pairs.get
+    p = [single[byte] for byte in word]
+    r = [known(a << 16 | b, NO_RANK) for a, b in pairwise(p)]
+    while r:
+        least = min(r)
+        if least == NO_RANK:
+            break
+        at = r.index(least)
+        p[at : at + 2] = [least]
+        del r[at]
+        if at:
+            r[at - 1] = known(p[at - 1] << 16 | least, NO_RANK)
+        if at < len(r):
+            r[at] = known(least << 16 | p[at + 1], NO_RANK)
+    return p
+
+
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same merges with a heap and linked pieces, for words too long for a fold."""
+    """The same merges with a heap and linked pieces, for words too long to look at all pairs in each step."""
     if word in ranks:
         return [ranks[word]]
     pieces: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
@@ -161,12 +186,10 @@ def _words_first(text: str, pattern: str, ranks: dict[bytes, int], block_chars:
     single = [ranks[bytes([i])] for i in range(256)]
     pieces_type = pa.list_(pa.int32())
 
-    def start(word: bytes) -> list[int] | None:
-        """The ids to merge: one if the word is a piece, none if it is too long for a fold."""
+    def start(word: bytes) -> list[int]:
+        """The ids to merge, just one if the word is a piece."""
         whole = ranks.get(word)
-        if whole is not None:
-            return [whole]
-        return [single[byte] for byte in word] if len(word) <= FOLDED_BYTES else None
+        return [single[byte] for byte in word] if whole is None else [whole]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern).findall
@@ -176,7 +199,8 @@ def _words_first(text: str, pattern: str, ranks: dict[bytes, int], block_chars:
             words = set()
             for unit in seen:
                 words.update(cut(unit))
-            listed = [word.encode() for word in words]
+            # A long word that is no piece is left to the assembling step.
+            listed = [w for w in (word.encode() for word in words) if len(w) <= FOLDED_BYTES or w in ranks]
             names = [*schema.names, WORD, BYTES]
             for first in range(0, len(listed), 20_000):
                 part = listed[first : first + 20_000]
@@ -210,25 +234,34 @@ def _words_first(text: str, pattern: str, ranks: dict[bytes, int], block_chars:
 
 
 def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str], finish):
-    """Documents with what ``finish`` makes of their ids, from a stream of words and documents."""
+    """Documents with what ``finish`` makes of their ids, from a stream of words and documents, or
+    of documents alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern).findall
+        single = [ranks[bytes([i])] for i in range(256)]
+        pairs = {left << 16 | right: rank for (left, right), rank in pair_ranks(ranks).items()}
         ids: dict[str, list[int]] = {}
         known: dict[str, tuple] = {}
         fresh = True
 
+        def long_word(word: bytes) -> list[int]:
+            return list_merges(word, single, pairs) if len(word) < HEAP_BYTES else heap_merges(word, ranks)
+
         def of_unit(unit: str) -> tuple:
             found = []
             for word in cut(unit):
                 own = ids.get(word)
-                found.extend(heap_merges(word.encode(), ranks) if own is None else own)
+                if own is None:
+                    own = ids[word] = long_word(word.encode())
+                found.extend(own)
             known[unit] = whole = finish.unit(found)
             return whole
 
         for batch in batches:
-            words = batch.column(batch.schema.get_field_index(WORD))
             n = batch.num_rows
+            at = batch.schema.get_field_index(WORD)
+            words = batch.column(at) if at >= 0 else pa.nulls(n, pa.binary())
             start = 0
             while start < n:
                 kind = words[start].is_valid
@@ -248,6 +281,9 @@ def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str
                     fresh = False
                     rows = []
                     for value in part.column(part.schema.get_field_index(text)).to_pylist():
+                        if len(known) > KNOWN_UNITS:
+                            known = {}
+                            ids = {} if at < 0 else ids
                         pieces = []
                         for unit in units(value or ""):
                             whole = known.get(unit)
@@ -307,12 +343,20 @@ def encode(
     text: str = "text",
     finish: Ids | Digests | None = None,
     block_chars: int = BLOCK_CHARS,
+    fold: str = "tasks",
 ) -> DataFrame:
     """``docs`` with the column ``token_ids``, or the columns that ``finish`` makes of the ids."""
+    if fold not in ("tasks", "spark"):
+        raise ValueError(f"fold is tasks or spark, not {fold!r}")
     finish = finish or Ids()
     made = {field.name for field in finish.fields}
     rest = [field for field in docs.schema if field.name not in made or field.name == text]
     docs = docs.select(*[F.col(f"`{field.name}`") for field in rest])
+    names = [field.name for field in rest]
+    assembled = _assembled(text, pattern, ranks, names, finish)
+    schema = T.StructType([*rest, *finish.fields])
+    if fold == "tasks":
+        return docs.mapInArrow(assembled, schema)
     given = to_arrow_schema(docs.schema)
     between = [T.StructField(WORD, T.BinaryType()), T.StructField(BYTES, T.ArrayType(T.IntegerType()))]
     stream = docs.mapInArrow(
@@ -321,8 +365,7 @@ def encode(
     merged = stream.select(
         *[F.col(f"`{field.name}`") for field in rest], WORD, encoded(F.col(BYTES), rank_map(ranks)).alias(IDS)
     )
-    names = [field.name for field in rest]
-    return merged.mapInArrow(_assembled(text, pattern, ranks, names, finish), T.StructType([*rest, *finish.fields]))
+    return merged.mapInArrow(assembled, schema)
 
 
 def pieces(ranks: dict[bytes, int]) -> list[bytes]:
