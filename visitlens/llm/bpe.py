@@ -25,6 +25,7 @@ import base64
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -44,6 +45,9 @@ BUCKETS = 1 << 15
 LEFT_FACTOR = 7919
 NO_RANK = (1 << 31) - 1
 
+#: White space at an end of a text or beside a space.
+BESIDE_SPACE = re.compile(r"^\s|\s$| \s|\s ")
+
 #: Columns of the stream between the steps: rows of words have them, rows of documents have none.
 WORD, BYTES, IDS = "_bpe_word", "_bpe_bytes", "_bpe_ids"
 
@@ -175,10 +179,10 @@ def units(text: str) -> list[str]:
     The patterns meant let a space begin a word but never end or join two. So a single space
     between two other characters that aren't white space always begins a match.
     """
-    parts = text.split(" ")
-    if any(not part or part[0].isspace() or part[-1].isspace() for part in parts):
+    if not text or BESIDE_SPACE.search(text):
         return [text] if text else []
-    return [parts[0], *[" " + part for part in parts[1:]]]
+    first, *rest = text.split(" ")
+    return [first, *[" " + part for part in rest]]
 
 
 def _words_first(text: str, pattern: str, ranks: dict[bytes, int], block_chars: int, schema: pa.Schema):
