@@ -57,7 +57,7 @@ RULES = [
     Rule("word_length_most", "word_chars", "<=", 1200, "n_words"),
     Rule("symbols", "n_symbols", "<=", 10, "n_words"),
     Rule("stop_words", "n_stop_words", ">=", 2),
-    Rule("repeated_lines", "n_dup_lines", "<=", 30, "n_lines"),
+    Rule("repeated_lines", "n_dup_lines", "<=", 50, "n_lines"),
     Rule("bullet_lines", "n_bullet_lines", "<=", 90, "n_lines"),
     Rule("ellipsis_lines", "n_ellipsis_lines", "<=", 30, "n_lines"),
 ]
