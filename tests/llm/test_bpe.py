@@ -33,6 +33,7 @@ def texts():
 def test_ids_and_round_trip(spark, ranks, other, monkeypatch, fold):
     monkeypatch.setattr(bpe, "HEAP_BYTES", 64)
     monkeypatch.setattr(bpe, "KNOWN_UNITS", 20)
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 30)
     given = [(i, text, 1) for i, text in enumerate(texts())] + [(-1, None, 2), (0, "", 3)]
     docs = spark.createDataFrame(given, "doc_id long, text string, decoded int")
     found = bpe.decode(bpe.encode(docs, ranks, PATTERN, block_chars=500, fold=fold), ranks).collect()
@@ -64,3 +65,13 @@ def test_no_rows(spark, ranks):
     docs = spark.createDataFrame([], "doc_id long, text string")
     for fold in ("tasks", "spark"):
         assert bpe.encode(docs, ranks, PATTERN, fold=fold).collect() == []
+
+
+def test_a_word_that_is_a_piece_is_not_merged(spark):
+    """Ranks in which merges do not lead to a piece."""
+    ranks = {bytes([i]): i for i in range(256)} | {b"bc": 256, b"abc": 257, b"ab": 258, b"abcd": 259}
+    docs = spark.createDataFrame([(1, "abcd abcd x")], "doc_id long, text string")
+    other = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for fold in ("tasks", "spark"):
+        found = bpe.encode(docs, ranks, PATTERN, fold=fold).first()
+        assert list(found.token_ids) == other.encode_ordinary("abcd abcd x")

@@ -37,8 +37,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 BLOCK_CHARS = 12 << 20
-#: Parts of texts that a task remembers at most before it starts anew.
+#: Parts of texts, and words, that a task remembers at most before it starts anew.
 KNOWN_UNITS = 400_000
+KNOWN_WORDS = 300_000
 FOLDED_BYTES = 48
 HEAP_BYTES = 200
 BUCKETS = 1 << 15
@@ -249,7 +250,10 @@ def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str
         known: dict[str, tuple] = {}
         fresh = True
 
-        def long_word(word: bytes) -> list[int]:
+        def merged(word: bytes) -> list[int]:
+            whole = ranks.get(word)
+            if whole is not None:
+                return [whole]
             return list_merges(word, single, pairs) if len(word) < HEAP_BYTES else heap_merges(word, ranks)
 
         def of_unit(unit: str) -> tuple:
@@ -257,7 +261,7 @@ def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str
             for word in cut(unit):
                 own = ids.get(word)
                 if own is None:
-                    own = ids[word] = long_word(word.encode())
+                    own = ids[word] = merged(word.encode())
                 found.extend(own)
             known[unit] = whole = finish.unit(found)
             return whole
@@ -287,7 +291,8 @@ def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str
                     for value in part.column(part.schema.get_field_index(text)).to_pylist():
                         if len(known) > KNOWN_UNITS:
                             known = {}
-                            ids = {} if at < 0 else ids
+                        if at < 0 and len(ids) > KNOWN_WORDS:
+                            ids = {}
                         pieces = []
                         for unit in units(value or ""):
                             whole = known.get(unit)
