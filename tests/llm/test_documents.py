@@ -240,6 +240,19 @@ def test_secret_scans(spark):
     assert len(found) == len(rows)
 
 
+def test_the_dictionary_covers_all_documents(spark):
+    """A word that only documents outside the sample of the forest have, and copies of the table."""
+    rows = [(i, "common words here" if i % 2 else "other words there") for i in range(40)]
+    docs = spark.createDataFrame([*rows, (None, "Seldom common"), (None, "seldom once")], SCHEMA)
+    wanted = {"common", "words", "here", "other", "there", "seldom"}
+    assert secrets.trained(docs, sample=1).dictionary == wanted
+    assert secrets.trained(docs.union(docs), sample=1).dictionary == wanted | {"once"}
+    texts = docs.select("text")
+    for most in (1, 4, 5, 60):
+        assert len(secrets.dictionary_of(texts, most)) <= most
+        assert secrets.dictionary_of(texts.union(texts), most) >= secrets.dictionary_of(texts, most)
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     items = spark.createDataFrame([], "item_id long, text string")

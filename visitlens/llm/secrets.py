@@ -9,7 +9,9 @@ text with a mark in their place.
 Labelled findings come from a bounded sample of documents, ``SAMPLE_DOCS`` of lowest hash;
 ``labelled_by_format`` labels those whose issuer's format or assignment leaves no doubt. The
 format itself is no feature, so the forest also knows tokens of other formats. The
-dictionary is the ``DICTIONARY_WORDS`` words in most documents of that sample.
+dictionary is counted over all documents: the words that make up at least one in
+``DICTIONARY_WORDS`` of all pairs of a document and a word in it. So it has at most that many
+words, and texts of one kind give one dictionary whatever their number.
 
 Null texts have no candidates and stay null; empty texts stay empty. Without labelled
 findings nothing is a secret. Repeated documents are each scanned. Other columns are kept;
@@ -30,10 +32,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from visitlens.llm import forest
+from visitlens.llm.common import stored
 
 MARK = "<SECRET>"
 SAMPLE_DOCS = 20_000
-DICTIONARY_WORDS = 5_000
+DICTIONARY_WORDS = 50_000
 BESIDE = 48
 
 CANDIDATE = re.compile(r"[A-Za-z0-9_+/.@\-]{8,}={0,2}")
@@ -130,10 +133,12 @@ def _sample(docs: DataFrame, id_column: str, text: str, most: int) -> DataFrame:
 
 
 def dictionary_of(texts: DataFrame, most: int = DICTIONARY_WORDS) -> frozenset[str]:
-    """The words of three letters and more in most texts."""
+    """The words of three letters and more whose share of all pairs of a text and a word in it is
+    one in ``most`` or higher, which at most ``most`` words can have; they are in two texts at least."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0)))
-    counted = texts.select(F.explode(words).alias("word")).groupBy("word").count()
-    rows = counted.orderBy(F.desc("count"), "word").limit(most).collect()
+    counted = stored(texts.select(F.explode(words).alias("word")).groupBy("word").count())
+    pairs = counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    rows = counted.filter(F.col("count") * most >= pairs).filter("count > 1").select("word").collect()
     return frozenset(row.word for row in rows)
 
 
@@ -165,9 +170,10 @@ def labelled_by_format(found: DataFrame) -> DataFrame:
 
 
 def trained(docs: DataFrame, text: str = "text", id_column: str = "doc_id", sample: int = SAMPLE_DOCS) -> Scanner:
-    """A scanner from a bounded sample of documents, labelled by format."""
+    """A scanner with the dictionary of all documents, and a forest from a bounded sample of them
+    labelled by format."""
+    dictionary = dictionary_of(docs.select(F.col(text).alias("text")))
     texts = _sample(docs, id_column, text, sample)
-    dictionary = dictionary_of(texts)
     return Scanner(forest.train(labelled_by_format(findings(texts, dictionary))), dictionary)
 
 
