@@ -9,7 +9,7 @@ the columns of ``documents`` they were given. Rows that repeat are near-duplicat
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.llm import bpe, decontaminate, quality, secrets, simhash
@@ -28,14 +28,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates one document, that of the smallest id; one row if it has
-    more. Documents without an id come after all others."""
+    """Of each group of near-duplicates one row, that of the smallest id and then text, also where an
+    id has rows in other groups. Documents without an id come after all others."""
     own = "coalesce(cast(_row.doc_id as bigint), 4611686018427387904L + shiftrightunsigned(xxhash64(text), 2))"
     keyed = _packed(docs).withColumn("_id", F.expr(own))
-    near = simhash.near_duplicates(keyed, shingle=3, bits=3, id_column="_id")
-    first = near.filter("doc_id = component_id").selectExpr("doc_id as _id").distinct()
-    one = F.row_number().over(Window.partitionBy("_id").orderBy("text"))
-    return keyed.join(first, "_id", "left_semi").withColumn("_place", one).filter("_place = 1").select("_row.*")
+    return simhash.firsts(keyed, shingle=3, bits=3, id_column="_id").select("_row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

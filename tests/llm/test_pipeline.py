@@ -74,3 +74,13 @@ def test_run_is_the_stages_in_turn(spark, tables):
     found = corpus_pipeline.run(spark, folder)
     assert found.columns == ["doc_id", "n_tokens", "token_ids", "decoded_sha256"]
     assert found.count() > 60
+
+
+def test_an_id_may_have_rows_in_many_groups(spark):
+    """The copy of an id goes and its other text stays; of an id's near texts one stays."""
+    rng = random.Random(12)
+    x, y, z = (" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(80)) for _ in range(3))
+    rows = [(3, x), (5, x), (5, z), (6, y), (6, y.upper()), (6, y), (7, z), (None, x), (None, z)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "x", 1) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert brute.ordered((r.doc_id, r.text) for r in kept) == brute.ordered([(3, x), (5, z), (6, y.upper())])

@@ -21,15 +21,16 @@ without any id has none. No rows give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitlens.llm.common import stored
 from visitlens.llm.components import components
@@ -59,16 +60,19 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, text: str, id_column: str, shingle: int) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint as a signed long, for every row."""
+def fingerprints(docs: DataFrame, text: str, id_column: str, shingle: int, others: Sequence[str] = ()) -> DataFrame:
+    """doc_id, ``others`` and ``fp``, the fingerprint as a signed long, for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(x, shingle) for x in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([fingerprint(x, shingle) for x in batch.column(0).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array(found.view(np.int64))], names=["doc_id", *others, "fp"]
+            )
 
-    given = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return given.mapInArrow(run, "doc_id long, fp long")
+    given = docs.select(F.col(text).alias("_text"), F.col(id_column).cast("long").alias("doc_id"), *others)
+    kept = T.StructType([*given.schema.fields[1:], T.StructField("fp", T.LongType())])
+    return given.mapInArrow(run, kept)
 
 
 def syndromes(values: np.ndarray) -> np.ndarray:
@@ -217,25 +221,46 @@ def edges(sorted_rows: DataFrame, bits: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = 3, bits: int = 3, text: str = "text", id_column: str = "doc_id"
-) -> DataFrame:
-    """doc_id, ``fp`` and ``component_id``, the smallest doc_id reachable over links, for every row."""
+def rooted(known: DataFrame, bits: int) -> DataFrame:
+    """``fp``, ``least`` (the smallest doc_id of its rows) and ``root``, a fingerprint that names its
+    component, for each fingerprint of ``known`` (doc_id, fp)."""
     if not 0 <= bits <= 7:
         raise ValueError("bits must be from 0 to 7")
-    known = stored(fingerprints(docs, text, id_column, shingle))
     classes = stored(known.groupBy("fp").agg(F.min("doc_id").alias("least")))
     near = anchors(classes.select("fp"), bits)
     dealt = near.repartition("anchor").sortWithinPartitions("anchor")
     roots = components(stored(edges(dealt, bits)))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(ids, "root").select("fp", "component_id")
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = 3, bits: int = 3, text: str = "text", id_column: str = "doc_id"
+) -> DataFrame:
+    """doc_id, ``fp`` and ``component_id``, the smallest doc_id reachable over links, for every row."""
+    known = stored(fingerprints(docs, text, id_column, shingle))
+    classes = rooted(known, bits)
+    ids = classes.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_fp = classes.join(ids, "root").select("fp", "component_id")
     return known.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def firsts(
+    docs: DataFrame, shingle: int = 3, bits: int = 3, text: str = "text", id_column: str = "doc_id"
+) -> DataFrame:
+    """The row of the smallest id, and then text, of each component; one id may be in many components.
+    Ids must not be null."""
+    # A row is known by its id and a hash of its text.
+    own = docs.withColumn("_own", F.xxhash64(F.lit(SEED), F.col(text)))
+    known = stored(fingerprints(own, text, id_column, shingle, ["_own"]))
+    classes = stored(rooted(known, bits))
+    least = classes.groupBy("root").agg(F.min("least").alias("least"))
+    leading = classes.join(least, ["root", "least"]).select("fp", F.col("least").alias("doc_id"), "root")
+    rows = known.join(leading, ["fp", "doc_id"]).select(F.col("doc_id").alias("_id"), "_own", "root").distinct()
+    held = own.withColumn("_id", F.col(id_column).cast("long")).join(rows, ["_id", "_own"])
+    place = F.row_number().over(Window.partitionBy("root").orderBy(text))
+    return held.withColumn("_place", place).filter("_place = 1").select(*docs.columns)
+
+
 def hex_of(fp: str) -> str:
     """SQL for a fingerprint as 16 hexadecimal digits."""
     return f"lpad(lower(hex({fp})), 16, '0')"
