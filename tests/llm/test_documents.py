@@ -47,6 +47,32 @@ def test_suffix_dedup(spark):
     assert brute.ordered(got) == brute.suffix_dedup(rows, 200)
 
 
+@pytest.mark.parametrize("most", [0, 3])
+def test_suffix_dedup_of_crowded_seeds(spark, monkeypatch, most):
+    monkeypatch.setattr(suffix_dedup, "SURROUNDINGS", most)
+    rows = passages(random.Random(6), "abcdefgé ", 700, "")
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), 200)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, brute.sha(r.kept)) for r in found.collect()]
+    assert brute.ordered(got) == brute.suffix_dedup(rows, 200)
+
+
+def test_a_seed_of_many_occurrences_is_merged_before_it_is_dealt(spark, monkeypatch):
+    """No task gets a row for each occurrence of a seed, nor more surroundings than the bound."""
+    rng = random.Random(7)
+    seed = "".join(rng.choice("abcdefgh") for _ in range(32))
+    around = [(1, i, 40, 0, (seed + "x" * 168).encode()) for i in range(4000)]
+    around += [(2, i, 40, 0, (seed + "%0168d" % i).encode()) for i in range(50)]
+    given = spark.createDataFrame(around, "h long, text_hash long, at long, left int, around binary").repartition(4)
+    seen = []
+    judge = suffix_dedup.verdicts
+    monkeypatch.setattr(suffix_dedup, "verdicts", lambda d, n: (seen.append(d.groupBy("h").count().collect()), judge(d, n))[1])
+    monkeypatch.setattr(suffix_dedup, "SURROUNDINGS", 20)
+    found = suffix_dedup.covered(given, 200).collect()
+    assert [tuple(r) for r in seen[0]] == [(1, 1)]
+    assert sorted(r.text_hash for r in found) == list(range(4000))
+    assert {(r.start, r.end) for r in found} == {(40, 240)}
+
+
 def test_deep_shallow_sorting_orders_strings_with_long_prefixes():
     rng = np.random.default_rng(0)
     for _ in range(20):

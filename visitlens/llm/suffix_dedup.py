@@ -3,15 +3,17 @@
 The suffix array is sampled: of every window of ``length`` bytes, the group of ``SEED`` bytes
 with the lowest hash is its seed, so equal windows have seeds at equal places and about one
 byte in eighty begins a seed. Seeds that occur once are dropped. The surroundings of the
-others go to one partition per seed, where deep-shallow sorting orders the suffixes that
+others are merged where they are equal, and go to one partition per seed, where deep-shallow sorting orders the suffixes that
 start at the seed, and the reversed prefixes that end there. From the two orders and the
 lengths that neighbours share, every window around a seed is known to have an equal or not:
 windows that are as many bytes to the left of their seed are equal if the prefixes agree that
 far and the suffixes agree over the rest. All equal windows of an occurrence hold its seed,
 so they cover one span.
 
-Equal texts are one text that is covered as a whole. Equal surroundings of a seed are sorted
-once: a seed's group costs its different surroundings, and 24 bytes for each occurrence.
+Equal texts are one text that is covered as a whole. Equal surroundings of a seed are merged in
+the tasks that read them, so a seed's group costs its different surroundings, ``SURROUNDINGS`` at
+most; a seed with more has its windows counted by Spark in all tasks. What is found for
+surroundings is joined back to their occurrences by seed and hash.
 Texts are read in blocks of a megabyte; a longer one takes some fifty times its size.
 
 Null texts are empty. Texts shorter than ``length`` lose nothing. Rows that repeat are copies
@@ -24,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import blocks, often, text_bytes
+from visitlens.llm.common import blocks, often, stored, text_bytes
 from visitlens.llm.hashing import lowest, mixed, powers, prefix_hashes, windows
 from visitlens.llm.hashing import INVERSE
 from visitlens.llm.suffix_sort import agreement, deep_shallow
@@ -35,6 +38,9 @@ from visitlens.llm.suffix_sort import agreement, deep_shallow
 LENGTH = 200
 SEED = 32
 BATCH_ROWS = 20_000
+#: Different surroundings of a seed that one task sorts.
+SURROUNDINGS = 20_000
+KEYS = ["h", "left", "mark", "around"]
 
 
 def _chosen(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -138,30 +144,51 @@ def reach(group: np.ndarray, left: np.ndarray, around: list[bytes], times: np.nd
     return far, near
 
 
-def covered(dealt: DataFrame, length: int) -> DataFrame:
-    """text_hash, ``start`` and ``end`` of what equal windows cover around each seed; rows must be
-    sorted by seed and surroundings."""
+def _merged(rows: pa.Table) -> pa.Table:
+    """Rows with equal surroundings of a seed as one, with the sum of their times."""
+    return rows.group_by(KEYS).aggregate([("times", "sum")]).rename_columns([*KEYS, "times"])
+
+
+def different(around: DataFrame) -> DataFrame:
+    """The different surroundings of each seed, with ``times``, how many rows have them; a seed's lie in
+    one partition. What a task has of them is merged before they are dealt out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch.append_column("times", pa.array(np.ones(batch.num_rows, np.int64)))])
+            held = new if held is None else pa.concat_tables([held, new])
+            if held.num_rows >= 2 * BATCH_ROWS:
+                held = _merged(held)
+                if held.num_rows >= BATCH_ROWS:
+                    yield from held.to_batches()
+                    held = None
+        if held is not None:
+            yield from _merged(held).to_batches()
+
+    counted = around.select(*KEYS).mapInArrow(run, "h long, left int, mark long, around binary, times long")
+    return counted.repartition("h").groupBy(*KEYS).agg(F.sum("times").alias("times"))
+
+
+def verdicts(dealt: DataFrame, length: int) -> DataFrame:
+    """h, left, mark, and ``far`` and ``near`` of the different surroundings that have equal windows; rows
+    must be sorted by seed."""
 
     def found(part: pa.Table) -> pa.RecordBatch:
         h = part.column("h").to_numpy()
-        around = part.column("around").to_pylist()
         left = part.column("left").to_numpy().astype(np.int64)
-        new = [True] + [
-            h[i] != h[i - 1] or left[i] != left[i - 1] or around[i] != around[i - 1] for i in range(1, len(h))
-        ]
-        which = np.cumsum(new) - 1
-        at = np.flatnonzero(new)
-        group = np.r_[0, np.cumsum(h[at][1:] != h[at][:-1])]
-        far, near = reach(group, left[at], [around[i] for i in at], np.bincount(which), length)
-        some = far[which] >= 0
-        place = part.column("at").to_numpy()[some]
+        group = np.r_[0, np.cumsum(h[1:] != h[:-1])]
+        far, near = reach(group, left, part.column("around").to_pylist(), part.column("times").to_numpy(), length)
+        some = far >= 0
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(part.column("text_hash").to_numpy()[some]),
-                pa.array(place - far[which][some]),
-                pa.array(place - near[which][some] + length),
+                pa.array(h[some]),
+                pa.array(left[some].astype(np.int32)),
+                pa.array(part.column("mark").to_numpy()[some]),
+                pa.array(far[some].astype(np.int32)),
+                pa.array(near[some].astype(np.int32)),
             ],
-            names=["text_hash", "start", "end"],
+            names=["h", "left", "mark", "far", "near"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +210,52 @@ def covered(dealt: DataFrame, length: int) -> DataFrame:
         if size:
             yield found(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, "text_hash long, start long, end long")
+    return dealt.mapInArrow(run, "h long, left int, mark long, far int, near int")
+
+
+def crowded_verdicts(around: DataFrame, length: int) -> DataFrame:
+    """As ``verdicts``, for seeds of any number of surroundings: every window is a row, and Spark counts
+    the equal ones by their hash and place."""
+    widest = length - min(SEED, length)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                lefts, texts = part.column("left").to_pylist(), part.column("around").to_pylist()
+                row, start, hashed = [], [], []
+                for j, (left, text) in enumerate(zip(lefts, texts)):
+                    for s in range(max(0, left + length - len(text)), min(left, widest) + 1):
+                        row.append(j)
+                        start.append(s)
+                        hashed.append(xxhash.xxh64_intdigest(text[left - s : left - s + length]))
+                at = pa.array(row, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[part.column(name).take(at) for name in ("h", "left", "mark", "times")],
+                        pa.array(start, pa.int32()),
+                        pa.array(np.array(hashed, np.uint64).view(np.int64)),
+                    ],
+                    names=["h", "left", "mark", "times", "start", "window"],
+                )
+
+    # Dealt out by all keys, so that a seed is in many tasks.
+    given = around.groupBy(*KEYS).agg(F.count("*").alias("times"))
+    held = given.mapInArrow(run, "h long, left int, mark long, times long, start int, window long")
+    counted = held.groupBy("h", "start", "window").agg(F.sum("times").alias("_n")).filter("_n > 1").drop("_n")
+    shared = held.join(counted, ["h", "start", "window"])
+    return shared.groupBy("h", "left", "mark").agg(F.max("start").alias("far"), F.min("start").alias("near"))
+
+
+def covered(around: DataFrame, length: int) -> DataFrame:
+    """text_hash, ``start`` and ``end`` of what equal windows cover around each seed."""
+    known = stored(around.withColumn("mark", F.xxhash64("around")))
+    many = known.select("h", "left", "mark").distinct().groupBy("h").count().filter(F.col("count") > SURROUNDINGS)
+    crowded = stored(many.select("h"))
+    dealt = different(known.join(crowded, "h", "left_anti")).sortWithinPartitions("h")
+    judged = verdicts(dealt, length).unionByName(crowded_verdicts(known.join(crowded, "h", "left_semi"), length))
+    spans = known.drop("around").join(judged, ["h", "left", "mark"])
+    return spans.selectExpr("text_hash", "at - far as start", f"at - near + {length} as end")
 
 
 def _cut(docs: DataFrame, length: int) -> DataFrame:
@@ -229,9 +301,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", i
     sown = seeds(own, length)
     places = sown.join(often(sown, "h"), "h").groupBy("text_hash").agg(F.collect_set("at").alias("places"))
     around = surroundings(own.join(places, "text_hash"), length)
-    dealt = around.repartition("h").sortWithinPartitions("h", "left", "around")
     spans = (
-        covered(dealt, length)
+        covered(around, length)
         .groupBy("text_hash")
         .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     )
