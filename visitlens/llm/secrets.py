@@ -1,14 +1,14 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Candidates are runs of token characters with a digit, found in whole texts. Each is
-described by its length, character transitions and shares, the part of it that dictionary
+Candidates are runs of token characters that have a digit, an issuer's format or mixed case,
+and whatever is assigned to the name of a secret, found in whole texts. Each is described by its length, character transitions and shares, the part of it that dictionary
 words cover, signs of a path or address, and the words and characters beside it. A forest
 trained from labelled findings decides. ``scanned`` gives the spans that are secrets and the
 text with a mark in their place.
 
 Labelled findings come from a bounded sample of documents, ``SAMPLE_DOCS`` of lowest hash;
-``labelled_by_format`` labels those whose issuer's format or assignment leaves no doubt. The
-format itself is no feature, so the forest also knows tokens of other formats. The
+``labelled_by_format`` labels those whose issuer's format, assignment or harmless form leaves no
+doubt, and no others. The format itself is no feature, so the forest also knows tokens of other formats. The
 dictionary is counted over all documents: the words that make up at least one in
 ``DICTIONARY_WORDS`` of all pairs of a document and a word in it. So it has at most that many
 words, and texts of one kind give one dictionary whatever their number.
@@ -49,6 +49,14 @@ KEY_WORDS = frozenset("password passwd pwd token secret key apikey api auth cred
 TAME_WORDS = frozenset("example sample dummy test version license commit sha checksum mail phone card order id uuid".split())
 FORMATS = re.compile(r"(AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abprs]-[0-9A-Za-z\-]{10,}")
 ASSIGNED = re.compile(r"(?i)(password|passwd|pwd|token|secret|key)[\"']?\s*[:=]\s*[\"']?$")
+VALUE = re.compile(
+    r"(?i)(?:password|passwd|pwd|token|secret|key)[\"']?\s*[:=]\s*"
+    r"(?:\"(?P<a>[^\"\n]+)\"|'(?P<b>[^'\n]+)'|[\"']?(?P<c>[^\s\"',;&<>(){}\[\]]+))"
+)
+MIXED = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]")
+# Java patterns of tokens that are harmless by their form.
+HARMLESS = r"@|\.[A-Za-z]{2,5}(/|$)|[0-9]\.[0-9]|^[0-9+/._\-]+$"
+BARE_LEAST = 16
 
 NAMES = (
     "log_length",
@@ -79,23 +87,49 @@ class Scanner(NamedTuple):
     least: float = 0.5
 
 
-def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of the runs with a digit, without the dots, dashes and slashes at their ends."""
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the runs with a digit, an issuer's format or mixed case, without the dots, dashes and
+    slashes at their ends."""
     for found in CANDIDATE.finditer(text):
         run = found.group()
-        if run.isalpha():
+        if run.islower() and run.isalpha():
             continue
         start = found.start() + len(run) - len(run.lstrip("./-+"))
         end = found.end() - (len(run) - len(run.rstrip("./-+")))
-        if end - start >= 8 and any(c.isdigit() for c in text[start:end]):
+        own = text[start:end]
+        if len(own) >= 8 and (any(c.isdigit() for c in own) or MIXED.search(own) or FORMATS.search(own)):
+            yield start, end
+
+
+def _values(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of what is assigned to the name of a secret; unquoted, without the stops at its end."""
+    for found in VALUE.finditer(text):
+        start, end = found.span(found.lastgroup)
+        if found.lastgroup == "c":
+            end = start + len(text[start:end].rstrip(".:!?"))
+        if end > start:
             yield start, end
 
 
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of runs and assigned values in order; those that overlap are one."""
+    last = None
+    for start, end in sorted([*_runs(text), *_values(text)]):
+        if last is not None and start < last[1]:
+            last = (last[0], max(end, last[1]))
+            continue
+        if last is not None:
+            yield last
+        last = (start, end)
+    if last is not None:
+        yield last
+
+
 def described(text: str, start: int, end: int, dictionary: frozenset[str]) -> list[float]:
     """The features of a candidate, in the order of ``NAMES``."""
     token = text[start:end]
     n = len(token)
-    codes = np.frombuffer(token.encode("ascii"), np.uint8)
+    codes = np.frombuffer(token.encode("ascii", "replace"), np.uint8)
     lower, upper = (codes >= 97) & (codes <= 122), (codes >= 65) & (codes <= 90)
     digit = (codes >= 48) & (codes <= 57)
     kind = lower + 2 * upper + 3 * digit
@@ -108,7 +142,7 @@ def described(text: str, start: int, end: int, dictionary: frozenset[str]) -> li
     around = beside | {w.lower() for w in WORD.findall(after)[:2]}
     return [
         float(np.log2(n)),
-        len(change) / (n - 1),
+        len(change) / max(1, n - 1),
         float(runs.max()) / n,
         float(digit.mean()),
         float(upper.mean()),
@@ -162,11 +196,21 @@ def findings(texts: DataFrame, dictionary: frozenset[str]) -> DataFrame:
 
 
 def labelled_by_format(found: DataFrame) -> DataFrame:
-    """Findings with ``label``: 1 if the whole token has an issuer's format, or is assigned to a
-    name of a secret and not a word; else 0."""
-    issued = F.col("token").rlike(f"^({FORMATS.pattern})$")
-    named = F.col("before").rlike(ASSIGNED.pattern) & F.col("token").rlike("[0-9]") & (F.length("token") >= 12)
-    return found.withColumn("label", F.when(issued | named, 1).otherwise(0))
+    """Findings with ``label``: 1 if the whole token has an issuer's format, or is assigned to a name of
+    a secret and not of dictionary words; 0 if it is not assigned, has no word of a secret beside it
+    and is harmless by its form, of dictionary words, beside a harmless word, or short, or if it
+    is an unquoted dictionary word after a colon and a space, as in prose. Others have none."""
+    feature = {name: F.col("features")[i] for i, name in enumerate(NAMES)}
+    token = F.col("token")
+    issued = token.rlike(f"^({FORMATS.pattern})$")
+    named = F.col("before").rlike(ASSIGNED.pattern)
+    letters = F.length(F.regexp_replace(token, "[^A-Za-z]|(?<![A-Za-z])[A-Za-z]{1,2}(?![A-Za-z])", ""))
+    wordy = ~token.rlike("[0-9]") & (F.round(feature["dictionary"] * F.length("token")) >= letters)
+    form = token.rlike(HARMLESS) | wordy | (feature["tame_beside"] > 0) | (F.length("token") < BARE_LEAST)
+    harmless = ~named & (feature["key_beside"] == 0) & form
+    prose = named & wordy & F.col("before").rlike(":\\s+$")
+    label = F.when(issued | (named & ~wordy), 1).when(harmless | prose, 0)
+    return found.withColumn("label", label)
 
 
 def trained(docs: DataFrame, text: str = "text", id_column: str = "doc_id", sample: int = SAMPLE_DOCS) -> Scanner:
@@ -174,7 +218,8 @@ def trained(docs: DataFrame, text: str = "text", id_column: str = "doc_id", samp
     labelled by format."""
     dictionary = dictionary_of(docs.select(F.col(text).alias("text")))
     texts = _sample(docs, id_column, text, sample)
-    return Scanner(forest.train(labelled_by_format(findings(texts, dictionary))), dictionary)
+    labelled = labelled_by_format(findings(texts, dictionary)).filter("label is not null")
+    return Scanner(forest.train(labelled), dictionary)
 
 
 def scanned(docs: DataFrame, scanner: Scanner, text: str = "text") -> DataFrame:
