@@ -179,6 +179,14 @@ def test_quality_measures(spark):
     assert not quality.judged(docs).filter("kept and base_failed").count()
 
 
+def test_a_long_clean_document_passes(spark):
+    rng = random.Random(13)
+    words = [rng.choice(["the", *["w%d" % rng.randrange(10**6) for _ in range(3)]]) for _ in range(120_000)]
+    docs = spark.createDataFrame([(1, " ".join(words))], SCHEMA)
+    row = quality.judged(docs).first()
+    assert row.n_words == 120_000 and row.kept
+
+
 def test_sharding(spark):
     rng = random.Random(7)
     texts = ["hot"] * 300 + ["w%d" % rng.randrange(60) for _ in range(200)] + [str(i) for i in range(397)] + [None, ""]

@@ -52,7 +52,6 @@ BASE_RULES = [
     Rule("repeated_words", "n_repeat_words", "<=", 50, "n_words"),
 ]
 RULES = [
-    Rule("words_most", "n_words", "<=", 100_000),
     Rule("word_length_least", "word_chars", ">=", 250, "n_words"),
     Rule("word_length_most", "word_chars", "<=", 1200, "n_words"),
     Rule("symbols", "n_symbols", "<=", 10, "n_words"),
