@@ -179,6 +179,16 @@ def test_quality_measures(spark):
     assert not quality.judged(docs).filter("kept and base_failed").count()
 
 
+def test_repeated_words_are_exact_where_hashes_collide(spark, monkeypatch):
+    """Windows that alternate, all with one hash."""
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *columns: F.lit(0).cast("long"))
+    rng = random.Random(14)
+    rows = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randrange(60)))) for i in range(40)]
+    rows.append((99, "a b c d " * 3))
+    got = quality.judged(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "n_repeat_words").collect()
+    assert {r.doc_id: r.n_repeat_words for r in got} == {i: brute.measures(text)[4] for i, text in rows}
+
+
 def test_a_long_clean_document_passes(spark):
     rng = random.Random(13)
     words = [rng.choice(["the", *["w%d" % rng.randrange(10**6) for _ in range(3)]]) for _ in range(120_000)]

@@ -31,9 +31,6 @@ STOP_WORDS = (
     + ["el", "los", "las", "y", "por", "con", "no", "una", "su", "se", "del", "al", "lo", "como", "más"]
 )
 
-#: Bits of a packed number that hold a window's place in its text.
-PLACE_BITS = 24
-
 
 class Rule(NamedTuple):
     """``part`` * 100 must be at least or at most ``percent`` of ``whole``; without ``whole``
@@ -83,29 +80,28 @@ def _count(values: Column) -> Column:
 def _repeat_words(words: Column) -> Column:
     """Words inside a 3-word window that the text holds twice or more.
 
-    Windows become numbers, 40 bits of hash above the place; sorted, equal windows are
-    neighbours. Neighbours with equal hashes count only if their words agree.
+    Windows become structs of their hash, their words and their place; sorted, equal windows are
+    neighbours, also where others have the same hash.
     """
-    place = (1 << PLACE_BITS) - 1
 
-    def number(i: Column) -> Column:
-        hashed = F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
-        return F.shiftleft(F.shiftright(hashed, PLACE_BITS), PLACE_BITS).bitwiseOR(i.cast("long"))
+    def window(i: Column) -> Column:
+        own = [F.get(words, i + k) for k in range(3)]
+        named = [word.alias(f"word{k}") for k, word in enumerate(own)]
+        return F.struct(F.xxhash64(*own).alias("hash"), *named, i.alias("place"))
 
     def same(x: Column, y: Column) -> Column:
-        i, j = x.bitwiseAND(F.lit(place)).cast("int"), y.bitwiseAND(F.lit(place)).cast("int")
-        agree = F.get(words, i) == F.get(words, j)
-        for k in (1, 2):
-            agree = agree & (F.get(words, i + k) == F.get(words, j + k))
-        return (F.shiftright(x, PLACE_BITS) == F.shiftright(y, PLACE_BITS)) & agree
+        agree = x["hash"] == y["hash"]
+        for k in range(3):
+            agree = agree & (x[f"word{k}"] == y[f"word{k}"])
+        return agree
 
-    def starts(numbers: Column) -> Column:
+    def starts(found: Column) -> Column:
         twice = F.filter(
-            numbers,
-            lambda x, i: F.coalesce(same(x, F.get(numbers, i + 1)), F.lit(False))
-            | F.coalesce(same(x, F.get(numbers, i - 1)), F.lit(False)),
+            found,
+            lambda x, i: F.coalesce(same(x, F.get(found, i + 1)), F.lit(False))
+            | F.coalesce(same(x, F.get(found, i - 1)), F.lit(False)),
         )
-        return F.array_sort(F.transform(twice, lambda x: x.bitwiseAND(F.lit(place))))
+        return F.array_sort(F.transform(twice, lambda x: x["place"].cast("long")))
 
     def covered(at: Column) -> Column:
         steps = F.transform(at, lambda p, i: F.least(F.lit(3).cast("long"), F.get(at, i + 1) - p))
@@ -114,7 +110,7 @@ def _repeat_words(words: Column) -> Column:
     windows = F.when(F.size(words) >= 4, F.sequence(F.lit(0), F.size(words) - 3)).otherwise(
         F.array().cast("array<int>")
     )
-    return let(F.sort_array(F.transform(windows, number)), lambda n: let(starts(n), covered))
+    return let(F.sort_array(F.transform(windows, window)), lambda n: let(starts(n), covered))
 
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
