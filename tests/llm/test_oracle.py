@@ -15,7 +15,7 @@ def rows(found):
 @pytest.mark.parametrize("name", sorted(all_sql()))
 def test_matches_sql(spark, name):
     sf_dir = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-    types, wanted = expected(all_sql()[name], sf_dir, ["documents", "benchmark", "conversations"])
+    types, wanted = expected(all_sql()[name], sf_dir, ["documents", "benchmark", "conversations", "embeddings"])
     found = all_queries()[name](spark, sf_dir)
     assert dict(found.dtypes) == types
     assert rows(found.collect()) == wanted

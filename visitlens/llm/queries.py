@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import bpe, chat, decontaminate, quality, secrets, sharding, simhash, sql, substring_dedup, suffix_dedup, toxicity
+from visitlens.llm import bpe, chat, decontaminate, hard_negatives, quality, secrets, sharding, simhash, sql
+from visitlens.llm import substring_dedup, suffix_dedup, toxicity
 from visitlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +114,11 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = "if(vec_id % 7 = 0, (label + 1) % 10, label) as label"
+    return hard_negatives.mined(spark.read.parquet(f"{sf_dir}/embeddings.parquet").selectExpr("vec_id", "embedding", moved))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
@@ -125,6 +131,7 @@ def all_queries() -> dict[str, Query]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_secret_scans": op10_secret_scans,
+        "op11_hard_negatives": op11_hard_negatives,
     }
 
 

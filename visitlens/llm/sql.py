@@ -120,10 +120,35 @@ FROM parts LEFT JOIN kept USING (r)
 """
 
 
+OP11 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, cast(vec_id AS BIGINT) AS id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.r, a.id AS anchor_id, b.id AS other, a.label = b.label AS same, cast(coalesce(list_sum(
+    list_transform(list_zip(a.c, b.c), lambda z: coalesce(z[1] * z[2], 0))), 0) AS BIGINT) AS score
+  FROM v a, v b WHERE a.id % 50 = 0 AND (a.label <> b.label OR b.id IS DISTINCT FROM a.id)),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, other NULLS LAST) AS place
+  FROM scores WHERE same QUALIFY place <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.r, p.place ORDER BY n.score DESC, n.other NULLS LAST) AS rank
+  FROM positives p JOIN scores n ON n.r = p.r AND NOT n.same
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, cast(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 3
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op3_chat_formatting": OP3,
         "op4_decontamination": OP4,
         "op7_quality_rules": OP7,
         "op8_substring_dedup": OP8,
+        "op11_hard_negatives": OP11,
     }
