@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import bpe, chat, decontaminate, hard_negatives, quality, secrets, sharding, simhash, sql
+from visitlens.llm import bpe, chat, decontaminate, hard_negatives, line_dedup, quality, secrets, sharding, simhash, sql
 from visitlens.llm import substring_dedup, suffix_dedup, toxicity
 from visitlens.llm.common import documents
 
@@ -119,6 +119,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(spark.read.parquet(f"{sf_dir}/embeddings.parquet").selectExpr("vec_id", "embedding", moved))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.deduped(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
@@ -132,6 +137,7 @@ def all_queries() -> dict[str, Query]:
         "op9_byte_bpe": op9_byte_bpe,
         "op10_secret_scans": op10_secret_scans,
         "op11_hard_negatives": op11_hard_negatives,
+        "op12_line_dedup": op12_line_dedup,
     }
 
 

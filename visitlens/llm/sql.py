@@ -144,6 +144,23 @@ FROM negatives WHERE rank <= 3
 """
 
 
+OP12 = rf"""
+WITH {_ROWS},
+lines AS (
+  SELECT r, coalesce(doc_id, 9223372036854775807) AS doc, unnest(l) AS line, unnest(range(len(l))) AS place
+  FROM (SELECT r, doc_id, string_split(text, chr(10)) AS l FROM d)),
+keys AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+judged AS (SELECT *, length(key) >= 10 AND doc > min(doc) OVER (PARTITION BY key) AS gone FROM keys),
+kept AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+    string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone) AS left_lines
+  FROM judged GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(left_lines, '')) AS kept_sha256 FROM d JOIN kept USING (r)
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op3_chat_formatting": OP3,
@@ -151,4 +168,5 @@ def all_sql() -> dict[str, str]:
         "op7_quality_rules": OP7,
         "op8_substring_dedup": OP8,
         "op11_hard_negatives": OP11,
+        "op12_line_dedup": OP12,
     }
