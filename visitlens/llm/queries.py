@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import bpe, chat, decontaminate, hard_negatives, line_dedup, quality, secrets, sharding, simhash, sql
-from visitlens.llm import substring_dedup, suffix_dedup, toxicity
+from visitlens.llm import bpe, chat, decontaminate, hard_negatives, line_dedup, periodic_runs, quality
+from visitlens.llm import secrets, sharding, simhash, sql, substring_dedup, suffix_dedup, toxicity
 from visitlens.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,34 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and ``text``, in which a tenth of the documents repeat a stretch of their words, as the contract says."""
+    words = r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+    number = "crc32(cast(doc_id as string))"
+    counted = docs.selectExpr("doc_id", "text", f"case when {number} % 10 = 0 then {words} end as w", f"{number} div 10 as g")
+    placed = counted.withColumn("n", F.size("w")).withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+    period = placed.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = "transform(sequence(0, n - 1), i -> w[cast(if(i < a, i, a + (i - a) % p) as int)])"
+    return period.selectExpr("doc_id", f"if(n > 0, array_join({repeated}, ' '), text) as text")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.found(with_planted_runs(documents(spark, sf_dir)))
+    # The longest run, of equal ones the first.
+    best = F.expr("array_min(transform(runs, r -> struct(-r.length as less, r.start as start, r.period as period)))")
+    listed = "transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n'))"
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * -best.less div best.period").alias("exponent_milli"),
+        F.sha2(F.expr(f"array_join({listed}, '')"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
@@ -138,6 +166,7 @@ def all_queries() -> dict[str, Query]:
         "op10_secret_scans": op10_secret_scans,
         "op11_hard_negatives": op11_hard_negatives,
         "op12_line_dedup": op12_line_dedup,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
