@@ -40,6 +40,43 @@ def test_substring_dedup(spark):
     assert brute.ordered(got) == brute.substring_dedup(rows, 13)
 
 
+@pytest.mark.parametrize("names", [["0L"], ["doc % 3", "pmod(xxhash64(text_hash), 40)"]])
+def test_substring_dedup_where_hashes_of_documents_collide(spark, monkeypatch, names):
+    """All documents, those without an id and those of one id share the first numbers they would be named by."""
+    real = substring_dedup._name
+    monkeypatch.setattr(substring_dedup, "_name", lambda salt: names[salt] if salt < len(names) else real(salt))
+    rng = random.Random(21)
+    rows = passages(rng, "abcdefg", 60, " ")
+    # Two texts of unlike lengths without an id, and two of one id, beside an earlier document with both passages.
+    whole = [" ".join(rng.choice("hijklmn") for _ in range(n)) for n in (16, 160)]
+    rows += [(0, " q ".join(whole)), *((i, text + " end") for i in (None, 77) for text in whole)]
+    found = substring_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), 13)
+    got = [(r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept)) for r in found.collect()]
+    assert brute.ordered(got) == brute.substring_dedup(rows, 13)
+
+
+def test_names_of_documents_are_their_own(spark, monkeypatch):
+    base = spark.createDataFrame([(i % 50, b"%d" % (i % 90)) for i in range(900)], "doc long, text_hash binary")
+    real = substring_dedup._name
+    monkeypatch.setattr(substring_dedup, "_name", lambda salt: "doc" if salt == 0 else real(salt))
+    found = substring_dedup.named(base)
+    counts = found.selectExpr("count(distinct name)", "count(distinct doc, text_hash)", "count(distinct doc, text_hash, name)").first()
+    assert counts[0] == counts[1] == counts[2] == 450
+    monkeypatch.setattr(substring_dedup, "SHARED_NAMES", 10)
+    with pytest.raises(ValueError, match="share a hash"):
+        substring_dedup.named(base)
+
+
+def test_substring_dedup_of_long_texts_in_small_parts(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "UNPACKED_BYTES", 1 << 12)
+    rng = random.Random(22)
+    long = " ".join("w%d" % rng.randrange(400) for _ in range(300_000))
+    rows = [(1, long), (2, "x " + long[50_000:900_000]), (3, "y"), (4, " ".join(long.split()[-20:])), (5, None)]
+    found = substring_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), 13)
+    got = [(r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept)) for r in found.collect()]
+    assert brute.ordered(got) == brute.substring_dedup(rows, 13)
+
+
 def test_suffix_dedup(spark):
     rows = passages(random.Random(2), "abcdefgé ", 700, "")
     found = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), 200)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 #: An odd factor and its inverse modulo 2**64: powers of it weigh the bytes of a string.
 FACTOR = 0x9E3779B97F4A7C15
@@ -47,6 +48,23 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+#: Bytes whose running sums are held at once.
+_PIECE = 1 << 22
+
+
+def _word_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of each word, for words of some megabytes at a time; a longer one alone."""
+    found = np.empty(len(first), np.uint64)
+    start = 0
+    while start < len(first):
+        stop = max(start + 1, int(np.searchsorted(end, first[start] + _PIECE, side="right")))
+        low = first[start]
+        sums = prefix_hashes(data[low : end[stop - 1]])
+        found[start:stop] = span_hashes(sums, first[start:stop] - low, end[start:stop] - low)
+        start = stop
+    return mixed(found ^ ((end - first).astype(np.uint64) << np.uint64(40)))
+
+
 def words(data: np.ndarray, starts: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words of texts that lie in a row in ``data``: first byte, end, hash, and for each
     text the number of words before it (and of all at the end)."""
@@ -58,8 +76,27 @@ def words(data: np.ndarray, starts: np.ndarray, apart: np.ndarray = _SPACE) -> t
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | head[1:]
     first, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    hashes = mixed(span_hashes(prefix_hashes(data), first, end) ^ ((end - first).astype(np.uint64) << np.uint64(40)))
-    return first, end, hashes, np.searchsorted(first, starts)
+    return first, end, _word_hashes(data, first, end), np.searchsorted(first, starts)
+
+
+def joined_words(data: np.ndarray, first: np.ndarray, end: np.ndarray, kept: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The kept words of each text, joined by one space, in UTF-8."""
+    first, end = first[kept], end[kept]
+    size = end - first
+    before = np.r_[0, np.cumsum(kept)][counts]
+    # Every word and a space after it; the last space of a text is left out.
+    after = np.cumsum(size + 1)
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[first] = 1
+    inside[end] -= 1
+    bytes_at = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8))
+    last = np.zeros(len(first) + 1, bool)
+    last[before[1:][np.diff(before) > 0] - 1] = True
+    to = after - size - 1 - np.r_[0, np.cumsum(last[:-1])][:-1]
+    texts = np.r_[0, after][before] - np.r_[0, np.cumsum(np.diff(before) > 0)]
+    out = np.full(int(texts[-1]), 0x20, np.uint8)
+    out[bytes_at + np.repeat(to - first, size)] = data[bytes_at]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts) - 1, [None, pa.py_buffer(texts), pa.py_buffer(out)])
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -20,7 +20,8 @@ to the right and to the left. Had it a smaller period, the block would have occu
 is its smallest.
 
 Blocks whose first word, or whose half, does not occur again near enough need no query. A text is handled by
-one task, in a block of a megabyte or alone.
+one task, in a block of a megabyte or alone; it takes up to fifty times its size, since arrays are kept for
+each level and each bit of a place (a text of 19 MB took 0.8 GB).
 
 Null texts have no words, and empty texts neither: no runs. Repeated rows are each judged. Other columns
 are kept; those named like a result are replaced. No rows give no rows.
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from visitlens.llm.common import blocks
-from visitlens.llm.hashing import words
+from visitlens.llm.hashing import joined_words, words
 
 LEAST_LENGTH = 6
 LEAST_EXPONENT = 4
@@ -206,15 +207,6 @@ def _numbered(data: np.ndarray, first: np.ndarray, end: np.ndarray, counts: np.n
     return numbers, begin
 
 
-def _collapsed(data: np.ndarray, first: np.ndarray, end: np.ndarray, runs: np.ndarray) -> bytes:
-    """Words of a text joined by one space, without those after the first period of a run."""
-    change = np.zeros(len(first) + 1, np.int64)
-    np.add.at(change, runs[:, 0] + runs[:, 2], 1)
-    np.add.at(change, runs[:, 0] + runs[:, 1], -1)
-    kept = np.flatnonzero(np.cumsum(change)[:-1] == 0)
-    return b" ".join(data[a:b].tobytes() for a, b in zip(first[kept], end[kept]))
-
-
 def found(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``runs`` (start, length, period) by start and period, and ``collapsed``, the words joined
     by one space in UTF-8, without those after the first period of each run."""
@@ -231,24 +223,20 @@ def found(docs: DataFrame, text: str = "text") -> DataFrame:
                 numbers, begin = _numbered(data, first, end, counts)
                 start, length, period = runs_of(numbers)
                 of = np.searchsorted(begin, start, side="right") - 1
-                own = np.searchsorted(of, np.arange(stop - row + 1))
-                runs, collapsed = [], []
-                for i in range(stop - row):
-                    part = slice(own[i], own[i + 1])
-                    if part.start == part.stop:
-                        runs.append([])
-                        collapsed.append(b" ".join(data[starts[i] : starts[i + 1]].tobytes().split()))
-                        continue
-                    every = np.stack([start[part] - begin[i], length[part], period[part]], axis=1)
-                    runs.append([dict(zip(RUN.names, x)) for x in every.tolist()])
-                    text_words = slice(counts[i], counts[i + 1])
-                    collapsed.append(_collapsed(data, first[text_words], end[text_words], every))
+                # Words after the first period of a run go.
+                change = np.zeros(len(first) + 1, np.int64)
+                np.add.at(change, start - of + period, 1)
+                np.add.at(change, start - of + length, -1)
+                collapsed = joined_words(data, first, end, np.cumsum(change)[:-1] == 0, counts)
+                runs: list[list[dict]] = [[] for _ in range(stop - row)]
+                for i, *run_of in zip(of.tolist(), (start - begin[of]).tolist(), length.tolist(), period.tolist()):
+                    runs[i].append(dict(zip(RUN.names, run_of)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *batch.slice(row, stop - row).columns,
                         pa.array(np.diff(counts).astype(np.int64)),
                         pa.array(runs, _ARROW_RUNS),
-                        pa.array(collapsed, pa.binary()),
+                        collapsed.cast(pa.binary()),
                     ],
                     names=[*columns, *(field.name for field in FIELDS)],
                 )

@@ -8,11 +8,13 @@ these, matches are extended both ways: every window that chose the seed reaches
 left and right as a repeat of ``length`` words can, and windows of equal words meet under one
 hash of 64 bits. Windows that an earlier document has are merged into maximal repeats, which go.
 
-A seed or window brings one row per task to its aggregation, and joins may be split by Spark,
-so a passage that a third of all documents hold lands in no single task, and no pairs of
-documents are made. Of documents with equal texts only the first takes part; the others are
-repeats as a whole. Texts are read in blocks of a megabyte; a longer one takes some fifty
-times its size in memory.
+A seed or window brings one row per task to its aggregation, and joins get both sides as plain exchanges,
+so Spark splits a seed or a window that very many documents have over tasks; no pairs of documents are made.
+Of documents with equal texts, by MD5, only the first takes part; the others are repeats as a whole.
+A document is named by 64 bits. Names that different documents would share are found by MD5 and
+replaced, so that every document has a name of its own.
+
+Texts are read in blocks of a megabyte; a longer one takes some thirty times its size in memory.
 
 Null texts have no words. A null id comes after all others. Rows that repeat (equal id and
 text) are one document and each get its result. No rows give no rows.
@@ -20,7 +22,6 @@ text) are one document and each get its result. No rows give no rows.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,17 +30,19 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import blocks, often, text_bytes
-from visitlens.llm.hashing import grams, lowest, windows, words
+from visitlens.llm.common import blocks, often
+from visitlens.llm.hashing import grams, joined_words, lowest, windows, words
 
 LENGTH = 13
 SEED = 4
+#: Rows and bytes of texts that are unpacked at once, or one text.
 UNPACKED_ROWS = 1024
+UNPACKED_BYTES = 4 << 20
+#: Names that are listed in a plan as shared. Of 5e10 documents some 70 pairs share one.
+SHARED_NAMES = 10_000
 
 #: Every step takes all columns of a row, so that the exchanges of the texts are one.
-ROW = ["doc_id", "doc", "part", "packed"]
-#: What names a document: its id and, since ids may repeat, half of its text's hash.
-KEY = ["doc", "part"]
+ROW = ["doc_id", "doc", "name", "packed"]
 
 
 def _chosen(hashes: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -60,18 +63,24 @@ def packed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.binary())], names=ROW)
 
     # Keys that may be null would get a filter in some joins and so an exchange of their own.
-    return docs.mapInArrow(run, "doc_id long, doc long not null, part int not null, packed binary")
+    return docs.mapInArrow(run, "doc_id long, doc long not null, name long not null, packed binary")
 
 
 def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of ``ROW`` and more with texts again, in parts of bounded size."""
+    """Batches of ``ROW`` and more with texts again, in parts of bounded rows and bytes."""
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        for start in range(0, batch.num_rows, UNPACKED_ROWS):
-            part = batch.slice(start, UNPACKED_ROWS)
-            texts = pa.array([unpack(x) for x in part.column(3).to_pylist()], pa.binary()).cast(pa.string())
+        column = batch.column(3)
+        ends = np.cumsum([zstandard.frame_content_size(x.as_buffer()) for x in column])
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, before + UNPACKED_BYTES, side="right"))
+            part = batch.slice(start, min(max(stop, start + 1), start + UNPACKED_ROWS) - start)
+            texts = pa.array([unpack(x) for x in part.column(3).to_pylist()], pa.large_binary()).cast(pa.large_string())
             names = [*ROW[:3], "text", *batch.schema.names[4:]]
             yield pa.RecordBatch.from_arrays([*part.columns[:3], texts, *part.columns[4:]], names=names)
+            start += part.num_rows
 
 
 def seeds_held(docs: DataFrame, length: int) -> DataFrame:
@@ -92,31 +101,24 @@ def seeds_held(docs: DataFrame, length: int) -> DataFrame:
 
 
 def seeds(docs: DataFrame, length: int) -> DataFrame:
-    """``h``, the document's key and ``at``, the place of each seed in it."""
+    """``h``, the document's name and ``at``, the place of each seed in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in unpacked(batches):
-            doc, name = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            name = batch.column(2).to_numpy()
             for start, _, data, starts in blocks(batch, "text"):
                 _, _, hashes, counts = words(data, starts)
                 _, text, place, values = _chosen(hashes, counts, length)
                 new = np.r_[True, place[1:] != place[:-1]] if len(place) else np.zeros(0, bool)
                 place, text = place[new], text[new]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(values[place].view(np.int64)),
-                        pa.array(doc[start + text]),
-                        pa.array(name[start + text]),
-                        pa.array((place - counts[text]).astype(np.int32)),
-                    ],
-                    names=["h", "doc", "part", "at"],
-                )
+                found = (values[place].view(np.int64), name[start + text], (place - counts[text]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["h", "name", "at"])
 
-    return docs.select(ROW).mapInArrow(run, "h long, doc long, part int, at int")
+    return docs.select(ROW).mapInArrow(run, "h long, name long, at int")
 
 
 def extended(found: DataFrame, length: int) -> DataFrame:
-    """``w``, the document's key and ``start`` of each window around the seeds at ``places``."""
+    """``w``, the document's order and name, and ``start`` of each window around the seeds at ``places``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in unpacked(batches):
@@ -130,19 +132,15 @@ def extended(found: DataFrame, length: int) -> DataFrame:
                     shared[counts[i - first] + places[i].values.to_numpy()] = True
                 kept = shared[place]
                 at, text = at[kept], text[kept]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(grams(hashes, length)[at].view(np.int64)),
-                        pa.array(doc[first + text]),
-                        pa.array(name[first + text]),
-                        pa.array((at - counts[text]).astype(np.int32)),
-                    ],
-                    names=["w", "doc", "part", "start"],
+                found = (
+                    grams(hashes, length)[at].view(np.int64),
+                    doc[first + text],
+                    name[first + text],
+                    (at - counts[text]).astype(np.int32),
                 )
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["w", "doc", "name", "start"])
 
-    return found.select(*ROW, "places").mapInArrow(
-        run, "w long, doc long, part int, start int"
-    )
+    return found.select(*ROW, "places").mapInArrow(run, "w long, doc long, name long, start int")
 
 
 def _parted(docs: DataFrame, length: int) -> DataFrame:
@@ -150,51 +148,86 @@ def _parted(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in unpacked(batches):
-            ids, copies, listed = batch.column(0), batch.column(4).to_pylist(), batch.column(5)
-            data, starts = text_bytes(batch.column(3))
-            out = ([], [], [])
-            for i in range(batch.num_rows):
-                found = data[starts[i] : starts[i + 1]].tobytes().split()
-                gone = np.zeros(len(found) + 1, np.int64)
-                if copies[i] and len(found) >= length:
-                    gone[0] = 1
-                elif listed[i].is_valid:
-                    at = listed[i].values.to_numpy()
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + length, -1)
-                removed = np.cumsum(gone)[:-1] > 0
-                kept = found if not removed.any() else [w for w, r in zip(found, removed) if not r]
-                out[0].append(len(found))
-                out[1].append(int(removed.sum()))
-                out[2].append(b" ".join(kept))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.large_binary()).cast(pa.binary())],
-                names=["doc_id", "n_words", "n_removed", "kept"],
-            )
+            copies, listed = batch.column(4).to_pylist(), batch.column(5)
+            for row, stop, data, text_starts in blocks(batch, "text"):
+                first, end, _, counts = words(data, text_starts)
+                change = np.zeros(len(first) + 1, np.int64)
+                for i in range(row, stop):
+                    low, high = counts[i - row], counts[i - row + 1]
+                    if copies[i] and high - low >= length:
+                        change[low] += 1
+                        change[high] -= 1
+                    elif listed[i].is_valid:
+                        at = low + listed[i].values.to_numpy()
+                        np.add.at(change, at, 1)
+                        np.add.at(change, at + length, -1)
+                gone = np.cumsum(change)[:-1] > 0
+                removed = np.diff(np.r_[0, np.cumsum(gone)][counts])
+                kept = joined_words(data, first, end, ~gone, counts).cast(pa.binary())
+                found = (pa.array(np.diff(counts).astype(np.int64)), pa.array(removed.astype(np.int64)), kept)
+                ids = batch.column(0).slice(row, stop - row)
+                yield pa.RecordBatch.from_arrays([ids, *found], names=["doc_id", "n_words", "n_removed", "kept"])
 
     return docs.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary")
 
 
+def _name(salt: int) -> str:
+    return f"xxhash64(doc, text_hash, {salt})"
+
+
+def named(base: DataFrame) -> DataFrame:
+    """``base`` (doc, text_hash) with ``name``, one number for each pair of them and no other."""
+    pairs = base.select("doc", "text_hash").distinct()
+    shared = F.expr(_name(0)).alias("name")
+    twice = pairs.groupBy(shared).agg(F.count("*").alias("n")).filter("n > 1").select("name")
+    listed = [row.name for row in twice.limit(SHARED_NAMES + 1).collect()]
+    if len(listed) > SHARED_NAMES:
+        raise ValueError("more documents share a hash than 64 bits explain")
+    name = F.expr(_name(0))
+    for salt in range(1, 9):
+        if not listed:
+            break
+        # Only the few that share a name get another one.
+        name = F.when(name.isin(listed), F.expr(_name(salt))).otherwise(name)
+        twice = pairs.groupBy(name.alias("name")).agg(F.count("*").alias("n")).filter("n > 1").select("name")
+        listed = [row.name for row in twice.collect()]
+    if listed:
+        raise ValueError("documents share hashes in all salts")
+    return base.withColumn("name", name)
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """doc_id, ``n_words``, ``n_removed`` and ``kept``, the kept words joined by one space in UTF-8."""
     last = (1 << 63) - 1
     whole = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"),
-        F.coalesce(F.col(id_column).cast("long"), F.lit(last)).alias("doc"),
-        F.shiftright(F.xxhash64(whole), 32).cast("int").alias("part"),
-        whole.alias("text"),
+    base = named(
+        docs.select(
+            F.col(id_column).cast("long").alias("doc_id"),
+            F.coalesce(F.col(id_column).cast("long"), F.lit(last)).alias("doc"),
+            F.unhex(F.md5(whole)).alias("text_hash"),
+            whole.alias("text"),
+        )
     )
-    # The texts are shuffled once, by key; Spark reuses that exchange in each join below.
-    first = base.groupBy(F.xxhash64("text")).agg(F.min(F.struct(*KEY)).alias("key")).select("key.*")
-    rows = packed(base)
-    own = rows.join(first.withColumn("own", F.lit(True)), KEY, "left_semi")
+    # The texts are shuffled once, by name; Spark reuses that exchange in each join below.
+    first = base.groupBy("text_hash").agg(F.min(F.struct("doc", "name")).alias("first")).select("first.name")
+    rows = packed(base.select("doc_id", "doc", "name", "text"))
+    own = rows.join(first.withColumn("own", F.lit(True)), "name", "left_semi")
     sown = seeds(own, length)
-    places = sown.join(often(seeds_held(own, length), "h"), "h").groupBy(*KEY).agg(F.collect_list("at").alias("places"))
-    around = extended(rows.join(places, KEY), length)
-    earliest = around.groupBy("w").agg(F.min("doc").alias("earliest"))
+    places = sown.join(often(seeds_held(own, length), "h"), "h").groupBy("name").agg(F.collect_list("at").alias("places"))
+    around = extended(rows.join(places, "name"), length)
+    earliest = _earliest(around)
     repeats = (
-        around.join(earliest, "w").filter("earliest < doc").groupBy(*KEY).agg(F.collect_set("start").alias("starts"))
+        around.join(earliest, "w").filter("earliest < doc").groupBy("name").agg(F.collect_set("start").alias("starts"))
     )
-    marked = rows.join(first.withColumn("own", F.lit(True)), KEY, "left").join(repeats, KEY, "left")
+    marked = rows.join(first.withColumn("own", F.lit(True)), "name", "left").join(repeats, "name", "left")
     return _parted(marked.select(*ROW, F.expr("own is null").alias("copy"), "starts"), length)
+
+
+def _earliest(around: DataFrame) -> DataFrame:
+    """``w`` and ``earliest``, the first document, of windows that two documents have. Counted in tasks first; ``w`` is
+    given back from another number, so that a join on it is one of plain exchanges."""
+    counted = around.groupBy(F.col("w").bitwiseXOR(F.lit(1)).alias("other")).agg(
+        F.min("doc").alias("earliest"), F.max("doc").alias("latest")
+    )
+    several = counted.filter("earliest < latest")
+    return several.select(F.col("other").bitwiseXOR(F.lit(1)).alias("w"), "earliest")
