@@ -224,10 +224,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", i
 
 
 def _earliest(around: DataFrame) -> DataFrame:
-    """``w`` and ``earliest``, the first document, of windows that two documents have. Counted in tasks first; ``w`` is
+    """``w`` and ``earliest``, the first document, of windows that occur twice. Counted in tasks first; ``w`` is
     given back from another number, so that a join on it is one of plain exchanges."""
     counted = around.groupBy(F.col("w").bitwiseXOR(F.lit(1)).alias("other")).agg(
-        F.min("doc").alias("earliest"), F.max("doc").alias("latest")
+        F.min("doc").alias("earliest"), F.count("*").alias("n")
     )
-    several = counted.filter("earliest < latest")
-    return several.select(F.col("other").bitwiseXOR(F.lit(1)).alias("w"), "earliest")
+    return counted.filter("n > 1").select(F.col("other").bitwiseXOR(F.lit(1)).alias("w"), "earliest")
