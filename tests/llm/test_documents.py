@@ -175,32 +175,51 @@ def test_simhash(spark):
     assert got == {i: (values[i], roots[i]) for i in range(len(texts))}
 
 
-def test_simhash_links_in_a_crowded_anchor(spark, monkeypatch):
-    """Fingerprints that agree in one block, so that they share anchors."""
-    rng = np.random.default_rng(1)
-    values = {int(x) for x in rng.integers(0, 1 << 33, 500, dtype=np.uint64) << np.uint64(31)}
-    for value in list(values)[:200]:
+def near_values(rng, n):
+    """Fingerprints that agree in one block, so that they share anchors, and others near them."""
+    values = {int(x) for x in rng.integers(0, 1 << 33, n, dtype=np.uint64) << np.uint64(31)}
+    for value in list(values)[: 2 * n // 5]:
         for bits in (1, 2, 3, 4):
             near = value
             for bit in rng.choice(64, bits, replace=False):
                 near ^= 1 << int(bit)
             values.add(near)
-    values = sorted(values)
-    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
-    fps = spark.createDataFrame(signed, "fp long")
-    dealt = simhash.anchors(fps, 3).repartition("anchor").sortWithinPartitions("anchor")
-    keys = dealt.toPandas().sort_values("anchor")
-    rows = (keys.anchor.to_numpy(), keys.fp.to_numpy().view(np.uint64), keys.home.to_numpy())
+    return sorted(values)
+
+
+def signed(values):
+    return [v - (1 << 64) if v >> 63 else v for v in values]
+
+
+@pytest.mark.parametrize("crowded", [0, 8, 100, simhash.CROWDED])
+def test_simhash_links_in_crowded_anchors(spark, monkeypatch, crowded):
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    values = near_values(np.random.default_rng(1), 500)
+    # The other block agrees in some, too.
+    values = sorted({*values, *(v >> 31 | 5 << 62 & (1 << 64) - 1 for v in values[:200])})
     wanted = brute.linked(values, lambda a, b: bin(a ^ b).count("1") <= 3)
-    for crowded in (simhash.CROWDED, 8):
-        monkeypatch.setattr(simhash, "CROWDED", crowded)
-        place = {v: i for i, v in enumerate(values)}
-        labels = np.arange(len(values))
-        for left, right in simhash.close_pairs(*rows, 3):
-            a = np.array([place[int(v)] for v in rows[1][left]], int)
-            b = np.array([place[int(v)] for v in rows[1][right]], int)
-            labels = simhash.joined(labels, a, b)
-        assert labels.tolist() == wanted
+    known = spark.createDataFrame(list(enumerate(signed(values))), "doc_id long, fp long")
+    roots = {r.fp: r.root for r in simhash.rooted(known, 3).collect()}
+    named = {}
+    for fp, least in zip(signed(values), wanted):
+        assert named.setdefault(roots[fp], least) == least
+    assert len(named) == len(set(wanted))
+
+
+def test_rows_of_a_crowded_anchor_are_in_many_groups(spark, monkeypatch):
+    """None of them has more than a small share of its rows, and the pairs compared grow with the rows."""
+    monkeypatch.setattr(simhash, "CROWDED", 500)
+    seen, given, compared = [], simhash.edges, []
+    monkeypatch.setattr(simhash, "edges", lambda rows, bits: (seen.append(rows), given(rows, bits))[1])
+    for n in (4_000, 16_000):
+        values = np.unique(np.random.default_rng(2).integers(0, 1 << 33, n, dtype=np.uint64) << np.uint64(31))
+        known = spark.createDataFrame(list(enumerate(signed(values.tolist()))), "doc_id long, fp long")
+        simhash.rooted(known, 3)
+        sizes = seen[-1].groupBy("anchor").count().toPandas()["count"]
+        assert sizes.max() < 50
+        assert seen[-2].groupBy("anchor").count().toPandas()["count"].max() <= 500
+        compared.append(int((sizes**2).sum()))
+    assert compared[1] < 6 * compared[0]
 
 
 def test_quality_measures(spark):

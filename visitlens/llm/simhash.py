@@ -11,8 +11,11 @@ compared with visitors per anchor.
 
 Only distinct fingerprints take part. An anchor's rows arrive sorted, are compared in pieces
 of bounded size, and give at most one edge per fingerprint, towards the smallest one linked
-with it there. A crowded anchor is parted again by the other block: of four parts of its
-bits, one is equal in linked fingerprints. No pairs of documents are made.
+with it there. Anchors are counted first, in tasks. One with more than ``CROWDED`` rows is in no single task: its
+rows are dealt out anew by the bits outside its block. Of ``bits + 3`` parts of these, three are equal in linked
+fingerprints; so a row goes to a group for each choice of three parts and their values, and groups
+are compared as anchors are. No pairs of documents are made. What is left of quadratic work is inside groups
+of fingerprints that agree in their block, but for the radius, and in three parts besides.
 
 Null texts and texts without words have fingerprint zero. Rows that repeat are one
 fingerprint. Rows without an id get the id of their component like others; a component
@@ -34,6 +37,7 @@ from pyspark.sql import types as T
 
 from visitlens.llm.common import stored
 from visitlens.llm.components import components
+from visitlens.llm.hashing import FACTOR, mixed
 
 SEED = 42
 BLOCK = 31
@@ -135,11 +139,10 @@ def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def close_pairs(keys: np.ndarray, fps: np.ndarray, homes: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of rows with equal keys whose fingerprints are near, a home row first, in
-    pieces. Keys must be sorted."""
+    pieces of some ``PAIRS`` pairs. Keys must be sorted."""
     first, sizes = groups(keys)
     rows = np.repeat(np.arange(len(first)), sizes)
-    crowd = sizes[rows] > CROWDED
-    at = np.flatnonzero(homes & ~crowd & (sizes[rows] > 1))
+    at = np.flatnonzero(homes & (sizes[rows] > 1))
     width = sizes[rows[at]]
     ends = np.cumsum(width)
     start = 0
@@ -152,25 +155,39 @@ def close_pairs(keys: np.ndarray, fps: np.ndarray, homes: np.ndarray, bits: int)
         near = np.bitwise_count(fps[left] ^ fps[right]) <= bits
         yield left[near], right[near]
         start = end
-    for group in np.flatnonzero(sizes > CROWDED):
-        yield from _crowded(np.arange(first[group], first[group] + sizes[group]), fps, homes, bits)
-
-
-def _crowded(rows: np.ndarray, fps: np.ndarray, homes: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Near pairs of one crowded anchor. Of more parts of the 64 bits than may differ, one is equal."""
-    parts = bits + 1
-    for part in range(parts):
-        low, high = 64 * part // parts, 64 * (part + 1) // parts
-        value = (fps[rows] >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)
-        order = np.argsort(value, kind="stable")
-        first, sizes = groups(value[order])
-        for start, size in zip(first, sizes):
-            own = rows[order[start : start + size]]
-            lead = own[homes[own]]
-            step = max(1, PAIRS // max(1, size))
-            for i in range(0, len(lead), step):
-                left, right = np.nonzero(np.bitwise_count(fps[lead[i : i + step], None] ^ fps[own][None, :]) <= bits)
-                yield lead[i : i + step][left], own[right]
+
+
+def outside(fps: np.ndarray, block: int) -> np.ndarray:
+    """The bits of fingerprints that are not in a block, in one row."""
+    if block == 0:
+        return fps >> np.uint64(BLOCK)
+    low, high = (1 << BLOCK) - 1, np.uint64(2 * BLOCK)
+    return (fps & np.uint64(low)) | (fps >> high << np.uint64(BLOCK))
+
+
+def parted(rows: DataFrame, bits: int) -> DataFrame:
+    """Rows of crowded anchors (anchor, fp, home) with other anchors: one for each choice of parts that may be equal."""
+    parts, width = bits + 3, 64 - BLOCK
+    edges_of_parts = [width * i // parts for i in range(parts + 1)]
+    masks = []
+    for chosen in combinations(range(parts), parts - bits):
+        spans = [(edges_of_parts[i], edges_of_parts[i + 1]) for i in chosen]
+        masks.append(sum((1 << high) - (1 << low) for low, high in spans))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchor = batch.column(0).to_numpy().view(np.uint64)
+            fps = batch.column(1).to_numpy().view(np.uint64)
+            block = anchor >> np.uint64(BLOCK) & np.uint64(1)
+            others = np.where(block == 0, outside(fps, 0), outside(fps, 1))
+            for i, mask in enumerate(masks):
+                # Groups that share a key by chance are only compared in vain.
+                to = mixed(mixed(anchor * np.uint64(FACTOR) + np.uint64(i + 1)) ^ (others & np.uint64(mask)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(to.view(np.int64)), *batch.columns[1:]], names=["anchor", "fp", "home"]
+                )
+
+    return rows.select("anchor", "fp", "home").mapInArrow(run, "anchor long, fp long, home boolean")
 
 
 def joined(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -221,6 +238,10 @@ def edges(sorted_rows: DataFrame, bits: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "u long, v long")
 
 
+def _together(rows: DataFrame) -> DataFrame:
+    return rows.repartition("anchor").sortWithinPartitions("anchor")
+
+
 def rooted(known: DataFrame, bits: int) -> DataFrame:
     """``fp``, ``least`` (the smallest doc_id of its rows) and ``root``, a fingerprint that names its
     component, for each fingerprint of ``known`` (doc_id, fp)."""
@@ -228,8 +249,11 @@ def rooted(known: DataFrame, bits: int) -> DataFrame:
         raise ValueError("bits must be from 0 to 7")
     classes = stored(known.groupBy("fp").agg(F.min("doc_id").alias("least")))
     near = anchors(classes.select("fp"), bits)
-    dealt = near.repartition("anchor").sortWithinPartitions("anchor")
-    roots = components(stored(edges(dealt, bits)))
+    crowded = stored(near.groupBy("anchor").agg(F.count("*").alias("n"), F.max("home").alias("met")).filter(F.col("n") > CROWDED))
+    # Visitors of an anchor that is nobody's home meet no one there.
+    again = parted(near.join(crowded.filter("met"), "anchor"), bits)
+    found = [edges(_together(rows), bits) for rows in (near.join(crowded, "anchor", "left_anti"), again)]
+    roots = components(stored(found[0].unionByName(found[1])))
     return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
