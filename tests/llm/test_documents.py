@@ -5,6 +5,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tests.llm import brute
 from visitlens.llm import decontaminate, fm_index, quality, secrets, sharding, simhash, substring_dedup
 from visitlens.llm import suffix_dedup, suffix_sort, toxicity
 from visitlens.llm.common import ranked
+from visitlens.llm.queries import op2_toxicity
 
 SCHEMA = "doc_id long, text string"
 
@@ -307,6 +310,49 @@ def test_toxicity_learns_words_and_skips_held_out_labels(spark):
     assert toxicity.scored(docs, none).filter("score <> 0.5").isEmpty()
 
 
+def test_toxicity_trains_on_places_of_bounded_number(spark, tmp_path):
+    """Forty texts of a megabyte, and repeated ids: one row per id, no texts, no more places than the bound."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(map("w{}".format, rng.integers(0, 40_000, 170_000))) for _ in range(40)]
+    pq.write_table(pa.table({"doc_id": range(40), "text": texts}), str(tmp_path / "docs.parquet"), row_group_size=5)
+    docs = spark.read.parquet(str(tmp_path / "docs.parquet"))
+    docs = docs.union(spark.createDataFrame([(1, "another text"), (2, None), (3, "x"), (3, "x")], SCHEMA))
+    labels = spark.range(120).selectExpr("id as doc_id", "cast(id % 4 = 0 as int) as label")
+    rows = toxicity.training_rows(docs, labels, most=3_000_000)
+    assert set(rows.columns) == {"doc_id", "label", "place", "features"}
+    sizes = [r.n for r in rows.selectExpr("doc_id", "length(features) div 4 as n").collect()]
+    assert 3 <= len(sizes) == rows.select("doc_id").distinct().count() and sum(sizes) <= 3_000_000
+    least = toxicity.training_rows(docs.limit(3), labels, most=5).collect()
+    assert len(least) == 1
+
+
+def test_the_cut_of_scores_is_where_labels_part_best():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        labels = rng.integers(0, 2, 30)
+        margins = np.round(rng.normal(size=30) + labels, 1)
+        if not 0 < labels.sum() < 30:
+            continue
+        cut = toxicity.shift(margins, labels)
+
+        def f1(at):
+            picked = margins >= at
+            return 2 * labels[picked].sum() / (picked.sum() + labels.sum())
+
+        assert f1(cut) >= max(f1(x) for x in margins) - 1e-9
+    assert toxicity.shift(np.array([1.0, 2.0]), np.array([1, 1])) == 0
+
+
+def test_held_out_toxic_documents_are_found(spark):
+    """Nine of ten of the given table's held-out labels, and one clean text of a hundred at most."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic is not null").select("doc_id", "toxic")
+    found = op2_toxicity(spark, folder).filter("held_out").join(labels, "doc_id")
+    counts = {(r.toxic, r.predicted): r["count"] for r in found.groupBy("toxic", "predicted").count().collect()}
+    assert counts[1, 1] >= 0.9 * (counts[1, 1] + counts.get((1, 0), 0))
+    assert counts.get((0, 1), 0) <= 0.01 * counts[0, 0]
+
+
 def test_secret_scans(spark):
     rng = random.Random(9)
 

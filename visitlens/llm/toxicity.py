@@ -1,16 +1,21 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features of a text are its words, pairs of neighbours and pairs one word apart, lower-cased
-and hashed to ``1 << BITS`` places; each counts once per text. Training goes over a bounded
-sample of labelled texts, ``sample`` rows of lowest hash, in one task: every coordinate has
-its own rate, and L1 keeps most weights at zero. The model is the list of other weights, at
+Features of a text are its words, also cut to their first ``STEM`` bytes, pairs of neighbours and pairs
+one word apart, lower-cased and hashed to ``1 << BITS`` places; each counts once per text. Training goes over
+a bounded sample of labelled texts, ``sample`` rows of lowest hash and of these as many as have
+``PLACES`` features together. Texts are turned into places where they are read, and only places go on, one row per
+document. Every coordinate has its own rate, and L1 keeps most weights at zero; places of one text alone are left out.
+
+One task fits the model of all rows, and two more those of either half, which score the other half. The bias is
+moved to where these scores part the labels best (the highest F1), so that a score of one half
+is the best cut, whatever the share of toxic texts. The model is the list of weights that are not zero, at
 most one per place, and is sent to the tasks that score. Scoring reads each whole text once
 and shuffles nothing.
 
 Null and empty texts, and texts without words, have the score of the bias alone. Labelled
 rows without a text, a label or an id teach nothing; an id labelled twice counts as toxic if
-one of its labels does. Without labelled rows every score is 0.5. Repeated documents score
-alike. Other columns take no part.
+one of its labels does; of an id's texts, that of the lowest hash teaches. Without labelled rows every score is
+0.5. Repeated documents score alike. Other columns take no part.
 """
 
 from __future__ import annotations
@@ -21,25 +26,28 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import blocks
+from visitlens.llm.common import blocks, stored
 from visitlens.llm.decontaminate import _APART, _LOWER
-from visitlens.llm.hashing import FACTOR, mixed, words
+from visitlens.llm.hashing import FACTOR, _word_hashes, mixed, words
 
 BITS = 20
+STEM = 6
 SAMPLE_ROWS = 20_000
-EPOCHS = 4
+#: Features of all training texts together; a training task holds four bytes for each.
+PLACES = 40_000_000
+EPOCHS = 6
 SEED = 11
 
 
 class Rates(NamedTuple):
     """Constants of the update: step size, its smoothing, and the two penalties."""
 
-    alpha: float = 3.0
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 3.0
+    l1: float = 5.0
     l2: float = 0.01
 
 
@@ -52,10 +60,13 @@ class Model(NamedTuple):
 
 
 def features(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The text and the hashed place of every word, neighbour pair and skip pair of a block."""
-    _, _, hashes, counts = words(_LOWER[data], starts, _APART)
+    """The text and the hashed place of every word, stem, neighbour pair and skip pair of a block."""
+    lower = _LOWER[data]
+    first, end, hashes, counts = words(lower, starts, _APART)
     text = np.repeat(np.arange(len(starts) - 1), np.diff(counts))
-    texts, found = [text], [hashes]
+    long = end - first > STEM
+    stems = mixed(_word_hashes(lower, first[long], first[long] + STEM) + np.uint64(STEM))
+    texts, found = [text, text[long]], [hashes, stems]
     for gap in (1, 2):
         if len(hashes) > gap:
             one = text[gap:] == text[:-gap]
@@ -90,11 +101,24 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, rates: Rates = Rates(), epo
     return Model(places, every[places].astype(np.float32), float(every[size]))
 
 
-def train(
-    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, rates: Rates = Rates(), epochs: int = EPOCHS
-) -> Model:
-    """The model of ``docs`` (doc_id, text) with one of ``labels`` (doc_id, label 0 or 1)."""
-    # The sample is chosen among ids, before texts are joined; it goes to one task.
+def shift(margins: np.ndarray, labels: np.ndarray) -> float:
+    """Where a cut of margins has the highest F1, the one nearest 0 of equals; 0 without labels of both kinds."""
+    if not 0 < labels.sum() < len(labels):
+        return 0.0
+    order = np.argsort(-margins, kind="stable")
+    own = margins[order]
+    hits = np.cumsum(labels[order])
+    f1 = 2 * hits / (np.arange(1, len(own) + 1) + hits[-1])
+    below = np.r_[own[1:], own[-1] - 1]
+    # Only between unlike margins can a cut be.
+    best = np.flatnonzero((f1 >= f1[own > below].max() - 1e-9) & (own > below))
+    cuts = (own[best] + below[best]) / 2
+    return float(cuts[np.argmin(np.abs(cuts))])
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, most: int = PLACES) -> DataFrame:
+    """doc_id, ``place`` (the order of training), ``label`` and ``features``, distinct places in order as
+    32-bit numbers, of the sample."""
     known = labels.filter("doc_id is not null and label is not null").groupBy("doc_id")
     chosen = (
         known.agg(F.max("label").cast("int").alias("label"))
@@ -104,21 +128,59 @@ def train(
     )
     texts = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["place", "doc_id", "text"], kind="stable").drop_duplicates("doc_id")
-        found = []
-        for text in rows.text:
-            data = np.frombuffer(text.encode(), np.uint8)
-            found.append(np.unique(features(data, np.array([0, len(data)]))[1]))
-        model = fit(found, rows.label.to_numpy(), rates, epochs)
-        return pd.DataFrame(
-            {"place": np.append(model.places, -1), "weight": np.append(model.weights.astype(float), model.bias)}
-        )
-
-    made = texts.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(run, "place long, weight double").toPandas()
-    own = made[made.place >= 0].sort_values("place")
-    bias = float(made.weight[made.place < 0].sum())
-    return Model(own.place.to_numpy(np.int64), own.weight.to_numpy(np.float32), bias)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, starts in blocks(batch, "text"):
+                of, place = features(data, starts)
+                once = np.unique(of << BITS | place)
+                ends = np.searchsorted(once, np.arange(end - first + 1) << BITS)
+                listed = (once & ((1 << BITS) - 1)).astype(np.int32)
+                found = pa.array([listed[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())
+                part = batch.slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], found], names=["doc_id", "label", "place", "h", "features"])
+
+    given = texts.select("doc_id", "label", "place", F.md5("text").alias("h"), "text")
+    kinds = {field.name: field.dataType.simpleString() for field in given.schema}
+    schema = f"doc_id {kinds['doc_id']}, label int, place long, h string, features binary"
+    one_text = F.min(F.struct("h", "label", "place", "features")).alias("row")
+    rows = stored(given.mapInArrow(run, schema).groupBy("doc_id").agg(one_text).select("doc_id", "row.*").drop("h"))
+    # Of at most ``sample`` rows, without their features.
+    before = F.sum("n").over(Window.orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, -1))
+    sized = rows.select("doc_id", "place", F.expr("length(features) div 4").alias("n")).withColumn("before", F.coalesce(before, F.lit(0)))
+    kept = sized.filter((F.col("before") + F.col("n") <= most) | (F.col("before") == 0))
+    return rows.join(F.broadcast(kept.select("doc_id")), "doc_id", "left_semi")
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, rates: Rates = Rates(), epochs: int = EPOCHS
+) -> Model:
+    """The model of ``docs`` (doc_id, text) with one of ``labels`` (doc_id, label 0 or 1)."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["place", "doc_id"], kind="stable")
+        found, own = [np.frombuffer(x, np.int32) for x in rows.features], rows.label.to_numpy()
+        seen = sum((np.bincount(x, minlength=1 << BITS) for x in found[1:]), np.bincount(found[0], minlength=1 << BITS))
+        found = [x[seen[x] > 1] for x in found]
+        # Part 2 is of all rows; parts 0 and 1 learn from one half and score the other.
+        half = rows.half.to_numpy()
+        learn = np.flatnonzero((half == key[0]) | (key[0] == 2))
+        model = fit([found[i] for i in learn], own[learn], rates, epochs)
+        if key[0] == 2:
+            weights = np.append(model.weights.astype(float), model.bias)
+            return pd.DataFrame({"part": 2, "place": np.append(model.places, -1), "value": weights})
+        every = np.zeros(1 << BITS)
+        every[model.places] = model.weights
+        other = np.flatnonzero(half != key[0])
+        margins = [every[found[i]].sum() + model.bias for i in other]
+        return pd.DataFrame({"part": key[0], "place": own[other], "value": margins})
+
+    rows = training_rows(docs, labels, sample).withColumn("half", F.expr("pmod(place, 2)"))
+    parted = rows.withColumn("part", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    made = parted.groupBy("part").applyInPandas(run, "part int, place long, value double").toPandas()
+    halves, own = made[made.part < 2], made[(made.part == 2) & (made.place >= 0)].sort_values("place")
+    bias = float(made.value[made.place < 0].sum())
+    cut = shift(halves.value.to_numpy(), halves.place.to_numpy())
+    return Model(own.place.to_numpy(np.int64), own.value.to_numpy(np.float32), bias - cut)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", id_column: str = "doc_id") -> DataFrame:
