@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from visitlens.llm import decontaminate, fm_index, quality, secrets, sharding, simhash, substring_dedup
-from visitlens.llm import suffix_dedup, suffix_sort, toxicity
+from visitlens.llm import common, suffix_dedup, suffix_sort, toxicity
 from visitlens.llm.common import ranked
 from visitlens.llm.queries import op2_toxicity
 
@@ -43,11 +43,17 @@ def test_substring_dedup(spark):
     assert brute.ordered(got) == brute.substring_dedup(rows, 13)
 
 
+def colliding(monkeypatch, module, names):
+    """Lets a module number its texts by other hashes first."""
+    monkeypatch.setattr(
+        module, "named", lambda df, keys: common.named(df, keys, lambda k, i: names[i] if i < len(names) else common.name_of(k, i))
+    )
+
+
 @pytest.mark.parametrize("names", [["0L"], ["doc % 3", "pmod(xxhash64(text_hash), 40)"]])
 def test_substring_dedup_where_hashes_of_documents_collide(spark, monkeypatch, names):
     """All documents, those without an id and those of one id share the first numbers they would be named by."""
-    real = substring_dedup._name
-    monkeypatch.setattr(substring_dedup, "_name", lambda salt: names[salt] if salt < len(names) else real(salt))
+    colliding(monkeypatch, substring_dedup, names)
     rng = random.Random(21)
     rows = passages(rng, "abcdefg", 60, " ")
     # Two texts of unlike lengths without an id, and two of one id, beside an earlier document with both passages.
@@ -58,16 +64,17 @@ def test_substring_dedup_where_hashes_of_documents_collide(spark, monkeypatch, n
     assert brute.ordered(got) == brute.substring_dedup(rows, 13)
 
 
-def test_names_of_documents_are_their_own(spark, monkeypatch):
+def test_names_of_rows_are_their_own(spark, monkeypatch):
     base = spark.createDataFrame([(i % 50, b"%d" % (i % 90)) for i in range(900)], "doc long, text_hash binary")
-    real = substring_dedup._name
-    monkeypatch.setattr(substring_dedup, "_name", lambda salt: "doc" if salt == 0 else real(salt))
-    found = substring_dedup.named(base)
+    keys = ["doc", "text_hash"]
+    found = common.named(base, keys, lambda k, salt: "doc" if salt == 0 else common.name_of(k, salt))
     counts = found.selectExpr("count(distinct name)", "count(distinct doc, text_hash)", "count(distinct doc, text_hash, name)").first()
     assert counts[0] == counts[1] == counts[2] == 450
-    monkeypatch.setattr(substring_dedup, "SHARED_NAMES", 10)
-    with pytest.raises(ValueError, match="share a hash"):
-        substring_dedup.named(base)
+    with pytest.raises(ValueError, match="share a number"):
+        common.named(base, keys, lambda k, salt: "doc")
+    monkeypatch.setattr(common, "SHARED_NAMES", 10)
+    with pytest.raises(ValueError, match="share a number"):
+        common.named(base, keys, lambda k, salt: "doc" if salt == 0 else common.name_of(k, salt))
 
 
 def test_substring_dedup_of_long_texts_in_small_parts(spark, monkeypatch):
@@ -87,8 +94,9 @@ def test_suffix_dedup(spark):
     assert brute.ordered(got) == brute.suffix_dedup(rows, 200)
 
 
-@pytest.mark.parametrize("most", [0, 3])
+@pytest.mark.parametrize("most", [0, 1, 3, 40])
 def test_suffix_dedup_of_crowded_seeds(spark, monkeypatch, most):
+    """Seeds are split down to single windows, a few times, or hardly."""
     monkeypatch.setattr(suffix_dedup, "SURROUNDINGS", most)
     rows = passages(random.Random(6), "abcdefgé ", 700, "")
     found = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), 200)
@@ -96,20 +104,37 @@ def test_suffix_dedup_of_crowded_seeds(spark, monkeypatch, most):
     assert brute.ordered(got) == brute.suffix_dedup(rows, 200)
 
 
-def test_a_seed_of_many_occurrences_is_merged_before_it_is_dealt(spark, monkeypatch):
+@pytest.mark.parametrize("most", [2, 20_000])
+def test_suffix_dedup_where_hashes_collide(spark, monkeypatch, most):
+    """Texts share the numbers they would be named by, and split seeds share groups."""
+    colliding(monkeypatch, suffix_dedup, ["0L", "pmod(xxhash64(text_hash), 9)"])
+    monkeypatch.setattr(suffix_dedup, "SURROUNDINGS", most)
+    monkeypatch.setattr(suffix_dedup, "GROUP", "pmod(xxhash64(h, lo, {shared}), 5)")
+    rows = passages(random.Random(16), "abcdefgé ", 700, "")
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), 200)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, brute.sha(r.kept)) for r in found.collect()]
+    assert brute.ordered(got) == brute.suffix_dedup(rows, 200)
+
+
+def test_a_seed_of_many_occurrences_is_merged_and_split_before_it_is_dealt(spark, monkeypatch):
     """No task gets a row for each occurrence of a seed, nor more surroundings than the bound."""
     rng = random.Random(7)
     seed = "".join(rng.choice("abcdefgh") for _ in range(32))
     around = [(1, i, 40, 0, (seed + "x" * 168).encode()) for i in range(4000)]
-    around += [(2, i, 40, 0, (seed + "%0168d" % i).encode()) for i in range(50)]
-    given = spark.createDataFrame(around, "h long, text_hash long, at long, left int, around binary").repartition(4)
+    # Of these the first 100 bytes after the seed fall into 40 kinds, and the last ones differ.
+    around += [(2, i, 40, 0, (seed + "%0100d" % (i % 40) + "%068d" % i).encode()) for i in range(600)]
+    around += [(2, 9000 + i, 40, 0, (seed + "%0100d" % 3 + "%068d" % 3).encode()) for i in range(2)]
+    given = spark.createDataFrame(around, "h long, name long, at long, left int, around binary").repartition(4)
     seen = []
     judge = suffix_dedup.verdicts
-    monkeypatch.setattr(suffix_dedup, "verdicts", lambda d, n: (seen.append(d.groupBy("h").count().collect()), judge(d, n))[1])
+    monkeypatch.setattr(
+        suffix_dedup, "verdicts", lambda d, n: (seen.extend(r["count"] for r in d.groupBy("g").count().collect()), judge(d, n))[1]
+    )
     monkeypatch.setattr(suffix_dedup, "SURROUNDINGS", 20)
-    found = suffix_dedup.covered(given, 200).collect()
-    assert [tuple(r) for r in seen[0]] == [(1, 1)]
-    assert sorted(r.text_hash for r in found) == list(range(4000))
+    found = suffix_dedup.covered(given, 200).distinct().collect()
+    assert seen and max(seen) <= 20
+    # Text 3 of the second seed is the only other one that has an equal.
+    assert sorted(r.name for r in found) == [*range(4000), 9000, 9001]
     assert {(r.start, r.end) for r in found} == {(40, 240)}
 
 

@@ -59,6 +59,36 @@ def often(df: DataFrame, key: str, least: int = 2) -> DataFrame:
     return counted.filter(F.col("_n") >= least).select(F.col("_other").bitwiseXOR(F.lit(1)).alias(key))
 
 
+#: Names that are listed in a plan as shared. Of 5e10 rows some 70 pairs share 64 bits.
+SHARED_NAMES = 10_000
+
+
+def name_of(keys: list[str], salt: int) -> str:
+    """SQL for a row's number by its keys, one of many by a salt."""
+    return f"xxhash64({', '.join(keys)}, {salt})"
+
+
+def named(df: DataFrame, keys: list[str], numbered: Callable[[list[str], int], str] = name_of) -> DataFrame:
+    """``df`` with ``name``, one long for each combination of the keys and no other.
+
+    Numbers that different combinations share are counted, and these few get others."""
+    pairs = df.select(*keys).distinct()
+
+    def shared(name: Column, most: int) -> list[int]:
+        twice = pairs.groupBy(name.alias("name")).agg(F.count("*").alias("n")).filter("n > 1")
+        return [row.name for row in twice.select("name").limit(most).collect()]
+
+    name = F.expr(numbered(keys, 0))
+    for salt in range(1, 9):
+        listed = shared(name, SHARED_NAMES + 1)
+        if not listed:
+            return df.withColumn("name", name)
+        if len(listed) > SHARED_NAMES:
+            break
+        name = F.when(name.isin(listed), F.expr(numbered(keys, salt))).otherwise(name)
+    raise ValueError("more rows share a number than 64 bits explain")
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column's texts in a row, and where each text starts and the
     last one ends. A null counts as an empty text."""

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import blocks, often
+from visitlens.llm.common import blocks, named, often
 from visitlens.llm.hashing import grams, joined_words, lowest, windows, words
 
 LENGTH = 13
@@ -38,8 +38,6 @@ SEED = 4
 #: Rows and bytes of texts that are unpacked at once, or one text.
 UNPACKED_ROWS = 1024
 UNPACKED_BYTES = 4 << 20
-#: Names that are listed in a plan as shared. Of 5e10 documents some 70 pairs share one.
-SHARED_NAMES = 10_000
 
 #: Every step takes all columns of a row, so that the exchanges of the texts are one.
 ROW = ["doc_id", "doc", "name", "packed"]
@@ -171,31 +169,6 @@ def _parted(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary")
 
 
-def _name(salt: int) -> str:
-    return f"xxhash64(doc, text_hash, {salt})"
-
-
-def named(base: DataFrame) -> DataFrame:
-    """``base`` (doc, text_hash) with ``name``, one number for each pair of them and no other."""
-    pairs = base.select("doc", "text_hash").distinct()
-    shared = F.expr(_name(0)).alias("name")
-    twice = pairs.groupBy(shared).agg(F.count("*").alias("n")).filter("n > 1").select("name")
-    listed = [row.name for row in twice.limit(SHARED_NAMES + 1).collect()]
-    if len(listed) > SHARED_NAMES:
-        raise ValueError("more documents share a hash than 64 bits explain")
-    name = F.expr(_name(0))
-    for salt in range(1, 9):
-        if not listed:
-            break
-        # Only the few that share a name get another one.
-        name = F.when(name.isin(listed), F.expr(_name(salt))).otherwise(name)
-        twice = pairs.groupBy(name.alias("name")).agg(F.count("*").alias("n")).filter("n > 1").select("name")
-        listed = [row.name for row in twice.collect()]
-    if listed:
-        raise ValueError("documents share hashes in all salts")
-    return base.withColumn("name", name)
-
-
 def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """doc_id, ``n_words``, ``n_removed`` and ``kept``, the kept words joined by one space in UTF-8."""
     last = (1 << 63) - 1
@@ -206,7 +179,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", i
             F.coalesce(F.col(id_column).cast("long"), F.lit(last)).alias("doc"),
             F.unhex(F.md5(whole)).alias("text_hash"),
             whole.alias("text"),
-        )
+        ),
+        ["doc", "text_hash"],
     )
     # The texts are shuffled once, by name; Spark reuses that exchange in each join below.
     first = base.groupBy("text_hash").agg(F.min(F.struct("doc", "name")).alias("first")).select("first.name")

@@ -10,10 +10,13 @@ windows that are as many bytes to the left of their seed are equal if the prefix
 far and the suffixes agree over the rest. All equal windows of an occurrence hold its seed,
 so they cover one span.
 
-Equal texts are one text that is covered as a whole. Equal surroundings of a seed are merged in
-the tasks that read them, so a seed's group costs its different surroundings, ``SURROUNDINGS`` at
-most; a seed with more has its windows counted by Spark in all tasks. What is found for
-surroundings is joined back to their occurrences by seed and hash.
+Equal texts, by MD5, are one text that is covered as a whole. Equal surroundings of a seed are merged in
+the tasks that read them and then by all their bytes, so a seed's group costs its different surroundings. A seed with more of
+them than ``SURROUNDINGS`` is split by more bytes, again and again: the windows that start from lo to hi bytes left of
+the seed all cover lo bytes before it and some bytes after it, so equal ones agree in these, and
+the groups that agree are sorted as others are. The range of a group that is still crowded is halved, down to a
+single start; its windows are then equal as a whole and only counted. What is found for
+surroundings is joined back to their occurrences by seed and MD5.
 Texts are read in blocks of a megabyte; a longer one takes some fifty times its size.
 
 Null texts are empty. Texts shorter than ``length`` lose nothing. Rows that repeat are copies
@@ -23,14 +26,14 @@ of each other. No rows give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import blocks, often, stored, text_bytes
+from visitlens.llm.common import blocks, named, often, stored, text_bytes
 from visitlens.llm.hashing import lowest, mixed, powers, prefix_hashes, windows
 from visitlens.llm.hashing import INVERSE
 from visitlens.llm.suffix_sort import agreement, deep_shallow
@@ -41,6 +44,8 @@ BATCH_ROWS = 20_000
 #: Different surroundings of a seed that one task sorts.
 SURROUNDINGS = 20_000
 KEYS = ["h", "left", "mark", "around"]
+#: SQL for the group of a seed's surroundings that share bytes. Unlike ones that meet in one are told apart by sorting.
+GROUP = "xxhash64(h, lo, {shared})"
 
 
 def _chosen(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -61,7 +66,7 @@ def _chosen(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarr
 
 
 def seeds(texts: DataFrame, length: int) -> DataFrame:
-    """``h``, text_hash and ``at``, the place of each seed in its text."""
+    """``h``, the text's name and ``at``, the place of each seed in its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,10 +76,10 @@ def seeds(texts: DataFrame, length: int) -> DataFrame:
                 text = np.searchsorted(starts, place, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(name[row + text]), pa.array(place - starts[text])],
-                    names=["h", "text_hash", "at"],
+                    names=["h", "name", "at"],
                 )
 
-    return texts.select("text_hash", "text").mapInArrow(run, "h long, text_hash long, at long")
+    return texts.select("name", "text").mapInArrow(run, "h long, name long, at long")
 
 
 def surroundings(found: DataFrame, length: int) -> DataFrame:
@@ -102,16 +107,18 @@ def surroundings(found: DataFrame, length: int) -> DataFrame:
                             pa.array((place - low)[part].astype(np.int32)),
                             pa.array(around, pa.binary()),
                         ],
-                        names=["h", "text_hash", "at", "left", "around"],
+                        names=["h", "name", "at", "left", "around"],
                     )
 
-    return found.select("text_hash", "text", "places").mapInArrow(
-        run, "h long, text_hash long, at long, left int, around binary"
+    return found.select("name", "text", "places").mapInArrow(
+        run, "h long, name long, at long, left int, around binary"
     )
 
 
-def reach(group: np.ndarray, left: np.ndarray, around: list[bytes], times: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each row the farthest and the nearest start, in bytes left of the seed, of a window
+def reach(
+    group: np.ndarray, left: np.ndarray, around: list[bytes], times: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the farthest and the nearest start, from ``lo`` to ``hi`` bytes left of the seed, of a window
     that another row of its group or a copy of it has too; -1 where none is."""
     n, widest = len(around), length - min(SEED, length)
     before, after = np.zeros((n, max(1, widest)), np.uint8), np.zeros((n, length), np.uint8)
@@ -128,8 +135,8 @@ def reach(group: np.ndarray, left: np.ndarray, around: list[bytes], times: np.nd
         orders.append((order, shared))
     far, near = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
     classes = np.empty((2, n), np.int64)
-    for start in range(widest + 1):
-        valid = (left >= start) & (right >= length - start)
+    for start in range(int(lo.min(initial=0)), min(widest, int(hi.max(initial=0))) + 1):
+        valid = (left >= start) & (right >= length - start) & (lo <= start) & (start <= hi)
         if not valid.any():
             continue
         for side, agree in ((0, start), (1, length - start)):
@@ -150,8 +157,8 @@ def _merged(rows: pa.Table) -> pa.Table:
 
 
 def different(around: DataFrame) -> DataFrame:
-    """The different surroundings of each seed, with ``times``, how many rows have them; a seed's lie in
-    one partition. What a task has of them is merged before they are dealt out."""
+    """The different surroundings of all seeds, with ``times``, how many rows have them. What a task has of them is
+    merged before they are dealt out, by all their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -166,30 +173,22 @@ def different(around: DataFrame) -> DataFrame:
         if held is not None:
             yield from _merged(held).to_batches()
 
-    counted = around.select(*KEYS).mapInArrow(run, "h long, left int, mark long, around binary, times long")
-    return counted.repartition("h").groupBy(*KEYS).agg(F.sum("times").alias("times"))
+    counted = around.select(*KEYS).mapInArrow(run, "h long, left int, mark binary, around binary, times long")
+    return counted.groupBy(*KEYS).agg(F.sum("times").alias("times"))
 
 
 def verdicts(dealt: DataFrame, length: int) -> DataFrame:
-    """h, left, mark, and ``far`` and ``near`` of the different surroundings that have equal windows; rows
-    must be sorted by seed."""
+    """h, left, mark, and ``far`` and ``near`` of the different surroundings that have equal windows in their group
+    ``g``; rows must be sorted by it."""
 
     def found(part: pa.Table) -> pa.RecordBatch:
-        h = part.column("h").to_numpy()
-        left = part.column("left").to_numpy().astype(np.int64)
-        group = np.r_[0, np.cumsum(h[1:] != h[:-1])]
-        far, near = reach(group, left, part.column("around").to_pylist(), part.column("times").to_numpy(), length)
-        some = far >= 0
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(h[some]),
-                pa.array(left[some].astype(np.int32)),
-                pa.array(part.column("mark").to_numpy()[some]),
-                pa.array(far[some].astype(np.int32)),
-                pa.array(near[some].astype(np.int32)),
-            ],
-            names=["h", "left", "mark", "far", "near"],
-        )
+        g, left, times, lo, hi = (part.column(x).to_numpy().astype(np.int64) for x in ("g", "left", "times", "lo", "hi"))
+        group = np.r_[0, np.cumsum(g[1:] != g[:-1])]
+        far, near = reach(group, left, part.column("around").to_pylist(), times, lo, hi, length)
+        some = pa.array(np.flatnonzero(far >= 0))
+        known = [part.column(x).combine_chunks().take(some) for x in ("h", "left", "mark")]
+        ends = [pa.array(x.astype(np.int32)).take(some) for x in (far, near)]
+        return pa.RecordBatch.from_arrays([*known, *ends], names=["h", "left", "mark", "far", "near"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -200,9 +199,9 @@ def verdicts(dealt: DataFrame, length: int) -> DataFrame:
                 if size < BATCH_ROWS:
                     continue
                 part = pa.Table.from_batches(held)
-                h = part.column("h").to_numpy()
-                # The last seed may go on in the next batch.
-                end = int(np.searchsorted(h, h[-1]))
+                g = part.column("g").to_numpy()
+                # The last group may go on in the next batch.
+                end = int(np.searchsorted(g, g[-1]))
                 if end:
                     yield found(part.slice(0, end))
                     part = part.slice(end)
@@ -210,52 +209,47 @@ def verdicts(dealt: DataFrame, length: int) -> DataFrame:
         if size:
             yield found(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, "h long, left int, mark long, far int, near int")
+    return dealt.mapInArrow(run, "h long, left int, mark binary, far int, near int")
 
 
-def crowded_verdicts(around: DataFrame, length: int) -> DataFrame:
-    """As ``verdicts``, for seeds of any number of surroundings: every window is a row, and Spark counts
-    the equal ones by their hash and place."""
-    widest = length - min(SEED, length)
+def halved(rows: DataFrame, length: int) -> DataFrame:
+    """Crowded groups split: each row with either half of the starts, if it has windows there, in the group of those
+    that share the bytes which all windows of that half cover."""
+    halves = "inline(array(struct(lo as lo, (lo + hi) div 2 as hi), struct((lo + hi) div 2 + 1 as lo, hi as hi)))"
+    each = rows.selectExpr("h", "left", "mark", "around", "times", halves)
+    fits = f"least(left, hi) >= greatest(lo, {length} - (length(around) - left), 0)"
+    shared = f"substring(around, left - lo + 1, {length} - hi + lo)"
+    return each.filter(fits).withColumn("g", F.expr(GROUP.format(shared=shared)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                lefts, texts = part.column("left").to_pylist(), part.column("around").to_pylist()
-                row, start, hashed = [], [], []
-                for j, (left, text) in enumerate(zip(lefts, texts)):
-                    for s in range(max(0, left + length - len(text)), min(left, widest) + 1):
-                        row.append(j)
-                        start.append(s)
-                        hashed.append(xxhash.xxh64_intdigest(text[left - s : left - s + length]))
-                at = pa.array(row, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[part.column(name).take(at) for name in ("h", "left", "mark", "times")],
-                        pa.array(start, pa.int32()),
-                        pa.array(np.array(hashed, np.uint64).view(np.int64)),
-                    ],
-                    names=["h", "left", "mark", "times", "start", "window"],
-                )
 
-    # Dealt out by all keys, so that a seed is in many tasks.
-    given = around.groupBy(*KEYS).agg(F.count("*").alias("times"))
-    held = given.mapInArrow(run, "h long, left int, mark long, times long, start int, window long")
-    counted = held.groupBy("h", "start", "window").agg(F.sum("times").alias("_n")).filter("_n > 1").drop("_n")
-    shared = held.join(counted, ["h", "start", "window"])
-    return shared.groupBy("h", "left", "mark").agg(F.max("start").alias("far"), F.min("start").alias("near"))
+def counted_windows(rows: DataFrame, length: int) -> DataFrame:
+    """As ``verdicts``, for groups of a single start: their windows are equal as a whole or not at all."""
+    windowed = rows.withColumn("window", F.expr(f"substring(around, left - lo + 1, {length})"))
+    # From another number, so that a window that very many have can be split.
+    several = windowed.groupBy(F.expr("h ^ 1 as other"), "lo", "window").agg(F.sum("times").alias("n")).filter("n > 1")
+    twice = several.selectExpr("other ^ 1 as h", "lo", "window")
+    return windowed.join(twice, ["h", "lo", "window"]).selectExpr("h", "left", "mark", "lo as far", "lo as near")
 
 
 def covered(around: DataFrame, length: int) -> DataFrame:
-    """text_hash, ``start`` and ``end`` of what equal windows cover around each seed."""
-    known = stored(around.withColumn("mark", F.xxhash64("around")))
-    many = known.select("h", "left", "mark").distinct().groupBy("h").count().filter(F.col("count") > SURROUNDINGS)
-    crowded = stored(many.select("h"))
-    dealt = different(known.join(crowded, "h", "left_anti")).sortWithinPartitions("h")
-    judged = verdicts(dealt, length).unionByName(crowded_verdicts(known.join(crowded, "h", "left_semi"), length))
-    spans = known.drop("around").join(judged, ["h", "left", "mark"])
-    return spans.selectExpr("text_hash", "at - far as start", f"at - near + {length} as end")
+    """The text's name, ``start`` and ``end`` of what equal windows cover around each seed."""
+    known = stored(around.withColumn("mark", F.unhex(F.md5("around"))))
+    widest = length - min(SEED, length)
+    rows = stored(different(known)).withColumn("g", F.col("h")).withColumn("lo", F.lit(0)).withColumn("hi", F.lit(widest))
+    judged = []
+    while True:
+        many = stored(rows.groupBy("g").count().filter(F.col("count") > SURROUNDINGS).select("g"))
+        crowded = not many.isEmpty()
+        few = rows.join(many, "g", "left_anti") if crowded else rows
+        judged.append(verdicts(few.repartition("g").sortWithinPartitions("g"), length))
+        if not crowded:
+            break
+        rows = stored(halved(rows.join(many, "g", "left_semi"), length))
+        judged.append(counted_windows(rows.filter("lo = hi"), length))
+        rows = rows.filter("lo < hi")
+    every = reduce(DataFrame.unionByName, judged)
+    spans = known.drop("around").join(every, ["h", "left", "mark"])
+    return spans.selectExpr("name", "at - far as start", f"at - near + {length} as end")
 
 
 def _cut(docs: DataFrame, length: int) -> DataFrame:
@@ -288,23 +282,21 @@ def _cut(docs: DataFrame, length: int) -> DataFrame:
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """doc_id, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept``, the other bytes joined."""
-    rows = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-    )
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = named(
+        docs.select(
+            F.col(id_column).cast("long").alias("doc_id"), F.unhex(F.md5(whole)).alias("text_hash"), whole.alias("text")
+        ),
+        ["text_hash"],
+    ).drop("text_hash")
     # One row stands for equal texts: that of the smallest id.
-    classes = rows.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    known = rows.join(classes, "text_hash")
+    classes = rows.groupBy("name").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    known = rows.join(classes, "name")
     # Not an equality, which Spark would make a join key that needs the texts dealt out anew.
-    own = known.filter("coalesce(doc_id <= least, least is null)").select("text_hash", "text")
+    own = known.filter("coalesce(doc_id <= least, least is null)").select("name", "text")
     sown = seeds(own, length)
-    places = sown.join(often(sown, "h"), "h").groupBy("text_hash").agg(F.collect_set("at").alias("places"))
-    around = surroundings(own.join(places, "text_hash"), length)
-    spans = (
-        covered(around, length)
-        .groupBy("text_hash")
-        .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    )
-    marked = known.join(spans, "text_hash", "left")
+    places = sown.join(often(sown, "h"), "h").groupBy("name").agg(F.collect_set("at").alias("places"))
+    around = surroundings(own.join(places, "name"), length)
+    spans = covered(around, length).groupBy("name").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    marked = known.join(spans, "name", "left")
     return _cut(marked.select("doc_id", "text", "copies", "spans"), length)
