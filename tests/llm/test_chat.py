@@ -34,6 +34,48 @@ def test_layouts_of_json_texts(spark):
     assert turns(found) == wanted
 
 
+def test_records_with_more_than_a_layout_asks_for(spark):
+    """Empty lists, other keys at the top and in any item, unlike items, and texts that look like lists."""
+    said = [("user", "h"), ("assistant", "g")]
+    pair = [{"role": "user", "content": "h"}, {"role": "assistant", "content": "g"}]
+    records = [
+        ({"messages": []}, []),
+        ({"conversations": [], "id": 3}, []),
+        ({"turns": []}, []),
+        ({"messages": pair, "id": "x", "meta": {"a": [1]}}, said),
+        ({"messages": [{**pair[0], "name": "n"}, pair[1]]}, said),
+        ({"messages": [pair[0], {**pair[1], "tool": {"deep": [{"role": "x"}]}}]}, said),
+        ({"messages": [{"role": "user"}, {"content": "g", "role": "assistant"}]}, [("user", ""), ("assistant", "g")]),
+        ({"messages": [pair[0], None, pair[1]]}, [("user", "h"), ("", ""), ("assistant", "g")]),
+        ({"messages": ["h", "g"]}, None),
+        ({"messages": [{"role": "user"}]}, None),
+        ({"messages": None}, None),
+        ({"messages": {"role": "user", "content": "h"}}, None),
+        ({"system": "s", "prompt": "p", "response": "r", "x": 1}, [("system", "s"), ("user", "p"), ("assistant", "r")]),
+        ({"instruction": "do", "output": "y", "source": "z"}, [("user", "do"), ("assistant", "y")]),
+        ({"prompt": "[1] p", "response": "[{\"role\": \"x\"}]"}, [("user", "[1] p"), ("assistant", "[{\"role\": \"x\"}]")]),
+        ({"it's": 1, "question": "q", "answer": "a", "$['x']": []}, [("user", "q"), ("assistant", "a")]),
+        ([1, 2], None),
+        ("text", None),
+    ]
+    given = [(i, json.dumps(record)) for i, (record, _) in enumerate(records)]
+    found = chat.from_json_texts(spark.createDataFrame(given, "i int, record string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    for row, (record, wanted) in zip(turns(found.orderBy("i").collect()), records):
+        assert row == wanted, record
+    written = chat.read_back(chat.formatted(found.filter("i = 0"))).first()
+    assert written.formatted == "" and written.read_turns == []
+
+
+def test_structs_with_more_than_a_layout_asks_for(spark):
+    kind = "record struct<id: int, turns: array<struct<mark: string, turn: int, role: string, text: string>>, more: string>"
+    given = spark.createDataFrame([((1, [("a", 2, "r2", "t2"), ("b", 1, "r1", "t1")], "x"),), ((2, [], "x"),)], kind)
+    found = chat.from_structs(given).collect()
+    assert turns(found) == [[("r1", "t1"), ("r2", "t2")], []]
+    assert {r.layout for r in found} == {"rows_by_turn"}
+
+
 def test_layouts_of_structs(spark):
     given = spark.createDataFrame([(("q", "a"),), (None,)], "record struct<question: string, answer: string>")
     assert turns(chat.from_structs(given).collect()) == [[("user", "q"), ("assistant", "a")], [("user", ""), ("assistant", "")]]

@@ -2,9 +2,12 @@
 
 Records come in layouts: a prompt with a response, an instruction with input and output, a
 list of messages under various names, or rows by turn. The nested field paths of a record
-are hashed, and the hash selects a declarative mapping that yields canonical turns, an array
-of (role, text). A column of structs has one fingerprint; a column of JSON texts has one per
-row, so layouts may be mixed. Records of an unknown layout are kept with null turns.
+are hashed, and the hashes select a declarative mapping that yields canonical turns, an array
+of (role, text): the mapping with the most paths of those whose paths the record has all. Paths that no
+mapping asks for are left alone. A column of structs has one set of paths; a column of JSON texts has one per
+row, of all items of its lists, so layouts may be mixed. A list without items selects the
+mapping of its name and gives no turns. Records of an unknown layout, and texts that are no
+JSON objects, are kept with null turns.
 
 ``formatted`` writes turns as ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts
 ``<`` and ``|`` are parted by one more backslash than they had between them, so no text can
@@ -40,10 +43,10 @@ def paths(kind: T.DataType, at: str = "") -> list[str]:
     return [at]
 
 
-def fingerprint(names: list[str]) -> str:
-    """SQL for the hash of field paths, in any order and case."""
-    listed = "\n".join(sorted({name.lower() for name in names})).replace("'", "\\'")
-    return f"xxhash64('{listed}')"
+def _hashed(names: list[str]) -> str:
+    """SQL for the hashes of field paths, in any case."""
+    listed = ", ".join("xxhash64('" + name.lower().replace("'", "\\'") + "')" for name in names)
+    return f"array({listed})"
 
 
 def _messages(items: str, role: str, text: str) -> str:
@@ -83,7 +86,7 @@ LAYOUTS: dict[str, tuple[str, str]] = {
     "turns": ("turns array<struct<role: string, text: string>>", _messages("r.turns", "role", "text")),
     "rows_by_turn": (
         "turns array<struct<turn: bigint, role: string, text: string>>",
-        _messages("array_sort(r.turns)", "role", "text"),
+        "array_sort(transform(r.turns, t -> struct(t.turn as turn, t.role as role, t.text as text)))",
     ),
 }
 
@@ -102,13 +105,21 @@ def _canonical(layout: str) -> str:
     return f"transform({turns}, t -> struct({role} as role, coalesce(t.text, '') as text))"
 
 
-def from_structs(df: DataFrame, record: str = "record") -> DataFrame:
-    """Adds ``turns`` by the layout of the struct column ``record``, which has one type."""
-    found = fingerprint(paths(df.schema[record].dataType))
-    chosen = " ".join(
-        f"when {fingerprint(_paths_of(name))} then '{name}'" for name in LAYOUTS
+def _chosen(hashes: str) -> str:
+    """SQL for the name of the layout that hashes of paths select."""
+    by_size = sorted(LAYOUTS, key=lambda name: -len(_paths_of(name)))
+    whole = " ".join(f"when size(array_except({_hashed(_paths_of(name))}, {hashes})) = 0 then '{name}'" for name in by_size)
+    lists = [name for name in by_size if "[]" in _paths_of(name)[0]]
+    empty = " ".join(
+        f"when array_contains({hashes}, xxhash64('{_paths_of(name)[0].split('.')[0]}')) then '{name}'" for name in lists
     )
-    layout = df.sparkSession.range(1).selectExpr(f"case {found} {chosen} end as name").first().name
+    return f"case {whole} {empty} end"
+
+
+def from_structs(df: DataFrame, record: str = "record") -> DataFrame:
+    """Adds ``layout`` and ``turns`` by the layout of the struct column ``record``, which has one type."""
+    hashes = _hashed(paths(df.schema[record].dataType))
+    layout = df.sparkSession.range(1).selectExpr(f"{_chosen(hashes)} as name").first().name
     if layout is None:
         return df.withColumn("layout", F.lit(None).cast("string")).withColumn("turns", F.lit(None).cast(TURNS))
     return (
@@ -119,24 +130,35 @@ def from_structs(df: DataFrame, record: str = "record") -> DataFrame:
     )
 
 
-#: Field paths of a JSON text: the keys, and those of the first item of a list under a key.
+def _kind(value: str, kind: str) -> str:
+    return f"coalesce(startswith(schema_of_variant({value}), '{kind}'), false)"
+
+
+_ITEM_PATHS = (
+    f"if({_kind('i', 'OBJECT')}, transform(map_keys(cast(i as map<string, variant>)), x -> concat(e.key, '[].', x)), "
+    "array(concat(e.key, '[].')))"
+)
+_LIST_PATHS = (
+    "if(size(cast(e.value as array<variant>)) = 0, array(concat(e.key, '[]')), "
+    f"flatten(transform(cast(e.value as array<variant>), i -> {_ITEM_PATHS})))"
+)
+#: Field paths of a JSON object: its keys, and those of all items of a list under a key.
 _JSON_PATHS = (
-    "array_sort(flatten(transform(json_object_keys({j}), k -> coalesce("
-    "transform(json_object_keys(get_json_object({j}, concat('$[\\'', k, '\\'][0]'))), x -> lower(concat(k, '[].', x))),"
-    " array(lower(k))))))"
+    f"array_distinct(flatten(transform(map_entries(cast(_json as map<string, variant>)), "
+    f"e -> if({_kind('e.value', 'ARRAY')}, {_LIST_PATHS}, array(e.key)))))"
 )
 
 
 def from_json_texts(df: DataFrame, record: str = "record") -> DataFrame:
     """Adds ``layout`` and ``turns`` by the layout of each row's JSON text."""
-    kinds = " ".join(f"when {fingerprint(_paths_of(name))} then '{name}'" for name in LAYOUTS)
-    hashed = F.expr(f"xxhash64(concat_ws('\n', {_JSON_PATHS.format(j=f'`{record}`')}))")
-    named = df.withColumn("_print", hashed).withColumn("layout", F.expr(f"case _print {kinds} end"))
+    parsed = df.withColumn("_json", F.expr(f"try_parse_json(`{record}`)"))
+    hashed = F.expr(f"case when {_kind('_json', 'OBJECT')} then transform({_JSON_PATHS}, p -> xxhash64(lower(p))) end")
+    named = parsed.withColumn("_print", hashed).withColumn("layout", F.expr(f"if(_print is null, null, {_chosen('_print')})"))
     turns = F.lit(None).cast(TURNS)
     for name, (kind, _) in LAYOUTS.items():
         own = f"transform(array(from_json(`{record}`, '{kind}')), r -> {_canonical(name)})[0]"
         turns = F.when(F.col("layout") == name, F.expr(own)).otherwise(turns)
-    return named.withColumn("turns", turns.cast(TURNS)).drop("_print")
+    return named.withColumn("turns", turns.cast(TURNS)).drop("_print", "_json")
 
 
 def escaped(text: Column) -> Column:
