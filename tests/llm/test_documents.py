@@ -186,6 +186,19 @@ def test_decontamination(spark, block_phrases):
     assert brute.ordered(map(tuple, got.collect())) == brute.contamination(docs, items, 5)
 
 
+def test_blocks_of_phrases_store_no_documents(spark, monkeypatch):
+    """Three blocks and more: only what they hit is stored, and the documents are read back from no step."""
+    kept = []
+    real = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda df: (kept.append(df), real(df))[1])
+    docs = spark.createDataFrame([(i, "a b c d e" if i == 7 else f"word {i} and more") for i in range(50)], SCHEMA)
+    items = spark.createDataFrame([(1, "a b c d e f"), (2, "b c d x y z"), (3, "word 9 and")], "item_id long, text string")
+    found = decontaminate.judged(docs, items, window=3, block_phrases=4)
+    assert {r.doc_id: r["items"] for r in found.collect() if r.n_hit} == {7: ["1", "2"], 9: ["3"]}
+    assert len(kept) == 3 and all(df.columns == ["_hash", "hit_spans", "items"] for df in kept)
+    assert sum(df.count() for df in kept) == 3
+
+
 def test_simhash(spark):
     rng = random.Random(4)
     texts = [" ".join(rng.choice("abcdefghij") * 3 for _ in range(rng.randrange(80))) for _ in range(60)]

@@ -8,7 +8,8 @@ of phrase words shorter than the shortest phrase cannot hold one and are left ou
 
 Test phrases are a stated query set. They are read in blocks of ``BLOCK_PHRASES`` and each
 block is searched in all documents, so what goes to the tasks at once is bounded however many
-items there are. Documents are never shuffled.
+items there are. One block is all that most benchmarks have; documents are then read once and never shuffled. Of more
+blocks only what they hit is stored, by the text's MD5, and joined to the documents once at the end.
 
 Null texts have no words, and an item without words has no phrases. Items that repeat count
 once by id; a null id counts as an empty one. Repeated documents are each judged. Other
@@ -18,6 +19,7 @@ columns are kept; those named like a result are replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -172,23 +174,23 @@ class Searcher:
         return np.diff(counts), spans, [sorted(set(x)) for x in items]
 
 
-def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def merged(spans: np.ndarray) -> np.ndarray:
     """The union of spans as maximal spans in order."""
-    every = np.concatenate([a, b])
-    if not len(every):
-        return every
-    every = every[np.argsort(every[:, 0], kind="stable")]
-    reach = np.maximum.accumulate(every[:, 1])
-    new = np.r_[True, every[1:, 0] > reach[:-1]]
-    return np.stack([every[new, 0], reach[np.r_[np.flatnonzero(new)[1:] - 1, len(every) - 1]]], axis=1)
+    if not len(spans):
+        return spans
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(spans[:, 1])
+    new = np.r_[True, spans[1:, 0] > reach[:-1]]
+    return np.stack([spans[new, 0], reach[np.r_[np.flatnonzero(new)[1:] - 1, len(spans) - 1]]], axis=1)
+
+
+def _listed(spans: list[np.ndarray]) -> pa.Array:
+    return pa.array([[{"start": a, "end": b} for a, b in x.tolist()] for x in spans], _ARROW_SPANS)
 
 
 def _searched(docs: DataFrame, phrases: Phrases, text: str) -> DataFrame:
-    """``docs`` with the result columns, which are joined to those it has from other blocks."""
-    names = {field.name for field in FIELDS}
-    rest = [field for field in docs.schema if field.name not in names]
-    again = "hit_spans" in docs.columns
-    schema = T.StructType([*rest, *FIELDS])
+    """``docs`` with the result columns, of one block of phrases."""
+    schema = T.StructType([*docs.schema, *FIELDS])
     at = to_arrow_schema(docs.schema).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,21 +198,35 @@ def _searched(docs: DataFrame, phrases: Phrases, text: str) -> DataFrame:
         for batch in batches:
             batch = pa.RecordBatch.from_arrays(batch.columns, names=at)
             for first, end, data, starts in blocks(batch, text, SHARD_BYTES):
-                part = batch.slice(first, end - first)
                 n_words, spans, items = searcher.shard(data, starts)
-                if again:
-                    old = part.column(at.index("hit_spans")).to_pylist()
-                    before = [np.array([[s["start"], s["end"]] for s in x], np.int64).reshape(-1, 2) for x in old]
-                    spans = [merged(a, b) for a, b in zip(before, spans)]
-                    items = [sorted({*a, *b}) for a, b in zip(part.column(at.index("items")).to_pylist(), items)]
+                found = (pa.array(n_words.astype(np.int64)), _listed(spans), pa.array(items, pa.list_(pa.string())))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(first, end - first).columns, *found], names=[field.name for field in schema]
+                )
+
+    return docs.mapInArrow(run, schema)
+
+
+def _finished(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with the result columns in place of ``_spans`` and ``_items``, lists of what blocks found, or null."""
+    rest = [field for field in docs.schema if field.name not in ("_spans", "_items")]
+    schema = T.StructType([*rest, *FIELDS])
+    at = to_arrow_schema(docs.schema).names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = pa.RecordBatch.from_arrays(batch.columns, names=at)
+            for first, end, data, starts in blocks(batch, text, SHARD_BYTES):
+                part = batch.slice(first, end - first)
+                counts = words(_LOWER[data], starts, _APART)[3]
+                spans, items = [], []
+                for lists, names in zip(part.column(at.index("_spans")).to_pylist(), part.column(at.index("_items")).to_pylist()):
+                    every = [[s["start"], s["end"]] for own in lists or [] for s in own]
+                    spans.append(merged(np.array(every, np.int64).reshape(-1, 2)))
+                    items.append(sorted({x for own in names or [] for x in own}))
+                found = (pa.array(np.diff(counts).astype(np.int64)), _listed(spans), pa.array(items, pa.list_(pa.string())))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *[part.column(at.index(field.name)) for field in rest],
-                        pa.array(n_words.astype(np.int64)),
-                        pa.array([[{"start": a, "end": b} for a, b in x.tolist()] for x in spans], _ARROW_SPANS),
-                        pa.array(items, pa.list_(pa.string())),
-                    ],
-                    names=[field.name for field in schema],
+                    [*[part.column(at.index(field.name)) for field in rest], *found], names=[field.name for field in schema]
                 )
 
     return docs.mapInArrow(run, schema)
@@ -227,9 +243,23 @@ def judged(
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans``, ``items``, ``n_hit`` and ``contaminated``: words are
     hit, and at least one of twenty."""
-    found = docs.drop("n_words", "hit_spans", "items", "n_hit", "contaminated")
-    for i, phrases in enumerate(phrase_blocks(items, window, item_id, item_text, block_phrases)):
-        found = _searched(stored(found) if i else found, phrases, text)
+    given = docs.drop("n_words", "hit_spans", "items", "n_hit", "contaminated")
+    every = phrase_blocks(items, window, item_id, item_text, block_phrases)
+    first = next(every)
+    second = next(every, None)
+    if second is None:
+        found = _searched(given, first, text)
+    else:
+        # What a block finds depends on the text alone.
+        texts = given.select(F.unhex(F.md5(F.col(f"`{text}`"))).alias("_hash"), F.col(f"`{text}`").alias("text"))
+        hits = None
+        for phrases in chain((first, second), every):
+            of_block = _searched(texts.filter("text is not null"), phrases, "text").filter("size(hit_spans) > 0")
+            own = stored(of_block.select("_hash", "hit_spans", "items").dropDuplicates(["_hash"]))
+            hits = own if hits is None else hits.unionByName(own)
+        hits = hits.groupBy("_hash").agg(F.collect_list("hit_spans").alias("_spans"), F.collect_list("items").alias("_items"))
+        marked = given.withColumn("_hash", F.unhex(F.md5(F.col(f"`{text}`")))).join(hits, "_hash", "left").drop("_hash")
+        found = _finished(marked, text)
     return found.withColumn(
         "n_hit", F.expr("aggregate(hit_spans, 0L, (n, s) -> n + s.end - s.start)")
     ).withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
