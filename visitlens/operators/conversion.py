@@ -19,12 +19,11 @@ def _slot(pages: list[int]) -> str:
 
     Pages outside the flow that lie between the same two flow pages share a slot. They
     cannot take part in a conversion, and sharing keeps their order against flow pages.
+    Each flow page adds one for pages from it on and one for pages beyond it; all terms read one
+    ``page_id``, which is computed once. An action without a page is like one of the last slot.
     """
-    cases = " ".join(
-        f"when page_id < {page} then {2 * i} when page_id = {page} then {2 * i + 1}"
-        for i, page in enumerate(pages)
-    )
-    return f"case {cases} else {2 * len(pages)} end"
+    terms = " + ".join(f"int(page_id >= {page}) + int(page_id > {page})" for page in pages)
+    return f"coalesce({terms}, {2 * len(pages)})"
 
 
 def page_convert_rate(actions: DataFrame, flow: tuple[int, ...], task_id: str) -> DataFrame:
@@ -35,39 +34,40 @@ def page_convert_rate(actions: DataFrame, flow: tuple[int, ...], task_id: str) -
     combined in tasks, so a crowded hour is split by its ticks. Equal ticks of a session
     are adjacent: n of them make n - 1 moves from the page to itself, and the tick moves on
     to the session's next one. Next ticks are found within an hour, which has at most 3600
-    seconds times the slots of the flow, and an hour's last tick is tied to the first of the
-    session's next hour by a window over the hours. Visits come from the same counts, so
-    the actions are scanned once. An action without a readable time is no visit.
+    seconds times the slots of the flow. Hours are aggregated to their first and last tick, combined in
+    tasks, and an hour's last one is tied to the first of the session's next hour by a window over
+    these few rows. Both read one exchange of the counts, so the actions are scanned once. An action
+    without a readable time is no visit.
     """
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
     pages = sorted(set(flow))
     slots = 2 * len(pages) + 1
     tick = f"unix_seconds({parse_time('action_time')}) * {slots} + {_slot(pages)}"
+    # Unreadable times are one group per session, counted 0: a filter on the tick would parse each time twice.
     ticks = (
         actions.selectExpr("session_id", f"{tick} as tick")
-        .where("tick is not null")
         .groupBy("session_id", "tick")
-        .agg(F.expr("count(*) as n"))
+        .agg(F.expr("count(tick) as n"))
+        .where("n > 0")
         .withColumn("hour", F.expr(f"tick div {3600 * slots}"))
     )
     in_hour = "over (partition by session_id, hour order by tick)"
-    placed = ticks.selectExpr(
-        "*",
-        f"lead(tick) {in_hour} as next_tick",
-        f"first_value(tick) {in_hour} as first_tick",
-    )
-    last = placed.where("next_tick is null").selectExpr(
-        "tick", "n", "lead(first_tick) over (partition by session_id order by hour) as next_tick"
-    )
+    inside = ticks.selectExpr("tick", "n as visits", "n - 1 as stays", f"lead(tick) {in_hour} as next_tick")
+    hours = ticks.groupBy("session_id", "hour").agg(F.min("tick").alias("first_tick"), F.max("tick").alias("last_tick"))
+    # The visits of an hour's last tick are counted with the others.
+    over = hours.selectExpr(
+        "last_tick as tick",
+        "0L as visits",
+        "0L as stays",
+        "lead(first_tick) over (partition by session_id order by hour) as next_tick",
+    ).where("next_tick is not null")
     counts = (
-        placed.where("next_tick is not null")
-        .select("tick", "n", "next_tick")
-        .unionByName(last)
+        inside.unionByName(over)
         .groupBy(
             F.expr(f"pmod(tick, {slots}) as slot"), F.expr(f"pmod(next_tick, {slots}) as next_slot")
         )
-        .agg(F.expr("sum(n) as visits"), F.expr("sum(n - 1) as stays"), F.expr("count(next_tick) as moves"))
+        .agg(F.sum("visits").alias("visits"), F.sum("stays").alias("stays"), F.count("next_tick").alias("moves"))
     )
     slot_of = {page: 2 * i + 1 for i, page in enumerate(pages)}
     rates = ", ".join(
