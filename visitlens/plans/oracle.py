@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from visitlens.plans.registry import FILTERS, SEED, TASK, TASK_ID
+from visitlens.plans.registry import AD_LIMIT, FILTERS, SEED, TASK, TASK_ID
 from visitlens.schemas import STEP_BUCKETS, VISIT_BUCKETS
 
 ACTIONS = """
@@ -230,6 +230,16 @@ SELECT concat_ws(' ',
 FROM events WHERE event_type = 'error' OR event_id % 50 IN (7, 11, 13)"""
 
 
+CLICKS_PER_WINDOW = f"""
+SELECT millis // 600000 * 600000 AS window_millis, province, city, ad_id, COUNT(*) AS clicks
+FROM ({AD_CLICKS}) GROUP BY ALL"""
+
+OVER_LIMIT = f"""
+SELECT user_id, ad_id, strftime(make_timestamp(millis * 1000), '%Y-%m-%d') AS day, millis AS reached_millis
+FROM ({AD_CLICKS})
+QUALIFY row_number() OVER (PARTITION BY user_id, ad_id, day ORDER BY millis) = {AD_LIMIT + 1}"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "actions_in_range": f"{_with(ACTIONS)} SELECT * EXCLUDE (ts) FROM actions",
@@ -305,4 +315,8 @@ SELECT COUNT(*) AS actions, COUNT(*) FILTER (WHERE page_id = 3) AS times,
        CAST(0 AS BIGINT) AS pay_ids
 FROM all_actions""",
         "table_round_trip": f"{_with(USERS)} SELECT * FROM users",
+        "ad_clicks_per_window": CLICKS_PER_WINDOW,
+        "distinct_ad_clicks": f"SELECT DISTINCT * FROM ({AD_CLICKS})",
+        "ad_users_over_limit": OVER_LIMIT,
+        "ad_users_over_limit_stream": OVER_LIMIT,
     }

@@ -21,14 +21,17 @@ from visitlens.operators import (
 )
 from visitlens.operators.filters import in_date_range
 from visitlens.params import TaskParams
-from visitlens.sinks.shared import shared_folder
+from visitlens.sinks.shared import shared_folder, written
 from visitlens.sinks.tables import replace_table
 from visitlens.sources import driver_tables as tables
-from visitlens.streaming import ad_clicks
+from visitlens.streaming import ad_clicks, ad_reports
 
 TASK_ID = "task-1"
 SEED = "7"
 
+# Clicks of a user on one ad in a day.
+AD_LIMIT = 3
+
 DATES = TaskParams(start_date="2024-01-01", end_date="2024-01-04")
 TASK = replace(DATES, start_age=20, end_age=50, target_page_flow=(1, 2, 3, 4, 5, 6, 7))
 
@@ -177,7 +180,10 @@ def _table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = tables.users(spark, sf_dir)
     replace_table(users.select("user_id", "name"), table)
     replace_table(users, table, partition_by="sex")
-    return spark.table(table).select(users.columns)
+    try:
+        return written(spark.table(table).select(users.columns), shared_folder(spark))
+    finally:
+        spark.sql(f"DROP TABLE {table}")
 
 
 def _ad_click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,6 +195,46 @@ def _ad_click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _click_columns(spark.read.schema(clicks.schema).parquet(f"{folder}/clicks"))
 
 
+def _sent_again(events: DataFrame) -> DataFrame:
+    """Every seventh event twice, as a producer sends it that does not know it arrived."""
+    return events.withColumn("sent", F.expr("explode(if(event_id % 7 = 0, array(1, 2), array(1)))")).drop("sent")
+
+
+def _ad_clicks_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clicks = ad_clicks.parse_ad_lines(tables.ad_lines(tables.event_stream(spark, sf_dir)))
+    counted = ad_reports.clicks_per_window(clicks)
+    folder = shared_folder(spark)
+    ad_reports.changes_to_folder(counted, f"{folder}/counts", f"{folder}/progress").awaitTermination()
+    keys = [name for name in counted.columns if name != "clicks"]
+    found = ad_reports.latest(spark, f"{folder}/counts", counted.schema, keys)
+    return found.selectExpr("unix_millis(window_start) as window_millis", "province", "city", "ad_id", "clicks")
+
+
+def _distinct_ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clicks = ad_clicks.parse_ad_lines(tables.ad_lines(_sent_again(tables.event_stream(spark, sf_dir))))
+    folder = shared_folder(spark)
+    ad_clicks.append_to_folder(ad_reports.first_clicks(clicks), f"{folder}/clicks", f"{folder}/progress").awaitTermination()
+    return _click_columns(spark.read.schema(clicks.schema).parquet(f"{folder}/clicks"))
+
+
+def _limit_columns(reached: DataFrame) -> DataFrame:
+    return reached.selectExpr("user_id", "ad_id", "cast(day as string) as day", "unix_millis(reached_at) as reached_millis")
+
+
+def _ad_users_over_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clicks = ad_clicks.parse_ad_lines(tables.ad_lines(tables.events(spark, sf_dir)))
+    return _limit_columns(ad_reports.over_limit(clicks, AD_LIMIT))
+
+
+def _ad_users_over_limit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clicks = ad_clicks.parse_ad_lines(tables.ad_lines(tables.event_stream(spark, sf_dir)))
+    folder = shared_folder(spark)
+    with ad_reports.state_store(spark):
+        reached = ad_reports.over_limit_stream(clicks, AD_LIMIT)
+        ad_clicks.append_to_folder(reached, f"{folder}/reached", f"{folder}/progress").awaitTermination()
+    return _limit_columns(spark.read.schema(reached.schema).parquet(f"{folder}/reached"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "actions_in_range": _actions,
@@ -216,4 +262,9 @@ def all_queries() -> dict[str, Query]:
         "rejected_ad_lines": _rejected_ad_lines,
         "unreadable_values": _unreadable_values,
         "table_round_trip": _table_round_trip,
+        # Extensions of ours.
+        "ad_clicks_per_window": _ad_clicks_per_window,
+        "distinct_ad_clicks": _distinct_ad_clicks,
+        "ad_users_over_limit": _ad_users_over_limit,
+        "ad_users_over_limit_stream": _ad_users_over_limit_stream,
     }
