@@ -39,6 +39,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 BLOCK_CHARS = 12 << 20
 #: Parts of texts, and words, that a task remembers at most before it starts anew.
 KNOWN_UNITS = 400_000
+#: Documents whose ids are held as Python's numbers at once.
+PART_ROWS = 256
 KNOWN_WORDS = 300_000
 FOLDED_BYTES = 48
 HEAP_BYTES = 200
@@ -275,7 +277,8 @@ def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str
                 kind = words[start].is_valid
                 end = start
                 valid = words.is_valid().to_numpy(zero_copy_only=False)
-                while end < n and valid[end] == kind:
+                most = n if kind else min(n, start + PART_ROWS)
+                while end < most and valid[end] == kind:
                     end += 1
                 part = batch.slice(start, end - start)
                 if kind:
@@ -394,8 +397,10 @@ def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "token_ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = batch.column(names.index(ids)).to_pylist()
-            made = pa.array([b"".join([table[i] for i in own or ()]) for own in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*names, "decoded"])
+            for start in range(0, batch.num_rows, PART_ROWS):
+                part = batch.slice(start, PART_ROWS)
+                found = part.column(names.index(ids)).to_pylist()
+                made = pa.array([b"".join([table[i] for i in own or ()]) for own in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*names, "decoded"])
 
     return docs.mapInArrow(run, T.StructType([*rest, T.StructField("decoded", T.BinaryType())]))
