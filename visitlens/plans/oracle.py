@@ -240,6 +240,18 @@ FROM ({AD_CLICKS})
 QUALIFY row_number() OVER (PARTITION BY user_id, ad_id, day ORDER BY millis) = {AD_LIMIT + 1}"""
 
 
+VISITS = f"""{_with(ACTIONS)},
+seconds AS (SELECT user_id, epoch(CAST(action_time AS TIMESTAMP)) AS second FROM all_actions WHERE user_id >= 0),
+cut AS (
+  SELECT *, coalesce(second - lag(second) OVER (PARTITION BY user_id ORDER BY second) >= 1800, true) AS fresh FROM seconds),
+numbered AS (
+  SELECT *, count(*) FILTER (WHERE fresh) OVER (PARTITION BY user_id ORDER BY second ROWS UNBOUNDED PRECEDING) AS visit
+  FROM cut)
+SELECT user_id, visit, CAST(min(second) AS BIGINT) AS first_second, CAST(max(second) AS BIGINT) AS last_second,
+       count(*) AS actions
+FROM numbered GROUP BY user_id, visit"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "actions_in_range": f"{_with(ACTIONS)} SELECT * EXCLUDE (ts) FROM actions",
@@ -315,6 +327,7 @@ SELECT COUNT(*) AS actions, COUNT(*) FILTER (WHERE page_id = 3) AS times,
        CAST(0 AS BIGINT) AS pay_ids
 FROM all_actions""",
         "table_round_trip": f"{_with(USERS)} SELECT * FROM users",
+        "visits_by_inactivity": VISITS,
         "ad_clicks_per_window": CLICKS_PER_WINDOW,
         "distinct_ad_clicks": f"SELECT DISTINCT * FROM ({AD_CLICKS})",
         "ad_users_over_limit": OVER_LIMIT,

@@ -18,6 +18,7 @@ from visitlens.operators import (
     sampling,
     sessions,
     unreadable,
+    visits,
 )
 from visitlens.operators.filters import in_date_range
 from visitlens.params import TaskParams
@@ -263,6 +264,7 @@ def all_queries() -> dict[str, Query]:
         "unreadable_values": _unreadable_values,
         "table_round_trip": _table_round_trip,
         # Extensions of ours.
+        "visits_by_inactivity": lambda spark, sf_dir: visits.visits(tables.actions(spark, sf_dir)),
         "ad_clicks_per_window": _ad_clicks_per_window,
         "distinct_ad_clicks": _distinct_ad_clicks,
         "ad_users_over_limit": _ad_users_over_limit,
