@@ -343,9 +343,9 @@ class Digests:
         return len(ids), ",".join(map(str, ids)), b"".join([self.table[i] for i in ids])
 
     def text(self, parts: list[tuple]) -> tuple:
-        listed = hashlib.sha256(",".join([part[1] for part in parts]).encode()).hexdigest()
-        decoded = hashlib.sha256(b"".join([part[2] for part in parts])).hexdigest()
-        return sum([part[0] for part in parts]), listed, decoded
+        counts, listed, decoded = zip(*parts) if parts else ((), (), ())
+        ids = hashlib.sha256(",".join(listed).encode()).hexdigest()
+        return sum(counts), ids, hashlib.sha256(b"".join(decoded)).hexdigest()
 
 
 def encode(
