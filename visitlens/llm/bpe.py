@@ -22,6 +22,7 @@ the documents are kept, whatever their names; those named like a result are repl
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
 import json
@@ -244,7 +245,7 @@ def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str
     """Documents with what ``finish`` makes of their ids, from a stream of words and documents, or
     of documents alone."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern).findall
         single = [ranks[bytes([i])] for i in range(256)]
         pairs = {left << 16 | right: rank for (left, right), rank in pair_ranks(ranks).items()}
@@ -310,6 +311,14 @@ def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str
                     )
                 start = end
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # No cycles are made here, and the collector would look through all remembered words again and again.
+        gc.disable()
+        try:
+            yield from assemble(batches)
+        finally:
+            gc.enable()
+
     return run
 
 
