@@ -1,5 +1,6 @@
 """Ids against another implementation of the same ranks, and the round trip."""
 
+import hashlib
 import random
 
 import public_tokenizers
@@ -43,6 +44,22 @@ def test_ids_and_round_trip(spark, ranks, other, monkeypatch, fold):
         assert bytes(r.decoded) == (r.text or "").encode()
 
 
+@pytest.mark.parametrize("fold", ["tasks", "spark"])
+def test_round_trip_in_one_step(spark, ranks, other, monkeypatch, fold):
+    """Bytes are joined in parts; a column named like a result is replaced."""
+    monkeypatch.setattr(bpe, "DECODED_IDS", 7)
+    given = [(i, text, "x") for i, text in enumerate(texts())] + [(None, None, "x"), (0, "", None)]
+    docs = spark.createDataFrame(given, "doc_id long, text string, n_tokens string")
+    found = bpe.encode(docs, ranks, PATTERN, fold=fold, finish=bpe.RoundTrip(ranks))
+    assert found.columns == ["doc_id", "text", "token_ids", "n_tokens", "decoded_sha256"]
+    rows = found.collect()
+    assert len(rows) == len(given)
+    for r in rows:
+        assert list(r.token_ids) == other.encode_ordinary(r.text or "")
+        assert r.n_tokens == len(r.token_ids)
+        assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
 def test_heap_merges_agree_with_the_fold(ranks, other):
     rng = random.Random(5)
     single = [ranks[bytes([i])] for i in range(256)]

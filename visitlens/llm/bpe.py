@@ -43,6 +43,8 @@ KNOWN_UNITS = 400_000
 #: Documents whose ids are held as Python's numbers at once.
 PART_ROWS = 256
 KNOWN_WORDS = 300_000
+#: Ids whose bytes are joined at once for a digest.
+DECODED_IDS = 1 << 16
 FOLDED_BYTES = 48
 HEAP_BYTES = 200
 BUCKETS = 1 << 15
@@ -335,6 +337,30 @@ class Ids:
         return ([i for part in parts for i in part],)
 
 
+class RoundTrip:
+    """Keeps the ids of a text, their number and a digest of the bytes that they decode to, in one step."""
+
+    columns = [("token_ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()), ("decoded_sha256", pa.string())]
+    fields = [
+        T.StructField("token_ids", T.ArrayType(T.IntegerType())),
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    ]
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.table = pieces(ranks)
+
+    def unit(self, ids: list[int]) -> tuple:
+        return tuple(ids)
+
+    def text(self, parts: list[tuple]) -> tuple:
+        ids = [i for part in parts for i in part]
+        decoded = hashlib.sha256()
+        for start in range(0, len(ids), DECODED_IDS):
+            decoded.update(b"".join([self.table[i] for i in ids[start : start + DECODED_IDS]]))
+        return ids, len(ids), decoded.hexdigest()
+
+
 class Digests:
     """Keeps the number of ids, a digest of them, and one of the bytes they decode to."""
 
@@ -362,7 +388,7 @@ def encode(
     ranks: dict[bytes, int],
     pattern: str,
     text: str = "text",
-    finish: Ids | Digests | None = None,
+    finish: Ids | RoundTrip | Digests | None = None,
     block_chars: int = BLOCK_CHARS,
     fold: str = "tasks",
 ) -> DataFrame:
