@@ -52,14 +52,10 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and a digest of the bytes they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    ids = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(ids, ranks)
-    return decoded.select(
-        "doc_id",
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        "token_ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    found = bpe.encode(
+        docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, finish=bpe.RoundTrip(ranks)
     )
+    return found.select("doc_id", "n_tokens", "token_ids", "decoded_sha256")
 
 
 STAGES = [
