@@ -34,7 +34,7 @@ from visitlens.llm.fm_index import FMIndex
 from visitlens.llm.hashing import words
 
 WINDOW = 13
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 BLOCK_PHRASES = 100_000
 ROWS_AT_ONCE = 1 << 18
 
