@@ -35,9 +35,10 @@ def test_ids_and_round_trip(spark, ranks, other, monkeypatch, fold):
     monkeypatch.setattr(bpe, "HEAP_BYTES", 64)
     monkeypatch.setattr(bpe, "KNOWN_UNITS", 20)
     monkeypatch.setattr(bpe, "KNOWN_WORDS", 30)
+    monkeypatch.setattr(bpe, "KNOWN_CHARS", 40)
     given = [(i, text, 1) for i, text in enumerate(texts())] + [(-1, None, 2), (0, "", 3)]
     docs = spark.createDataFrame(given, "doc_id long, text string, decoded int")
-    found = bpe.decode(bpe.encode(docs, ranks, PATTERN, block_chars=500, fold=fold), ranks).collect()
+    found = bpe.decode(bpe.encode(docs, ranks, PATTERN, block_chars=500, fold=fold, spaces_begin=True), ranks).collect()
     assert len(found) == len(given)
     for r in found:
         assert list(r.token_ids) == other.encode_ordinary(r.text or "")
@@ -92,3 +93,15 @@ def test_a_word_that_is_a_piece_is_not_merged(spark):
     for fold in ("tasks", "spark"):
         found = bpe.encode(docs, ranks, PATTERN, fold=fold).first()
         assert list(found.token_ids) == other.encode_ordinary("abcd abcd x")
+
+
+def test_a_pattern_that_joins_words_over_a_space(spark):
+    """Parts cut at spaces would miss its matches, which merge over the space."""
+    pattern = r"[a-z]+ [a-z]+|\S+|\s"
+    ranks = {bytes([i]): i for i in range(256)} | {b"b ": 256, b"b c": 257, b" d": 258}
+    given = [(i, text) for i, text in enumerate(["ab cd ef gh x", "b c d b c", "1 b c", "b  c", " b", "", None])]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    other = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    for fold in ("tasks", "spark"):
+        for r in bpe.encode(docs, ranks, pattern, fold=fold).collect():
+            assert list(r.token_ids) == other.encode_ordinary(r.text or "")

@@ -43,6 +43,8 @@ KNOWN_UNITS = 400_000
 #: Documents whose ids are held as Python's numbers at once.
 PART_ROWS = 256
 KNOWN_WORDS = 300_000
+#: Longer parts and words are not remembered, so that what is remembered is bounded in bytes too.
+KNOWN_CHARS = 128
 #: Ids whose bytes are joined at once for a digest.
 DECODED_IDS = 1 << 16
 FOLDED_BYTES = 48
@@ -180,10 +182,9 @@ def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def units(text: str) -> list[str]:
-    """A text in parts that the pattern cuts alike alone and in place.
-
-    The patterns meant let a space begin a word but never end or join two. So a single space
-    between two other characters that aren't white space always begins a match.
+    """A text in parts that a pattern cuts alike alone and in place, if it lets a space begin a
+    word but never end or join two: a single space between two other characters that aren't white
+    space then always begins a match.
     """
     if not text or BESIDE_SPACE.search(text):
         return [text] if text else []
@@ -191,7 +192,12 @@ def units(text: str) -> list[str]:
     return [first, *[" " + part for part in rest]]
 
 
-def _words_first(text: str, pattern: str, ranks: dict[bytes, int], block_chars: int, schema: pa.Schema):
+def whole(text: str) -> list[str]:
+    """A text as its only part, for any other pattern."""
+    return [text] if text else []
+
+
+def _words_first(text: str, pattern: str, ranks: dict[bytes, int], block_chars: int, schema: pa.Schema, parts):
     """Rows of words before the documents they are from, block by block."""
     single = [ranks[bytes([i])] for i in range(256)]
     pieces_type = pa.list_(pa.int32())
@@ -229,7 +235,7 @@ def _words_first(text: str, pattern: str, ranks: dict[bytes, int], block_chars:
             texts = batch.column(at).to_pylist()
             for i, value in enumerate(texts):
                 if value:
-                    seen.update(units(value))
+                    seen.update(parts(value))
                     size += len(value)
                 if size >= block_chars:
                     held.append(batch.slice(first, i + 1 - first))
@@ -243,7 +249,7 @@ def _words_first(text: str, pattern: str, ranks: dict[bytes, int], block_chars:
     return run
 
 
-def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str], finish):
+def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str], finish, parts):
     """Documents with what ``finish`` makes of their ids, from a stream of words and documents, or
     of documents alone."""
 
@@ -266,10 +272,14 @@ def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str
             for word in cut(unit):
                 own = ids.get(word)
                 if own is None:
-                    own = ids[word] = merged(word.encode())
+                    own = merged(word.encode())
+                    if len(word) <= KNOWN_CHARS:
+                        ids[word] = own
                 found.extend(own)
-            known[unit] = whole = finish.unit(found)
-            return whole
+            made = finish.unit(found)
+            if len(unit) <= KNOWN_CHARS:
+                known[unit] = made
+            return made
 
         for batch in batches:
             n = batch.num_rows
@@ -300,9 +310,9 @@ def _assembled(text: str, pattern: str, ranks: dict[bytes, int], names: list[str
                         if at < 0 and len(ids) > KNOWN_WORDS:
                             ids = {}
                         pieces = []
-                        for unit in units(value or ""):
-                            whole = known.get(unit)
-                            pieces.append(of_unit(unit) if whole is None else whole)
+                        for unit in parts(value or ""):
+                            own = known.get(unit)
+                            pieces.append(of_unit(unit) if own is None else own)
                         rows.append(finish.text(pieces))
                     columns = [part.column(part.schema.get_field_index(name)) for name in names]
                     made = [
@@ -391,8 +401,14 @@ def encode(
     finish: Ids | RoundTrip | Digests | None = None,
     block_chars: int = BLOCK_CHARS,
     fold: str = "tasks",
+    spaces_begin: bool = False,
 ) -> DataFrame:
-    """``docs`` with the column ``token_ids``, or the columns that ``finish`` makes of the ids."""
+    """``docs`` with the column ``token_ids``, or the columns that ``finish`` makes of the ids.
+
+    ``spaces_begin`` states that the pattern begins a match at each space between two characters that
+    aren't white space, as the patterns of the public tokenizers do; the words between are then
+    cut and remembered by themselves. Any pattern is right without it.
+    """
     if fold not in ("tasks", "spark"):
         raise ValueError(f"fold is tasks or spark, not {fold!r}")
     finish = finish or Ids()
@@ -400,14 +416,15 @@ def encode(
     rest = [field for field in docs.schema if field.name not in made or field.name == text]
     docs = docs.select(*[F.col(f"`{field.name}`") for field in rest])
     names = [field.name for field in rest]
-    assembled = _assembled(text, pattern, ranks, names, finish)
+    parts = units if spaces_begin else whole
+    assembled = _assembled(text, pattern, ranks, names, finish, parts)
     schema = T.StructType([*rest, *finish.fields])
     if fold == "tasks":
         return docs.mapInArrow(assembled, schema)
     given = to_arrow_schema(docs.schema)
     between = [T.StructField(WORD, T.BinaryType()), T.StructField(BYTES, T.ArrayType(T.IntegerType()))]
     stream = docs.mapInArrow(
-        _words_first(text, pattern, ranks, block_chars, given), T.StructType([*rest, *between])
+        _words_first(text, pattern, ranks, block_chars, given, parts), T.StructType([*rest, *between])
     )
     merged = stream.select(
         *[F.col(f"`{field.name}`") for field in rest], WORD, encoded(F.col(BYTES), rank_map(ranks)).alias(IDS)

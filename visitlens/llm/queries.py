@@ -98,7 +98,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, finish=bpe.Digests(ranks))
+    encoded = bpe.encode(
+        docs, ranks, public_tokenizers.PATTERN, finish=bpe.Digests(ranks), spaces_begin=True
+    )
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
