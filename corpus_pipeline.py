@@ -52,9 +52,8 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and a digest of the bytes they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    found = bpe.encode(
-        docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, finish=bpe.RoundTrip(ranks)
-    )
+    own = docs.select("doc_id", "text")
+    found = bpe.encode(own, ranks, public_tokenizers.PATTERN, finish=bpe.RoundTrip(ranks), spaces_begin=True)
     return found.select("doc_id", "n_tokens", "token_ids", "decoded_sha256")
 
 
